@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ratebook.operators import classify as C
 from ratebook.operators import lookup as L
 from ratebook.session import apply_scale_conf
+from ratebook.sources.readers import read_parquet
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -28,9 +29,13 @@ def register(name: str):
     return deco
 
 
+SMALL_TABLES = {"region", "nation", "supplier"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     apply_scale_conf(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet",
+                        spread=name not in SMALL_TABLES)
 
 
 # ------------------------------------------------------------ derived views
@@ -61,3 +66,121 @@ def q_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C3+C4+C5+Q4: classify the part-derived products, then the category
     rollup (per (top, sub) count and first code; per top; grand total)."""
     return L.categories(part_products(spark, sf_dir))
+
+
+# ------------------------------------------------------- normalisation
+
+from ratebook.functions.dates import parse_date  # noqa: E402
+from ratebook.functions.rates import coerce_rate, parse_rate  # noqa: E402
+from ratebook.functions.text import clean_hsn, strip_hsn  # noqa: E402
+from ratebook.operators import normalize as N  # noqa: E402
+
+
+def _pct(c):
+    return F.round(c * 100).cast("long").cast("string")
+
+
+def dirty_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate texts in eight spellings built from lineitem tax and discount."""
+    li = table(spark, sf_dir, "lineitem")
+    t, d = _pct(F.col("l_tax")), _pct(F.col("l_discount"))
+    u = F.round((F.col("l_tax") + F.col("l_discount")) * 100).cast("long").cast("string")
+    k = (F.col("l_orderkey") + F.col("l_linenumber")) % 8
+    text = (F.when(k == 0, F.concat(t, F.lit("%")))
+             .when(k == 1, F.when(F.col("l_tax") == 0, F.lit("Nil")).otherwise(F.concat(t, F.lit(" %"))))
+             .when(k == 2, F.concat(t, F.lit("% to "), u, F.lit("%")))
+             .when(k == 3, F.concat(t, F.lit(" or "), u))
+             .when(k == 4, F.concat(F.lit("GST @ "), t, F.lit(".5%")))
+             .when(k == 5, F.when(F.col("l_discount") == 0, F.lit("Exempt")).otherwise(F.concat(F.lit("-"), t)))
+             .when(k == 6, F.concat(t, F.lit("."), d, F.lit(".1")))
+             .otherwise(F.concat(F.lit("Tobacco "), t)))
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", text.alias("rate_text"))
+
+
+@register("parse_rate")
+def q_parse_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N5 + N6 on rate texts of eight spellings."""
+    r = dirty_rates(spark, sf_dir)
+    return r.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "rate_text",
+                    parse_rate(F.col("rate_text")).cast("double").alias("rate"),
+                    coerce_rate(F.col("rate_text")).cast("double").alias("coerced"))
+
+
+@register("clean_hsn")
+def q_clean_hsn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N2 + N3 on code texts of six spellings built from part keys."""
+    p = table(spark, sf_dir, "part")
+    ks = F.col("p_partkey").cast("string")
+    k = F.col("p_partkey") % 6
+    dirty = (F.when(k == 0, F.concat(F.lit("Chapter "), ks))
+              .when(k == 1, F.concat(F.substring(ks, 1, 2), F.lit("."), F.substring(ks, 3, 100)))
+              .when(k == 2, F.concat(F.substring(ks, 1, 2), F.lit(" - "), F.substring(ks, 3, 100)))
+              .when(k == 3, F.concat(F.lit(" "), ks, F.lit(" ex")))
+              .when(k == 4, F.concat(ks, F.lit("a"), ks))
+              .otherwise(F.when(F.col("p_partkey") % 12 == 5, F.lit(None).cast("string")).otherwise(F.lit(""))))
+    return p.select("p_partkey", dirty.alias("code_text"),
+                    clean_hsn(dirty).alias("hsn_code"), strip_hsn(dirty).alias("model_code"))
+
+
+DATE_SPELLINGS = ["dd-MM-yyyy", "d/M/yyyy", "yyyy-MM-dd", "dd.MM.yyyy", "d  MMM yyyy",
+                  "dd MMMM yyyy", "MMMM d, yyyy", "MMM dd, yyyy", "d-MMM-yyyy", "dd-MMMM-yyyy"]
+
+
+@register("parse_date")
+def q_parse_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N11 on order dates written in the ten layouts (one upper-cased, one
+    lower-cased, one with a doubled blank), plus 'n/a' and junk."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey") % 12
+    txt = F.when(k == 10, F.lit("n/a")).when(k == 11, F.lit("soon"))
+    for i, pat in enumerate(DATE_SPELLINGS):
+        v = F.date_format("o_orderdate", pat)
+        if i == 7:
+            v = F.upper(v)
+        if i == 9:
+            v = F.lower(v)
+        txt = txt.when(k == i, v)
+    return o.select("o_orderkey", txt.alias("date_text"),
+                    F.date_format(parse_date(txt), "yyyy-MM-dd").alias("parsed"))
+
+
+def raw_lineitem_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RAW rows (cells MAP) from lineitem with four header spellings."""
+    li = table(spark, sf_dir, "lineitem")
+    t, d = _pct(F.col("l_tax")), _pct(F.col("l_discount"))
+    td = F.round((F.col("l_tax") + F.col("l_discount")) * 100).cast("long").cast("string")
+    code = F.col("l_partkey").cast("string")
+    ln = F.col("l_linenumber").cast("string")
+    k = F.col("l_linenumber") % 4
+    arr = lambda *xs: F.array(*[x if not isinstance(x, str) else F.lit(x) for x in xs])
+    keys = (F.when(k == 0, arr("S. No.", "HSN Code", "Description of Goods", "Rate", "_source_name"))
+             .when(k == 1, arr("Sr. No.", "Tariff Item", "Particulars", "CGST Rate", "SGST Rate", "Cess"))
+             .when(k == 2, arr("hsn_sac", "Goods Description", "IGST", "w.e.f", "HSN"))
+             .when(F.col("l_quantity") > 25, arr("col1", "col2"))
+             .otherwise(arr("Description", "HSN", "Rate")))
+    vals = (F.when(k == 0, arr(ln, code, F.concat(F.lit("part "), code), F.concat(t, F.lit("%")),
+                             F.concat(F.lit("supplier "), F.col("l_suppkey").cast("string"))))
+             .when(k == 1, arr(ln, F.concat(F.substring(code, 1, 2), F.lit("."), F.substring(code, 3, 100)),
+                               F.concat(F.lit("Item "), F.col("l_returnflag"), F.col("l_linestatus")),
+                               F.concat(t, F.lit("%")), F.concat(t, F.lit("%")), F.concat(d, F.lit("%"))))
+             .when(k == 2, arr("WRONG", F.when(F.col("l_returnflag") == "N", F.lit(""))
+                               .otherwise(F.concat(F.lit("goods "), F.col("l_returnflag"))),
+                               td, F.date_format("l_shipdate", "dd/MM/yyyy"), code))
+             .when(F.col("l_quantity") > 25, arr("", ""))
+             .otherwise(arr(F.concat(F.lit("Exempt - part "), code), "", "Nil")))
+    return li.select(F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("ord"),
+                     F.map_from_arrays(keys, vals).alias("cells"))
+
+
+@register("normalize")
+def q_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw maps with differing headers ->
+    canonical records."""
+    rec = N.normalize(raw_lineitem_rows(spark, sf_dir), source_name="lineitem-feed")
+    good, _bad = N.split_errors(rec)
+    return good.select(
+        "ord.l_orderkey", "ord.l_linenumber", "ord.l_partkey", "ord.l_suppkey",
+        "product_id", "hsn_code", "gst_description", "serial_no",
+        *[F.col(r).cast("double").alias(r) for r in N.RATES],
+        F.date_format("effective_from", "yyyy-MM-dd").alias("effective_from"),
+        "source_name", "confidence_flag")

@@ -33,3 +33,108 @@ SELECT 'top', top_category, NULL, CAST(sum(product_count) AS BIGINT), NULL FROM
 UNION ALL
 SELECT 'all', NULL, NULL, CAST(sum(product_count) AS BIGINT), NULL FROM subs
 """
+
+# ------------------------------------------------------- normalisation
+
+_T = "CAST(round(l_tax * 100) AS BIGINT)"
+_D = "CAST(round(l_discount * 100) AS BIGINT)"
+_U = "CAST(round((l_tax + l_discount) * 100) AS BIGINT)"
+_K8 = "((l_orderkey + l_linenumber) % 8)"
+
+ORACLES["parse_rate"] = f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  CASE {_K8}
+    WHEN 0 THEN CAST({_T} AS VARCHAR) || '%'
+    WHEN 1 THEN CASE WHEN l_tax = 0 THEN 'Nil' ELSE CAST({_T} AS VARCHAR) || ' %' END
+    WHEN 2 THEN CAST({_T} AS VARCHAR) || '% to ' || CAST({_U} AS VARCHAR) || '%'
+    WHEN 3 THEN CAST({_T} AS VARCHAR) || ' or ' || CAST({_U} AS VARCHAR)
+    WHEN 4 THEN 'GST @ ' || CAST({_T} AS VARCHAR) || '.5%'
+    WHEN 5 THEN CASE WHEN l_discount = 0 THEN 'Exempt' ELSE '-' || CAST({_T} AS VARCHAR) END
+    WHEN 6 THEN CAST({_T} AS VARCHAR) || '.' || CAST({_D} AS VARCHAR) || '.1'
+    ELSE 'Tobacco ' || CAST({_T} AS VARCHAR) END AS rate_text,
+  CAST(CASE {_K8}
+    WHEN 4 THEN {_T} + 0.5
+    WHEN 5 THEN CASE WHEN l_discount = 0 THEN 0 ELSE {_T} END
+    WHEN 6 THEN 0 WHEN 7 THEN 0
+    ELSE {_T} END AS DOUBLE) AS rate,
+  CAST(CASE {_K8}
+    WHEN 0 THEN {_T}
+    WHEN 1 THEN {_T}
+    WHEN 5 THEN CASE WHEN l_discount = 0 THEN 0 ELSE -{_T} END
+    ELSE 0 END AS DOUBLE) AS coerced
+FROM lineitem
+"""
+
+_KS = "CAST(p_partkey AS VARCHAR)"
+ORACLES["clean_hsn"] = f"""
+SELECT p_partkey,
+  CASE p_partkey % 6
+    WHEN 0 THEN 'Chapter ' || {_KS}
+    WHEN 1 THEN substr({_KS}, 1, 2) || '.' || substr({_KS}, 3, 100)
+    WHEN 2 THEN substr({_KS}, 1, 2) || ' - ' || substr({_KS}, 3, 100)
+    WHEN 3 THEN ' ' || {_KS} || ' ex'
+    WHEN 4 THEN {_KS} || 'a' || {_KS}
+    ELSE CASE WHEN p_partkey % 12 = 5 THEN NULL ELSE '' END END AS code_text,
+  CASE p_partkey % 6 WHEN 4 THEN {_KS} || 'a' || {_KS} WHEN 5 THEN '' ELSE {_KS} END AS hsn_code,
+  CASE p_partkey % 6
+    WHEN 0 THEN 'Chapter' || {_KS}
+    WHEN 2 THEN substr({_KS}, 1, 2) || '-' || substr({_KS}, 3, 100)
+    WHEN 3 THEN {_KS} || 'ex'
+    WHEN 4 THEN {_KS} || 'a' || {_KS}
+    WHEN 5 THEN ''
+    ELSE {_KS} END AS model_code
+FROM part
+"""
+
+_OD = "CAST(o_orderdate AS DATE)"
+ORACLES["parse_date"] = f"""
+SELECT o_orderkey,
+  CASE o_orderkey % 12
+    WHEN 0 THEN strftime({_OD}, '%d-%m-%Y')
+    WHEN 1 THEN strftime({_OD}, '%-d/%-m/%Y')
+    WHEN 2 THEN strftime({_OD}, '%Y-%m-%d')
+    WHEN 3 THEN strftime({_OD}, '%d.%m.%Y')
+    WHEN 4 THEN strftime({_OD}, '%-d  %b %Y')
+    WHEN 5 THEN strftime({_OD}, '%d %B %Y')
+    WHEN 6 THEN strftime({_OD}, '%B %-d, %Y')
+    WHEN 7 THEN upper(strftime({_OD}, '%b %d, %Y'))
+    WHEN 8 THEN strftime({_OD}, '%-d-%b-%Y')
+    WHEN 9 THEN lower(strftime({_OD}, '%d-%B-%Y'))
+    WHEN 10 THEN 'n/a' ELSE 'soon' END AS date_text,
+  CASE WHEN o_orderkey % 12 < 10 THEN strftime({_OD}, '%Y-%m-%d') END AS parsed
+FROM orders
+"""
+
+_CODE = "CAST(l_partkey AS VARCHAR)"
+_TD = "CAST(round((l_tax + l_discount) * 100) AS BIGINT)"
+ORACLES["normalize"] = f"""
+WITH b AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linenumber % 4 AS k,
+         {_T} AS t, {_D} AS d, {_TD} AS td, {_CODE} AS code, l_quantity, l_returnflag,
+         l_linestatus, l_shipdate
+  FROM lineitem),
+r AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    CASE WHEN k = 3 THEN '' ELSE code END AS hsn_code,
+    CASE k WHEN 0 THEN 'part ' || code
+           WHEN 1 THEN 'Item ' || l_returnflag || l_linestatus
+           WHEN 2 THEN CASE WHEN l_returnflag = 'N' THEN '' ELSE 'goods ' || l_returnflag END
+           ELSE 'Exempt - part ' || code END AS gst_description,
+    CASE WHEN k IN (0, 1) THEN CAST(l_linenumber AS VARCHAR) ELSE '' END AS serial_no,
+    CAST(CASE k WHEN 0 THEN t / 2 WHEN 1 THEN t WHEN 2 THEN td / 2 ELSE 0 END AS DOUBLE) AS cgst_rate,
+    CAST(CASE k WHEN 0 THEN t / 2 WHEN 1 THEN t WHEN 2 THEN td / 2 ELSE 0 END AS DOUBLE) AS sgst_rate,
+    CAST(CASE k WHEN 0 THEN t WHEN 1 THEN 2 * t WHEN 2 THEN td ELSE 0 END AS BIGINT) AS igst,
+    CAST(CASE k WHEN 1 THEN d ELSE 0 END AS DOUBLE) AS cess_rate,
+    CASE WHEN k = 2 THEN strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') END AS effective_from,
+    CASE WHEN k = 0 THEN 'supplier ' || CAST(l_suppkey AS VARCHAR) ELSE 'lineitem-feed' END AS source_name
+  FROM b WHERE NOT (k = 3 AND l_quantity > 25))
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  substr(sha256(hsn_code || '|' || gst_description || '|' || CAST(igst AS VARCHAR)), 1, 16) AS product_id,
+  hsn_code, gst_description, serial_no, cgst_rate, sgst_rate, CAST(igst AS DOUBLE) AS igst_rate,
+  cess_rate, effective_from, source_name,
+  CASE (CASE WHEN hsn_code = '' THEN 2 WHEN length(hsn_code) < 2 THEN 1 ELSE 0 END
+        + CASE WHEN gst_description = '' THEN 1 ELSE 0 END
+        + CASE WHEN igst = 0 THEN 1 ELSE 0 END)
+    WHEN 0 THEN 'high' WHEN 1 THEN 'medium' ELSE 'review_required' END AS confidence_flag
+FROM r
+"""
