@@ -184,3 +184,119 @@ def q_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.col(r).cast("double").alias(r) for r in N.RATES],
         F.date_format("effective_from", "yyyy-MM-dd").alias("effective_from"),
         "source_name", "confidence_flag")
+
+
+# ------------------------------------------------------------- quality
+
+from ratebook.functions.rates import RATE_TYPE  # noqa: E402
+from ratebook.operators import quality as V  # noqa: E402
+
+DOC_PRIMARY = "src0"
+LI_PRIMARY = "S7"
+CUST_PRIMARY = "N3"
+
+
+def _dec(c):
+    return c.cast(RATE_TYPE)
+
+
+def doc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate records from documents: code = language, description = whole
+    text, source = source, rate by doc id parity, order = doc id."""
+    d = table(spark, sf_dir, "documents")
+    igst = _dec((F.col("doc_id") % 2) * 5)
+    return d.select(
+        F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("product_id"),
+        F.col("lang").alias("hsn_code"), F.col("text").alias("gst_description"),
+        F.col("source").alias("source_name"),
+        _dec(igst / 2).alias("cgst_rate"), _dec(igst / 2).alias("sgst_rate"), igst.alias("igst_rate"),
+        _dec(F.lit(0)).alias("cess_rate"), F.lit("other").alias("top_category"),
+        F.lit("uncategorized").alias("sub_category"), F.lit("high").alias("confidence_flag"),
+        F.col("doc_id").alias("ord"))
+
+
+def lineitem_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate records from lineitem: code = part key, source = supplier,
+    rate = tax percent; order = the whole row (the natural key repeats)."""
+    li = table(spark, sf_dir, "lineitem")
+    igst = _dec(F.round(F.col("l_tax") * 100))
+    return li.select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("product_id"),
+        F.col("l_partkey").cast("string").alias("hsn_code"),
+        F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("gst_description"),
+        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("source_name"),
+        _dec(igst / 2).alias("cgst_rate"), _dec(igst / 2).alias("sgst_rate"), igst.alias("igst_rate"),
+        _dec(F.lit(0)).alias("cess_rate"), F.lit("high").alias("confidence_flag"),
+        F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_tax", "l_quantity",
+                 "l_extendedprice").alias("ord"))
+
+
+def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate records from customer with blank codes, negative rates (balance),
+    zero rates (BUILDING), out-of-domain categories and repeated keys."""
+    c = table(spark, sf_dir, "customer")
+    k9 = F.col("c_custkey") % 9
+    hsn = (F.when(k9 == 0, F.lit("")).when(k9 == 1, F.lit(" "))
+            .otherwise(((F.col("c_custkey") % 40) + 10).cast("string")))
+    v = F.when(F.col("c_mktsegment") == "BUILDING", _dec(F.lit(0))).otherwise(_dec(F.col("c_acctbal")))
+    top = (F.when(F.col("c_mktsegment") == "AUTOMOBILE", "automotive")
+            .when(F.col("c_mktsegment").isin("MACHINERY", "BUILDING"), "industrial")
+            .when(F.col("c_mktsegment") == "FURNITURE", "consumer_goods").otherwise("household"))
+    return c.select(
+        F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("product_id"),
+        hsn.alias("hsn_code"),
+        F.concat(F.lower("c_mktsegment"), F.lit(" goods")).alias("gst_description"),
+        F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("source_name"),
+        v.alias("cgst_rate"), v.alias("sgst_rate"), _dec(v * 2).alias("igst_rate"),
+        F.when(F.col("c_custkey") % 50 == 0, _dec(F.lit(-2.5))).otherwise(_dec(F.lit(0))).alias("cess_rate"),
+        top.alias("top_category"), F.lower("c_mktsegment").alias("sub_category"),
+        F.lit("high").alias("confidence_flag"), F.col("c_custkey").alias("ord"))
+
+
+def _dbl(df: DataFrame, cols) -> list:
+    return [F.col(c).cast("double").alias(c) for c in cols]
+
+
+@register("resolve_conflicts")
+def q_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V8 on documents: one row per (language, lower(trim(text))), primary source first."""
+    r = V.resolve_conflicts(doc_records(spark, sf_dir), DOC_PRIMARY)
+    return r.select("product_id", "hsn_code", "source_name", *_dbl(r, ["igst_rate"]), "ord")
+
+
+@register("duplicates")
+def q_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V5 on documents: every repeat of (language, text, rate) after the first."""
+    return V.check_duplicates(doc_records(spark, sf_dir)).select(*V.ISSUE_COLS)
+
+
+@register("conflicts")
+def q_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V6 on lineitem: suppliers disagreeing on a part's tax rate, primary supplier S7."""
+    return V.check_conflicts(lineitem_records(spark, sf_dir), LI_PRIMARY).select(*V.ISSUE_COLS)
+
+
+@register("apply_primary_rate")
+def q_apply_primary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V7 on lineitem: conflicting rows take the primary supplier's rate."""
+    r = V.apply_primary_rate(lineitem_records(spark, sf_dir), LI_PRIMARY)
+    return r.select("product_id", "hsn_code", "source_name",
+                    *_dbl(r, ["cgst_rate", "sgst_rate", "igst_rate"]), "confidence_flag")
+
+
+@register("validate_issues")
+def q_validate_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1-V6, V9 on customer records: the whole issue table."""
+    return V.validate_issues(customer_records(spark, sf_dir), CUST_PRIMARY).select(*V.ISSUE_COLS)
+
+
+@register("validation_report")
+def q_validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V10 on customer records."""
+    return V.validation_report(customer_records(spark, sf_dir), CUST_PRIMARY)
+
+
+@register("issues_top")
+def q_issues_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 10,000 issues in check / row order."""
+    return V.issues_top(V.validate_issues(customer_records(spark, sf_dir), CUST_PRIMARY))

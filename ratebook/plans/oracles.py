@@ -138,3 +138,184 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
     WHEN 0 THEN 'high' WHEN 1 THEN 'medium' ELSE 'review_required' END AS confidence_flag
 FROM r
 """
+
+# ------------------------------------------------------------- quality
+
+from ratebook.plans.sqlgen import dec_text_sql as _dt  # noqa: E402
+
+DOC_RECORDS = """
+SELECT 'D' || CAST(doc_id AS VARCHAR) AS product_id, lang AS hsn_code, text AS gst_description,
+       source AS source_name, CAST((doc_id % 2) * 5 AS DECIMAL(12,6)) AS igst, doc_id AS ord
+FROM documents
+"""
+
+ORACLES["resolve_conflicts"] = f"""
+WITH r AS ({DOC_RECORDS}),
+k AS (
+  SELECT *, row_number() OVER (PARTITION BY hsn_code, lower(trim(gst_description))
+                               ORDER BY CASE WHEN source_name = 'src0' THEN 0 ELSE 1 END, ord) AS rn,
+         min(ord) OVER (PARTITION BY hsn_code, lower(trim(gst_description))) AS first_ord
+  FROM r)
+SELECT product_id, hsn_code, source_name, CAST(igst AS DOUBLE) AS igst_rate, first_ord AS ord
+FROM k WHERE rn = 1
+"""
+
+ORACLES["duplicates"] = f"""
+WITH r AS ({DOC_RECORDS}),
+k AS (
+  SELECT *, row_number() OVER w AS rn, first_value(product_id) OVER w AS first_id
+  FROM r WINDOW w AS (PARTITION BY hsn_code, lower(trim(gst_description)), igst ORDER BY ord
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT 5 AS check_ord, 'duplicate' AS issue_type, 'warning' AS severity, product_id AS record_id,
+       hsn_code, 'Duplicate of record ' || first_id || '. HSN=' || hsn_code || ', Rate=' || {_dt('igst')} || '%'
+         AS description, source_name
+FROM k WHERE rn > 1
+"""
+
+LI_RECORDS = """
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS product_id,
+       CAST(l_partkey AS VARCHAR) AS hsn_code, 'S' || CAST(l_suppkey AS VARCHAR) AS source_name,
+       CAST(round(l_tax * 100) AS DECIMAL(12,6)) AS igst,
+       {'a': l_orderkey, 'b': l_linenumber, 'c': l_suppkey, 'd': l_tax, 'e': l_quantity,
+        'f': l_extendedprice} AS ord
+FROM lineitem
+"""
+
+LI_CONFLICTS = f"""
+ps AS (SELECT hsn_code, source_name, arg_min(igst, ord) AS rate, min(ord) AS pos
+       FROM r WHERE hsn_code <> '' GROUP BY hsn_code, source_name),
+pc AS (SELECT hsn_code, count(DISTINCT rate) AS n,
+              max(CASE WHEN source_name = 'S7' THEN rate END) AS pr,
+              string_agg(source_name || '=' || {_dt('rate')} || '%', ', ' ORDER BY pos) AS txt
+       FROM ps GROUP BY hsn_code HAVING count(DISTINCT rate) > 1
+          AND max(CASE WHEN source_name = 'S7' THEN rate END) IS NOT NULL)
+"""
+
+ORACLES["conflicts"] = f"""
+WITH r AS ({LI_RECORDS}), {LI_CONFLICTS}
+SELECT 6 AS check_ord, 'conflict' AS issue_type, 'warning' AS severity, r.product_id AS record_id,
+       r.hsn_code, 'Rate conflict for HSN ' || r.hsn_code || ': ' || txt || '. Primary rate ('
+         || {_dt('pr')} || '%) takes precedence.' AS description, r.source_name
+FROM r JOIN pc ON r.hsn_code = pc.hsn_code
+WHERE r.source_name <> 'S7' AND r.igst <> pc.pr
+"""
+
+ORACLES["apply_primary_rate"] = f"""
+WITH r AS ({LI_RECORDS}), {LI_CONFLICTS},
+j AS (SELECT r.*, pc.pr, (pc.pr IS NOT NULL AND r.source_name <> 'S7' AND r.igst <> pc.pr) AS hit
+      FROM r LEFT JOIN pc ON r.hsn_code = pc.hsn_code)
+SELECT product_id, hsn_code, source_name,
+       CAST(CASE WHEN hit THEN pr / 2 ELSE igst / 2 END AS DOUBLE) AS cgst_rate,
+       CAST(CASE WHEN hit THEN pr / 2 ELSE igst / 2 END AS DOUBLE) AS sgst_rate,
+       CAST(CASE WHEN hit THEN pr ELSE igst END AS DOUBLE) AS igst_rate,
+       CASE WHEN hit THEN 'review_required' ELSE 'high' END AS confidence_flag
+FROM j
+"""
+
+CUST_RECORDS = """
+SELECT 'C' || CAST(c_custkey AS VARCHAR) AS product_id,
+  CASE c_custkey % 9 WHEN 0 THEN '' WHEN 1 THEN ' ' ELSE CAST(c_custkey % 40 + 10 AS VARCHAR) END AS hsn_code,
+  lower(c_mktsegment) || ' goods' AS gst_description,
+  'N' || CAST(c_nationkey AS VARCHAR) AS source_name,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN CAST(0 AS DECIMAL(12,6)) ELSE CAST(c_acctbal AS DECIMAL(12,6)) END AS cgst_rate,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN CAST(0 AS DECIMAL(12,6)) ELSE CAST(c_acctbal AS DECIMAL(12,6)) END AS sgst_rate,
+  CAST(2 * CASE WHEN c_mktsegment = 'BUILDING' THEN CAST(0 AS DECIMAL(12,6)) ELSE CAST(c_acctbal AS DECIMAL(12,6)) END
+       AS DECIMAL(12,6)) AS igst_rate,
+  CASE WHEN c_custkey % 50 = 0 THEN CAST(-2.5 AS DECIMAL(12,6)) ELSE CAST(0 AS DECIMAL(12,6)) END AS cess_rate,
+  CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'automotive'
+       WHEN c_mktsegment IN ('MACHINERY', 'BUILDING') THEN 'industrial'
+       WHEN c_mktsegment = 'FURNITURE' THEN 'consumer_goods' ELSE 'household' END AS top_category,
+  lower(c_mktsegment) AS sub_category, c_custkey AS ord
+FROM customer
+"""
+
+_TOPS = "('consumer_goods', 'electronics', 'industrial', 'automotive', 'other')"
+_SUBS = ("('animal_products', 'vegetable_products', 'food_beverages', 'minerals_fuels', "
+         "'chemicals_pharma', 'plastics_rubber', 'leather_goods', 'wood_paper', 'textiles_apparel', "
+         "'footwear_accessories', 'construction_materials', 'jewelry', 'metals', 'machinery', "
+         "'computers_electronics', 'consumer_appliances', 'vehicles_transport', 'instruments', "
+         "'arms_ammunition', 'furniture_misc', 'art_antiques', 'uncategorized')")
+
+CUST_ISSUES = f"""
+WITH r AS ({CUST_RECORDS}),
+neg AS (
+  SELECT product_id, hsn_code, source_name, ord, field, val, pos FROM r,
+  (VALUES ('cgst_rate', 1), ('sgst_rate', 2), ('igst_rate', 3), ('cess_rate', 4)) f(field, pos),
+  LATERAL (SELECT CASE field WHEN 'cgst_rate' THEN cgst_rate WHEN 'sgst_rate' THEN sgst_rate
+                             WHEN 'igst_rate' THEN igst_rate ELSE cess_rate END AS val)),
+dk AS (SELECT *, row_number() OVER w AS rn, first_value(product_id) OVER w AS first_id
+       FROM r WINDOW w AS (PARTITION BY hsn_code, lower(trim(gst_description)), igst_rate ORDER BY ord
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+ps AS (SELECT hsn_code, source_name, arg_min(igst_rate, ord) AS rate, min(ord) AS pos
+       FROM r WHERE hsn_code <> '' GROUP BY hsn_code, source_name),
+pc AS (SELECT hsn_code, max(CASE WHEN source_name = 'N3' THEN rate END) AS pr,
+              string_agg(source_name || '=' || {_dt('rate')} || '%', ', ' ORDER BY pos) AS txt
+       FROM ps GROUP BY hsn_code HAVING count(DISTINCT rate) > 1
+          AND max(CASE WHEN source_name = 'N3' THEN rate END) IS NOT NULL),
+issues AS (
+  SELECT 1 AS check_ord, 'missing_hsn' AS issue_type, 'warning' AS severity, product_id AS record_id,
+         CAST(NULL AS VARCHAR) AS hsn_code,
+         'Missing HSN code. Description: ' || substr(gst_description, 1, 80) AS description,
+         source_name, ord AS row_ord, 0 AS sub_ord
+  FROM r WHERE trim(hsn_code) = ''
+  UNION ALL
+  SELECT 2, 'negative_rate', 'error', product_id, hsn_code,
+         'Negative ' || field || ': ' || {_dt('val')}, source_name, ord, pos
+  FROM neg WHERE val < 0
+  UNION ALL
+  SELECT 3, 'invalid_category', 'error', product_id, hsn_code, 'Invalid top_category: ' || top_category,
+         NULL, ord, 0 FROM r WHERE top_category NOT IN {_TOPS}
+  UNION ALL
+  SELECT 3, 'invalid_category', 'error', product_id, hsn_code, 'Invalid sub_category: ' || sub_category,
+         NULL, ord, 1 FROM r WHERE sub_category NOT IN {_SUBS}
+  UNION ALL
+  SELECT 4, 'zero_rates', 'warning', product_id, hsn_code,
+         'All rates are zero. May be exempt. Desc: ' || substr(gst_description, 1, 60), source_name, ord, 0
+  FROM r WHERE cgst_rate = 0 AND sgst_rate = 0 AND igst_rate = 0
+  UNION ALL
+  SELECT 5, 'duplicate', 'warning', product_id, hsn_code,
+         'Duplicate of record ' || first_id || '. HSN=' || hsn_code || ', Rate=' || {_dt('igst_rate')} || '%',
+         source_name, ord, 0 FROM dk WHERE rn > 1
+  UNION ALL
+  SELECT 6, 'conflict', 'warning', r.product_id, r.hsn_code,
+         'Rate conflict for HSN ' || r.hsn_code || ': ' || txt || '. Primary rate (' || {_dt('pr')}
+           || '%) takes precedence.', r.source_name, r.ord, 0
+  FROM r JOIN pc ON r.hsn_code = pc.hsn_code
+  WHERE r.source_name <> 'N3' AND r.igst_rate <> pc.pr)
+"""
+
+ORACLES["validate_issues"] = CUST_ISSUES + """
+SELECT check_ord, issue_type, severity, record_id, hsn_code, description, source_name FROM issues
+"""
+
+ORACLES["issues_top"] = CUST_ISSUES + """
+SELECT check_ord, issue_type, severity, record_id, hsn_code, description, source_name FROM issues
+ORDER BY check_ord, row_ord, sub_ord, record_id LIMIT 10000
+"""
+
+ORACLES["validation_report"] = f"""
+WITH r AS ({CUST_RECORDS}),
+ps AS (SELECT hsn_code, source_name, arg_min(igst_rate, ord) AS rate
+       FROM r WHERE hsn_code <> '' GROUP BY hsn_code, source_name),
+pc AS (SELECT hsn_code, max(CASE WHEN source_name = 'N3' THEN rate END) AS pr
+       FROM ps GROUP BY hsn_code HAVING count(DISTINCT rate) > 1
+          AND max(CASE WHEN source_name = 'N3' THEN rate END) IS NOT NULL),
+c AS (SELECT count(*) AS conflicts_found FROM r JOIN pc ON r.hsn_code = pc.hsn_code
+      WHERE r.source_name <> 'N3' AND r.igst_rate <> pc.pr),
+b AS (SELECT count(*) AS total_records,
+             count(DISTINCT (hsn_code, lower(trim(gst_description)), igst_rate)) AS keys,
+             count(*) FILTER (WHERE trim(hsn_code) = '') AS missing_hsn_count,
+             sum((cgst_rate < 0)::INT + (sgst_rate < 0)::INT + (igst_rate < 0)::INT + (cess_rate < 0)::INT)
+               AS negative_rate_count,
+             count(*) FILTER (WHERE top_category NOT IN {_TOPS})
+               + count(*) FILTER (WHERE sub_category NOT IN {_SUBS}) AS invalid
+      FROM r)
+SELECT CAST(total_records AS BIGINT) AS total_records,
+       CAST(total_records - negative_rate_count - invalid AS BIGINT) AS valid_records,
+       CAST(total_records - keys AS BIGINT) AS duplicates_found,
+       CAST(conflicts_found AS BIGINT) AS conflicts_found,
+       CAST(missing_hsn_count AS BIGINT) AS missing_hsn_count,
+       CAST(negative_rate_count AS BIGINT) AS negative_rate_count,
+       (negative_rate_count + invalid) = 0 AS passed
+FROM b, c
+"""
