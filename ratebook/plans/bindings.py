@@ -300,3 +300,152 @@ def q_validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_issues_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 10,000 issues in check / row order."""
     return V.issues_top(V.validate_issues(customer_records(spark, sf_dir), CUST_PRIMARY))
+
+
+# ------------------------------------------------------- classification
+
+PART_KEYWORDS = [("hot ring", "electronics"), ("ring", "consumer_goods"), ("hot", "industrial"),
+                 ("widget", "electronics"), ("rod", "automotive"), ("bolt", "industrial")]
+PART_KEYWORD_SUB = {"hot ring": "consumer_appliances", "widget": "computers_electronics",
+                    "rod": "vehicles_transport"}
+SIZE_RULES = [(1, 10, "consumer_goods", "jewelry"), (5, 20, "industrial", "metals"),
+              (26, 40, "electronics", "instruments"), (35, 45, "automotive", "vehicles_transport")]
+
+
+@register("classify_documents")
+def q_classify_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 + C2 + C4: built-in keyword rules on whole document texts."""
+    d = table(spark, sf_dir, "documents")
+    cat = F.coalesce(C.keyword_category("text"), C.default_category())
+    return d.select("doc_id", cat.top_category.alias("top_category"),
+                    cat.sub_category.alias("sub_category"))
+
+
+@register("classify_parts")
+def q_classify_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C5 with caller rules: overlapping keywords on part names, then the
+    built-in chapter ranges on the part-key code."""
+    p = table(spark, sf_dir, "part").select(
+        "p_partkey", F.col("p_name").alias("gst_description"),
+        F.col("p_partkey").cast("string").alias("hsn_code"))
+    out = C.classify(p, keyword_rules=PART_KEYWORDS, sub_map=PART_KEYWORD_SUB)
+    return out.select("p_partkey", "hsn_code", "top_category", "sub_category")
+
+
+@register("classify_ranges_join")
+def q_classify_ranges_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C3 + C4 + C6 with a rule DataFrame (overlap 5-10, gaps 21-25 and
+    46-50): chapters expanded, broadcast hash join on the chapter."""
+    p = table(spark, sf_dir, "part").select(
+        "p_partkey", F.concat(F.lpad(F.col("p_size").cast("string"), 2, "0"),
+                              (F.col("p_partkey") % 100).cast("string")).alias("hsn_code"))
+    out = C.classify_ranges_join(p, C.range_rules_frame(spark, SIZE_RULES))
+    return out.select("p_partkey", "hsn_code", "top_category", "sub_category")
+
+
+@register("category_counts")
+def q_category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents per top category after keyword classification."""
+    return C.category_counts(q_classify_documents(spark, sf_dir))
+
+
+# -------------------------------------------------------------- lookups
+
+@register("rate_by_product")
+def q_rate_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 + Q5: 'RING' in product names, first 5 in store order."""
+    return L.rate_by_product(part_products(spark, sf_dir), "RING")
+
+
+@register("rate_by_product_clamped")
+def q_rate_by_product_clamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 with a regex and a limit above the maximum (clamped to 20)."""
+    return L.rate_by_product(part_products(spark, sf_dir), "h.t (rod|gear)", limit=50)
+
+
+@register("search_description")
+def q_search_description(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2: 'promo' in descriptions, grouped, largest 10 groups."""
+    return L.search_description(part_products(spark, sf_dir), "promo")
+
+
+@register("rate_by_code")
+def q_rate_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3: codes starting with '1': first 10 rows, then first per description."""
+    return L.rate_by_code(part_products(spark, sf_dir), "1")
+
+
+@register("envelope")
+def q_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6: JSON envelope of the Q1 answer (one row)."""
+    return L.envelope(q_rate_by_product(spark, sf_dir), "RING")
+
+
+@register("categories_nested")
+def q_categories_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4 nested form: per top category, total and sorted sub-category list."""
+    return L.categories_nested(part_products(spark, sf_dir))
+
+
+@register("collection_size")
+def q_collection_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7: product count."""
+    return L.collection_size(part_products(spark, sf_dir))
+
+
+# ------------------------------------------------------------ summaries
+
+from ratebook.operators import summary as S  # noqa: E402
+
+
+@register("summary")
+def q_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O4 on lineitem records: rows and distinct codes."""
+    return S.summary(lineitem_records(spark, sf_dir))
+
+
+@register("value_counts")
+def q_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three value counts over orders in one GROUPING SETS pass."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderstatus", "o_orderpriority", F.year("o_orderdate").cast("string").alias("o_year"))
+    return S.value_counts(o, ["o_orderstatus", "o_orderpriority", "o_year"])
+
+
+@register("summary_kv")
+def q_summary_kv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The validation report of customer records as key/value rows."""
+    return S.summary_kv(V.validation_report(customer_records(spark, sf_dir), CUST_PRIMARY))
+
+
+@register("top_categories")
+def q_top_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """10 largest sub-categories of the part-derived products."""
+    return S.top_values(part_products(spark, sf_dir), "sub_category", 10)
+
+
+@register("find_one")
+def q_find_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Point lookup of code '1234'."""
+    return S.find_one(part_products(spark, sf_dir), "1234")
+
+
+@register("to_product")
+def q_to_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1-L3: customer rows with gaps -> product documents with defaults."""
+    import datetime as dt
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    rows = c.select(
+        F.col("c_custkey").cast("string").alias("product_id"),
+        F.when(k % 7 == 0, F.lit(None)).otherwise(F.col("c_name")).alias("product_name"),
+        F.when(k % 5 == 0, F.lit("")).otherwise(F.lower("c_mktsegment")).alias("top_category"),
+        F.lit(None).cast("string").alias("sub_category"),
+        F.when(k % 3 == 0, F.lit("")).otherwise(F.col("c_nationkey").cast("string")).alias("hsn_code"),
+        F.lit("goods").alias("gst_description"),
+        F.when(k % 2 == 0, F.lit("")).otherwise(F.lit("I")).alias("schedule"),
+        F.when(k % 4 == 0, F.lit(float("nan"))).otherwise(F.col("c_acctbal")).alias("igst_rate"),
+        F.when(k % 6 == 0, F.lit(None)).otherwise(F.col("c_acctbal") / 2).alias("cgst_rate"),
+        F.lit("http://x").alias("source_url"), F.lit("raw").alias("raw_text"))
+    out = S.to_product(rows, dt.datetime(2024, 1, 1))
+    return out.withColumn("migrated_at", F.date_format("migrated_at", "yyyy-MM-dd HH:mm:ss"))

@@ -319,3 +319,113 @@ SELECT CAST(total_records AS BIGINT) AS total_records,
        (negative_rate_count + invalid) = 0 AS passed
 FROM b, c
 """
+
+# ------------------------------------------------------- classification
+
+from ratebook.plans.sqlgen import keyword_case, range_case, q as _q  # noqa: E402
+from ratebook.plans.bindings import PART_KEYWORDS, PART_KEYWORD_SUB, SIZE_RULES  # noqa: E402
+
+ORACLES["classify_documents"] = f"""
+SELECT doc_id, coalesce({keyword_case('text', 'top')}, 'other') AS top_category,
+       coalesce({keyword_case('text', 'sub')}, 'uncategorized') AS sub_category
+FROM documents
+"""
+
+ORACLES["category_counts"] = f"""
+SELECT coalesce({keyword_case('text', 'top')}, 'other') AS top_category, count(*) AS n
+FROM documents GROUP BY 1
+"""
+
+ORACLES["classify_parts"] = f"""
+SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS hsn_code,
+  {classify_sql('p_name', 'CAST(p_partkey AS VARCHAR)', 'top', PART_KEYWORDS, PART_KEYWORD_SUB)} AS top_category,
+  {classify_sql('p_name', 'CAST(p_partkey AS VARCHAR)', 'sub', PART_KEYWORDS, PART_KEYWORD_SUB)} AS sub_category
+FROM part
+"""
+
+_SIZE_CODE = "(lpad(CAST(p_size AS VARCHAR), 2, '0') || CAST(p_partkey % 100 AS VARCHAR))"
+ORACLES["classify_ranges_join"] = f"""
+SELECT p_partkey, {_SIZE_CODE} AS hsn_code,
+  coalesce({range_case(_SIZE_CODE, 'top', SIZE_RULES)}, 'other') AS top_category,
+  coalesce({range_case(_SIZE_CODE, 'sub', SIZE_RULES)}, 'uncategorized') AS sub_category
+FROM part
+"""
+
+# -------------------------------------------------------------- lookups
+
+_PICK = """product_id, product_name, hsn_code, gst_description, cgst_rate, sgst_rate, igst_rate,
+  cess_rate, top_category, sub_category, schedule, confidence_flag"""
+
+ORACLES["rate_by_product"] = f"""
+SELECT {_PICK} FROM ({PART_PRODUCTS}) p
+WHERE regexp_matches(product_name, 'RING', 'i') ORDER BY ord LIMIT 5
+"""
+
+ORACLES["rate_by_product_clamped"] = f"""
+SELECT {_PICK} FROM ({PART_PRODUCTS}) p
+WHERE regexp_matches(product_name, 'h.t (rod|gear)', 'i') ORDER BY ord LIMIT 20
+"""
+
+ORACLES["search_description"] = f"""
+SELECT gst_description, arg_min(hsn_code, ord) AS hsn_code, arg_min(igst_rate, ord) AS igst_rate,
+  arg_min(cgst_rate, ord) AS cgst_rate, arg_min(sgst_rate, ord) AS sgst_rate,
+  arg_min(cess_rate, ord) AS cess_rate, arg_min(top_category, ord) AS top_category,
+  arg_min(sub_category, ord) AS sub_category, arg_min(schedule, ord) AS schedule,
+  count(*) AS product_count
+FROM ({PART_PRODUCTS}) p WHERE regexp_matches(gst_description, 'promo', 'i')
+GROUP BY gst_description ORDER BY product_count DESC, gst_description LIMIT 10
+"""
+
+ORACLES["rate_by_code"] = f"""
+WITH t AS (SELECT * FROM ({PART_PRODUCTS}) p WHERE starts_with(hsn_code, '1') ORDER BY ord LIMIT 10),
+d AS (SELECT *, row_number() OVER (PARTITION BY gst_description ORDER BY ord) AS rn FROM t)
+SELECT {_PICK} FROM d WHERE rn = 1
+"""
+
+ORACLES["collection_size"] = "SELECT count(*) AS total_products FROM part"
+
+# ------------------------------------------------------------ summaries
+
+ORACLES["summary"] = """
+SELECT count(*) AS total_records, count(DISTINCT CAST(l_partkey AS VARCHAR)) AS unique_hsn_codes FROM lineitem
+"""
+
+ORACLES["value_counts"] = """
+SELECT 'o_orderstatus' AS column_name, o_orderstatus AS value, count(*) AS n FROM orders GROUP BY 2
+UNION ALL
+SELECT 'o_orderpriority', o_orderpriority, count(*) FROM orders GROUP BY 2
+UNION ALL
+SELECT 'o_year', CAST(year(o_orderdate) AS VARCHAR), count(*) FROM orders GROUP BY 2
+"""
+
+_REPORT_COLS = ["total_records", "valid_records", "duplicates_found", "conflicts_found",
+                "missing_hsn_count", "negative_rate_count", "passed"]
+ORACLES["summary_kv"] = "WITH rep AS (" + ORACLES["validation_report"] + ")\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS key, CAST({c} AS VARCHAR) AS value FROM rep" for c in _REPORT_COLS)
+
+ORACLES["top_categories"] = f"""
+SELECT sub_category AS value, count(*) AS n FROM ({PART_PRODUCTS}) p
+GROUP BY sub_category ORDER BY n DESC, value LIMIT 10
+"""
+
+ORACLES["find_one"] = f"""
+SELECT {_PICK} FROM ({PART_PRODUCTS}) p WHERE hsn_code = '1234' ORDER BY ord LIMIT 1
+"""
+
+ORACLES["to_product"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS product_id,
+  CASE WHEN c_custkey % 7 = 0 THEN '' ELSE c_name END AS product_name,
+  CASE WHEN c_custkey % 5 = 0 THEN 'other' ELSE lower(c_mktsegment) END AS top_category,
+  'uncategorized' AS sub_category,
+  CASE WHEN c_custkey % 3 = 0 THEN '' ELSE CAST(c_nationkey AS VARCHAR) END AS hsn_code,
+  'goods' AS gst_description,
+  CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE 'I' END AS schedule,
+  CAST(NULL AS VARCHAR) AS serial_no,
+  CASE WHEN c_custkey % 6 = 0 THEN 0.0 ELSE c_acctbal / 2 END AS cgst_rate,
+  0.0 AS sgst_rate,
+  CASE WHEN c_custkey % 4 = 0 THEN 0.0 ELSE c_acctbal END AS igst_rate,
+  0.0 AS cess_rate,
+  CAST(NULL AS VARCHAR) AS effective_from, '' AS source_name, 'http://x' AS source_url,
+  'medium' AS confidence_flag, '2024-01-01 00:00:00' AS migrated_at
+FROM customer
+"""
