@@ -449,3 +449,121 @@ def q_to_product(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("http://x").alias("source_url"), F.lit("raw").alias("raw_text"))
     out = S.to_product(rows, dt.datetime(2024, 1, 1))
     return out.withColumn("migrated_at", F.date_format("migrated_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+# ------------------------------------------------------------ expansion
+
+from ratebook.operators import expand as X  # noqa: E402
+
+EXPAND_DEFAULT_TEMPLATE = "standard"
+
+
+def part_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base records from part: category = lower(type), code = part key."""
+    p = table(spark, sf_dir, "part")
+    return p.select(F.lower("p_type").alias("sub_category"), F.lit("industrial").alias("top_category"),
+                    F.col("p_partkey").cast("string").alias("hsn_code"),
+                    F.col("p_name").alias("gst_description"),
+                    ((F.col("p_size") % 4) * 6).cast("double").alias("igst_rate"),
+                    F.col("p_partkey").alias("ord"))
+
+
+def part_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Templates derived from the data: per part type (all but PROMO, which
+    falls back to the default template) the sorted distinct brands and part
+    names; variants = the sorted nation names."""
+    p = table(spark, sf_dir, "part")
+    variants = table(spark, sf_dir, "nation").agg(F.array_sort(F.collect_set("n_name")).alias("variants"))
+    per = (p.filter(F.lower("p_type") != "promo").groupBy(F.lower("p_type").alias("sub_category"))
+            .agg(F.array_sort(F.collect_set("p_brand")).alias("brands"),
+                 F.array_sort(F.collect_set("p_name")).alias("names")))
+    from ratebook.operators.joins import one_row_join
+    return one_row_join(per, variants)
+
+
+def _expansion_out(df: DataFrame) -> DataFrame:
+    return df.select("product_id", "product_name", "sub_category", "hsn_code", "gst_description",
+                     "igst_rate", F.col("gen_index").cast("long").alias("gen_index"),
+                     F.col("gen_chunk").cast("int").alias("gen_chunk"))
+
+
+@register("allocate")
+def q_allocate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-category targets for a target of |lineitem| + |nation| rows."""
+    target = table(spark, sf_dir, "lineitem").count() + table(spark, sf_dir, "nation").count()
+    return X.allocate(part_base(spark, sf_dir), target)
+
+
+@register("expand_synthetic")
+def q_expand_synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """|lineitem| + |nation| product rows from the part base
+    (proportional pass, then padding chunks)."""
+    target = table(spark, sf_dir, "lineitem").count() + table(spark, sf_dir, "nation").count()
+    out = X.expand_synthetic(part_base(spark, sf_dir), part_templates(spark, sf_dir), target,
+                             seed=42, default_key=EXPAND_DEFAULT_TEMPLATE)
+    return _expansion_out(out)
+
+
+@register("expand_trim")
+def q_expand_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target below the base size (|orders| / 10): every base row once,
+    then the seeded md5 order cut to the target."""
+    target = table(spark, sf_dir, "orders").count() // 10
+    out = X.expand_synthetic(part_base(spark, sf_dir), part_templates(spark, sf_dir), target,
+                             seed=42, default_key=EXPAND_DEFAULT_TEMPLATE)
+    return _expansion_out(out)
+
+
+@register("expand_simple")
+def q_expand_simple(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Round-robin variants without templates, |orders| rows."""
+    target = table(spark, sf_dir, "orders").count()
+    out = X.expand_simple(part_base(spark, sf_dir), target)
+    return out.select("product_id", "product_name", "sub_category", "hsn_code",
+                      F.col("gen_index").cast("long").alias("gen_index"))
+
+
+def part_lookup_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookup records for catalog enrichment: codes (part key mod 1500) * 3,
+    so later parts repeat earlier codes; every 97th code blank."""
+    p = table(spark, sf_dir, "part")
+    code = F.when(F.col("p_partkey") % 97 == 0, F.lit("")).otherwise(
+        ((F.col("p_partkey") % 1500) * 3).cast("string"))
+    return p.select(code.alias("hsn_code"), F.col("p_name").alias("gst_description"),
+                    ((F.col("p_size") % 4) * 6).cast("double").alias("igst_rate"),
+                    (((F.col("p_size") % 4) * 6) / 2).cast("double").alias("cgst_rate"),
+                    (((F.col("p_size") % 4) * 6) / 2).cast("double").alias("sgst_rate"),
+                    F.lit(0.0).alias("cess_rate"), F.lit("industrial").alias("top_category"),
+                    F.lower("p_type").alias("sub_category"), F.col("p_brand").alias("source_name"),
+                    F.lit("").alias("source_url"), F.lit("").alias("raw_text"),
+                    F.lit("high").alias("confidence_flag"), F.col("p_partkey").alias("ord"))
+
+
+def customer_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SKU catalog from customer: code = key * 7 plus '', '01' or '9'; every
+    11th code blank."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    suffix = F.when(k % 3 == 0, F.lit("")).when(k % 3 == 1, F.lit("01")).otherwise(F.lit("9"))
+    code = F.when(k % 11 == 0, F.lit("")).otherwise(F.concat((k * 7).cast("string"), suffix))
+    return c.select(F.col("c_name").alias("product_name"), code.alias("hsn_code"), k.alias("ord"))
+
+
+@register("enrich_catalog")
+def q_enrich_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SKUs matched by exact code, else by 4-character code prefix."""
+    e = X.enrich_catalog(customer_catalog(spark, sf_dir), part_lookup_records(spark, sf_dir))
+    return e.select("product_id", "product_name", "hsn_code", "gst_description",
+                    F.col("igst_rate").cast("double").alias("igst_rate"), "source_name", "match_kind", "ord")
+
+
+@register("catalog_match_stats")
+def q_catalog_match_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matched and total SKUs."""
+    return X.catalog_match_stats(customer_catalog(spark, sf_dir), part_lookup_records(spark, sf_dir))
+
+
+@register("catalog_unmatched")
+def q_catalog_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SKUs without a match (anti join)."""
+    return X.catalog_unmatched(customer_catalog(spark, sf_dir), part_lookup_records(spark, sf_dir))

@@ -429,3 +429,118 @@ SELECT CAST(c_custkey AS VARCHAR) AS product_id,
   'medium' AS confidence_flag, '2024-01-01 00:00:00' AS migrated_at
 FROM customer
 """
+
+# ------------------------------------------------------------ expansion
+
+from ratebook.operators.expand import CHUNK_STEP, CYCLE_STEP, MULTIPLIERS  # noqa: E402
+
+_SEED = 42
+_MUL_ORDER = [MULTIPLIERS[(_SEED + k) % len(MULTIPLIERS)] for k in range(len(MULTIPLIERS))]
+_A = "(CASE " + " ".join(f"WHEN nn_ % {m} <> 0 THEN {m}" for m in _MUL_ORDER) + f" ELSE {_MUL_ORDER[-1]} END)"
+
+_EXP_BASE = """
+base AS (SELECT lower(p_type) AS sub_category, CAST(p_partkey AS VARCHAR) AS hsn_code,
+                p_name AS gst_description, CAST((p_size % 4) * 6 AS DOUBLE) AS igst_rate,
+                p_partkey AS ord FROM part),
+alloc AS (SELECT sub_category, count(*) AS n, min(ord) AS fp FROM base GROUP BY 1),
+al AS (SELECT a.*, greatest(CAST(floor(CAST(tot.t AS DOUBLE) * (CAST(a.n AS DOUBLE) / CAST(tot.nall AS DOUBLE)))
+                            AS BIGINT), a.n) AS tc
+       FROM alloc a, (SELECT {target} AS t, (SELECT count(*) FROM base) AS nall) tot),
+ranked AS (SELECT b.*, row_number() OVER (PARTITION BY sub_category ORDER BY ord) - 1 AS r FROM base b),
+tpl0 AS (SELECT lower(p_type) AS sub_category, list(DISTINCT p_brand ORDER BY p_brand) AS brands,
+                list(DISTINCT p_name ORDER BY p_name) AS names
+         FROM part WHERE lower(p_type) <> 'promo' GROUP BY 1),
+tpl AS (SELECT tpl0.*, (SELECT list(DISTINCT n_name ORDER BY n_name) FROM nation) AS variants FROM tpl0),
+main AS (SELECT ranked.*, unnest(range(ranked.r, al.tc, al.n)) AS gen_index, -1 AS gen_chunk, 0 AS cseed
+         FROM ranked JOIN al USING (sub_category)),
+"""
+
+_EXP_EMIT = f"""
+emit AS (
+  SELECT rows.*, coalesce(t.brands, d.brands) AS brands, coalesce(t.names, d.names) AS names,
+         coalesce(t.variants, d.variants) AS variants
+  FROM rows LEFT JOIN tpl t ON rows.sub_category = t.sub_category
+  LEFT JOIN (SELECT * FROM tpl WHERE sub_category = 'standard') d ON true),
+sized AS (SELECT *, CAST(len(brands) * len(names) * len(variants) AS BIGINT) AS nn_,
+                 len(names) AS n_names, len(variants) AS n_vars FROM emit),
+perm AS (SELECT *, ((({_A} % nn_) * (gen_index % nn_))
+                    + ((gen_index // nn_) * {CYCLE_STEP} + {_SEED} + cseed * {CHUNK_STEP}) % nn_) % nn_ AS pos
+         FROM sized),
+named AS (SELECT *, brands[pos // (n_names * n_vars) + 1] || ' ' || names[(pos // n_vars) % n_names + 1]
+                    || ' - ' || variants[pos % n_vars + 1] AS product_name FROM perm)
+SELECT substr(sha256(product_name || '|' || hsn_code || '|' || CAST(gen_index AS VARCHAR)), 1, 16) AS product_id,
+       product_name, sub_category, hsn_code, gst_description, igst_rate,
+       CAST(gen_index AS BIGINT) AS gen_index, CAST(gen_chunk AS INTEGER) AS gen_chunk
+FROM named
+"""
+
+_T_SYN = "((SELECT count(*) FROM lineitem) + (SELECT count(*) FROM nation))"
+ORACLES["expand_synthetic"] = "WITH " + _EXP_BASE.format(target=_T_SYN) + f"""
+cats AS (SELECT sub_category, n, row_number() OVER (ORDER BY n DESC, fp) - 1 AS ci,
+                count(*) OVER () AS k FROM al),
+deficit AS (SELECT {_T_SYN} - (SELECT sum(tc) FROM al) AS d),
+padidx AS (SELECT g.range AS rr FROM deficit, range(CAST(greatest(deficit.d, 0) AS BIGINT)) g),
+pad AS (SELECT ranked.*, p.rr % 1000 AS gen_index, CAST(p.rr // 1000 AS INTEGER) AS gen_chunk,
+               p.rr // 1000 + 1 AS cseed
+        FROM padidx p JOIN cats c ON (p.rr // 1000) % c.k = c.ci
+        JOIN ranked ON ranked.sub_category = c.sub_category AND ranked.r = (p.rr % 1000) % c.n),
+rows AS (SELECT sub_category, hsn_code, gst_description, igst_rate, gen_index, gen_chunk, cseed FROM main
+         UNION ALL
+         SELECT sub_category, hsn_code, gst_description, igst_rate, gen_index, gen_chunk, cseed FROM pad),
+""" + _EXP_EMIT
+
+_T_TRIM = "((SELECT count(*) FROM orders) // 10)"
+ORACLES["expand_trim"] = "WITH " + _EXP_BASE.format(target=_T_TRIM) + """
+rows AS (SELECT sub_category, hsn_code, gst_description, igst_rate, gen_index, gen_chunk, cseed FROM main),
+""" + _EXP_EMIT + f"""
+ORDER BY md5('{_SEED}' || '|' || sub_category || '|' || CAST(gen_index AS VARCHAR))
+LIMIT {_T_TRIM}
+"""
+
+ORACLES["allocate"] = "WITH " + _EXP_BASE.format(target=_T_SYN).rstrip().rstrip(",").split("ranked AS")[0] \
+    .rstrip().rstrip(",") + "\nSELECT sub_category, n, tc AS target FROM al"
+
+_T_SIMPLE = "(SELECT count(*) FROM orders)"
+ORACLES["expand_simple"] = "WITH " + _EXP_BASE.format(target=_T_SIMPLE).rstrip().rstrip(",") + """
+SELECT substr(sha256(hsn_code || '|' || CAST(gen_index AS VARCHAR)), 1, 16) AS product_id,
+       gst_description || ' - Variant ' || CAST(gen_index + 1 AS VARCHAR) AS product_name,
+       sub_category, hsn_code, CAST(gen_index AS BIGINT) AS gen_index
+FROM main
+"""
+
+# -------------------------------------------------------------- catalog
+
+_CAT = """
+rec AS (SELECT CASE WHEN p_partkey % 97 = 0 THEN '' ELSE CAST((p_partkey % 1500) * 3 AS VARCHAR) END AS code,
+               p_name AS d, CAST((p_size % 4) * 6 AS DOUBLE) AS rate, p_brand AS src, p_partkey AS ord
+        FROM part),
+pc AS (SELECT code, arg_max(d, ord) AS d, arg_max(rate, ord) AS rate, arg_max(src, ord) AS src, min(ord) AS fp
+       FROM rec WHERE code <> '' GROUP BY code),
+cat AS (SELECT c_custkey AS ord, c_name AS name,
+               CASE WHEN c_custkey % 11 = 0 THEN ''
+                    ELSE CAST(c_custkey * 7 AS VARCHAR) || CASE c_custkey % 3 WHEN 0 THEN '' WHEN 1 THEN '01' ELSE '9' END
+               END AS sku
+        FROM customer),
+ex AS (SELECT cat.ord, pc.code FROM cat JOIN pc ON cat.sku = pc.code),
+px AS (SELECT cat.ord, arg_min(pc.code, pc.fp) AS code FROM cat JOIN pc
+         ON cat.sku <> '' AND starts_with(cat.sku, substr(pc.code, 1, 4)) GROUP BY cat.ord),
+m AS (SELECT cat.*, coalesce(ex.code, px.code) AS mcode,
+             CASE WHEN ex.code IS NOT NULL THEN 'exact' ELSE 'prefix' END AS match_kind
+      FROM cat LEFT JOIN ex ON cat.ord = ex.ord LEFT JOIN px ON cat.ord = px.ord
+      WHERE coalesce(ex.code, px.code) IS NOT NULL)
+"""
+
+ORACLES["enrich_catalog"] = "WITH " + _CAT + """
+SELECT substr(sha256('catalog|' || m.name || '|' || m.sku), 1, 16) AS product_id, m.name AS product_name,
+       CASE WHEN m.sku <> '' THEN m.sku ELSE pc.code END AS hsn_code, pc.d AS gst_description,
+       pc.rate AS igst_rate, pc.src AS source_name, m.match_kind, m.ord
+FROM m JOIN pc ON pc.code = m.mcode
+"""
+
+ORACLES["catalog_match_stats"] = "WITH " + _CAT + """
+SELECT (SELECT count(*) FROM m) AS matched, (SELECT count(*) FROM cat) AS total
+"""
+
+ORACLES["catalog_unmatched"] = "WITH " + _CAT + """
+SELECT name AS product_name, sku AS hsn_code, ord FROM cat WHERE ord NOT IN (SELECT ord FROM m)
+"""
