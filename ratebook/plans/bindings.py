@@ -567,3 +567,132 @@ def q_catalog_match_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_catalog_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SKUs without a match (anti join)."""
     return X.catalog_unmatched(customer_catalog(spark, sf_dir), part_lookup_records(spark, sf_dir))
+
+
+# --------------------------------------------------------------- ledger
+
+from ratebook.functions.text import cache_key  # noqa: E402
+from ratebook.operators import ledger as J  # noqa: E402
+
+TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def event_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs: one per user with a signup event (its first signup = enqueue)."""
+    e = table(spark, sf_dir, "events").filter(F.col("event_type") == "signup")
+    u = F.col("user_id")
+    pr = F.when(u % 4 == 0, "high").when(u % 4 == 1, "medium").when(u % 4 == 2, "low").otherwise("urgent")
+    return (e.groupBy("user_id").agg(F.min("ts").alias("created_at"))
+             .select(u.alias("job_id"), F.concat(F.lit("user "), u.cast("string")).alias("source_name"),
+                     F.concat(F.lit("https://src.example/u"), u.cast("string")).alias("url"),
+                     F.when(u % 5 == 0, "pdf").otherwise("html").alias("source_type"),
+                     pr.alias("priority"), (u % 10 == 0).alias("is_primary"), "created_at"))
+
+
+def event_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transitions: view/click -> in_progress, purchase -> completed
+    (detail = cache path), error -> failed (detail = props)."""
+    e = table(spark, sf_dir, "events").filter(F.col("event_type") != "signup")
+    t = (F.when(F.col("event_type").isin("view", "click"), "in_progress")
+          .when(F.col("event_type") == "purchase", "completed").otherwise("failed"))
+    detail = (F.when(t == "completed", F.concat(F.lit("cache/u"), F.col("user_id").cast("string"), F.lit("_"),
+                                                  F.col("event_id").cast("string"), F.lit(".html")))
+               .when(t == "failed", F.col("props")))
+    return e.select(F.col("user_id").alias("job_id"), "ts", F.col("event_id").alias("seq"),
+                    t.alias("transition"), detail.alias("detail"))
+
+
+def event_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return J.fold_transitions(event_jobs(spark, sf_dir), event_transitions(spark, sf_dir))
+
+
+def _ts(c: str):
+    return F.date_format(c, TS_FMT).alias(c)
+
+
+def _now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").agg(F.max("ts").alias("__now"))
+
+
+@register("ledger_fold")
+def q_ledger_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger state folded from the event log."""
+    led = event_ledger(spark, sf_dir)
+    return led.select("job_id", "status", "retries", "content_path", "error", _ts("created_at"), _ts("updated_at"))
+
+
+def enqueued_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    p = F.col("o_orderpriority")
+    pr = (F.when(p.isin("1-URGENT", "2-HIGH"), "high").when(p == "3-MEDIUM", "medium")
+           .when(p == "5-LOW", "low").otherwise("unspecified"))
+    src = o.select(F.col("o_custkey").alias("job_id"),
+                   F.concat(F.lit("cust "), F.col("o_custkey").cast("string")).alias("source_name"),
+                   F.concat(F.lit("https://src.example/u"), F.col("o_custkey").cast("string")).alias("url"),
+                   F.lit("html").alias("source_type"), pr.alias("priority"),
+                   (F.col("o_orderstatus") == "F").alias("is_primary"), F.col("o_orderkey").alias("ord"))
+    led = J.with_now(event_ledger(spark, sf_dir), _now(spark, sf_dir))
+    out = J.enqueue(led.drop("__now"), src, F.lit(None).cast("timestamp"))
+    return out
+
+
+@register("ledger_enqueue")
+def q_ledger_enqueue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order customers enqueued as sources; known urls ignored."""
+    return enqueued_ledger(spark, sf_dir).select("job_id", "url", "status", "priority", "is_primary", "retries")
+
+
+@register("ledger_pending")
+def q_ledger_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retryable jobs in queue order."""
+    return J.pending(enqueued_ledger(spark, sf_dir)).select(
+        "job_id", "priority", "is_primary", "status", "retries")
+
+
+@register("ledger_completed")
+def q_ledger_completed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3."""
+    return J.completed(event_ledger(spark, sf_dir)).select("job_id", "content_path")
+
+
+@register("ledger_reset_stale")
+def q_ledger_reset_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """in_progress jobs idle for 30+ minutes at the log's last event -> pending."""
+    led = J.with_now(event_ledger(spark, sf_dir), _now(spark, sf_dir))
+    out = J.reset_stale(led, F.col("__now"))
+    return out.select("job_id", "status", _ts("updated_at"))
+
+
+@register("parse_results")
+def q_parse_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchase events as parse results, counted per job."""
+    e = table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
+    res = e.select(F.col("user_id").alias("job_id"),
+                   F.round(F.col("value")).cast("long").alias("record_count"),
+                   F.when(F.col("event_id") % 10 == 0, "failed").otherwise("completed").alias("status"))
+    return J.record_parse(res)
+
+
+@register("latest_checkpoint")
+def q_latest_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Click events as checkpoint saves; the last save per stage."""
+    e = table(spark, sf_dir, "events").filter(F.col("event_type") == "click")
+    saves = e.select(F.concat(F.lit("stage"), (F.col("event_id") % 4).cast("string")).alias("stage"),
+                     F.concat(F.lit("ckpt/"), F.col("event_id").cast("string")).alias("data_path"),
+                     F.col("user_id").alias("row_count"), F.col("ts").alias("created_at"),
+                     F.col("event_id").alias("seq"))
+    out = J.latest_checkpoint(saves)
+    return out.select("stage", "data_path", "row_count", _ts("created_at"))
+
+
+@register("job_stats")
+def q_job_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs per status."""
+    return J.job_stats(event_ledger(spark, sf_dir))
+
+
+@register("cache_key")
+def q_cache_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page cache names from page urls."""
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", "url", cache_key("url").alias("cache_key"))

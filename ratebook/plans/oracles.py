@@ -544,3 +544,90 @@ SELECT (SELECT count(*) FROM m) AS matched, (SELECT count(*) FROM cat) AS total
 ORACLES["catalog_unmatched"] = "WITH " + _CAT + """
 SELECT name AS product_name, sku AS hsn_code, ord FROM cat WHERE ord NOT IN (SELECT ord FROM m)
 """
+
+# --------------------------------------------------------------- ledger
+
+_JOBS = """
+jobs AS (SELECT user_id AS job_id, min(ts) AS created_at,
+                CASE user_id % 4 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' WHEN 2 THEN 'low' ELSE 'urgent' END AS priority,
+                user_id % 10 = 0 AS is_primary, 'https://src.example/u' || CAST(user_id AS VARCHAR) AS url
+         FROM events WHERE event_type = 'signup' GROUP BY user_id),
+tr AS (SELECT user_id AS job_id, ts, event_id AS seq,
+              CASE WHEN event_type IN ('view', 'click') THEN 'in_progress'
+                   WHEN event_type = 'purchase' THEN 'completed' ELSE 'failed' END AS t,
+              CASE WHEN event_type = 'purchase' THEN 'cache/u' || CAST(user_id AS VARCHAR) || '_'
+                                                    || CAST(event_id AS VARCHAR) || '.html'
+                   WHEN event_type = 'error' THEN props END AS detail
+       FROM events WHERE event_type <> 'signup'),
+agg AS (SELECT tr.job_id, arg_max(t, {'a': tr.ts, 'b': seq}) AS last_t,
+               count(*) FILTER (WHERE t = 'failed') AS retries,
+               max({'a': tr.ts, 'b': seq}) FILTER (WHERE t = 'failed') AS lf,
+               max({'a': tr.ts, 'b': seq}) FILTER (WHERE t = 'completed') AS lc,
+               arg_max(detail, {'a': tr.ts, 'b': seq}) FILTER (WHERE t = 'failed') AS err,
+               arg_max(detail, {'a': tr.ts, 'b': seq}) FILTER (WHERE t = 'completed') AS content_path,
+               max(tr.ts) AS upd
+        FROM tr JOIN jobs ON tr.job_id = jobs.job_id WHERE tr.ts >= jobs.created_at GROUP BY tr.job_id),
+led AS (SELECT jobs.*, coalesce(last_t, 'pending') AS status, CAST(coalesce(retries, 0) AS BIGINT) AS retries,
+               content_path, CASE WHEN lf IS NOT NULL AND (lc IS NULL OR lf > lc) THEN err END AS error,
+               coalesce(upd, created_at) AS updated_at
+        FROM jobs LEFT JOIN agg ON jobs.job_id = agg.job_id)
+"""
+
+ORACLES["ledger_fold"] = "WITH " + _JOBS + """
+SELECT job_id, status, retries, content_path, error, strftime(created_at, '%Y-%m-%d %H:%M:%S.%f') AS created_at,
+       strftime(updated_at, '%Y-%m-%d %H:%M:%S.%f') AS updated_at FROM led
+"""
+
+ORACLES["ledger_completed"] = "WITH " + _JOBS + "SELECT job_id, content_path FROM led WHERE status = 'completed'"
+
+ORACLES["job_stats"] = "WITH " + _JOBS + "SELECT status, count(*) AS n FROM led GROUP BY status"
+
+ORACLES["ledger_reset_stale"] = "WITH " + _JOBS + """,
+nw AS (SELECT max(ts) AS now FROM events),
+st AS (SELECT led.*, status = 'in_progress' AND updated_at < now - INTERVAL 30 MINUTE AS stale FROM led, nw)
+SELECT job_id, CASE WHEN stale THEN 'pending' ELSE status END AS status,
+       strftime(CASE WHEN stale THEN now ELSE updated_at END, '%Y-%m-%d %H:%M:%S.%f') AS updated_at
+FROM st, nw
+"""
+
+_ENQ = "WITH " + _JOBS + """,
+src AS (SELECT 'https://src.example/u' || CAST(o_custkey AS VARCHAR) AS url,
+               arg_min(o_custkey, o_orderkey) AS job_id,
+               arg_min(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'high'
+                            WHEN o_orderpriority = '3-MEDIUM' THEN 'medium'
+                            WHEN o_orderpriority = '5-LOW' THEN 'low' ELSE 'unspecified' END, o_orderkey) AS priority,
+               arg_min(o_orderstatus = 'F', o_orderkey) AS is_primary
+        FROM orders GROUP BY 1),
+enq AS (SELECT job_id, url, status, priority, is_primary, retries, 3 AS max_retries FROM led
+        UNION ALL
+        SELECT job_id, url, 'pending', priority, is_primary, CAST(0 AS BIGINT), 3 FROM src
+        WHERE url NOT IN (SELECT url FROM led))
+"""
+
+ORACLES["ledger_enqueue"] = _ENQ + "SELECT job_id, url, status, priority, is_primary, retries FROM enq"
+
+ORACLES["ledger_pending"] = _ENQ + """
+SELECT job_id, priority, is_primary, status, retries FROM enq
+WHERE status IN ('pending', 'failed') AND retries < max_retries
+"""
+
+ORACLES["parse_results"] = """
+SELECT user_id AS job_id, count(*) AS results, CAST(sum(CAST(round(value) AS BIGINT)) AS BIGINT) AS records,
+       count(*) FILTER (WHERE event_id % 10 = 0) AS failed_results
+FROM events WHERE event_type = 'purchase' GROUP BY user_id
+"""
+
+ORACLES["latest_checkpoint"] = """
+SELECT 'stage' || CAST(event_id % 4 AS VARCHAR) AS stage,
+       arg_max('ckpt/' || CAST(event_id AS VARCHAR), {'a': ts, 'b': event_id}) AS data_path,
+       arg_max(user_id, {'a': ts, 'b': event_id}) AS row_count,
+       strftime(arg_max(ts, {'a': ts, 'b': event_id}), '%Y-%m-%d %H:%M:%S.%f') AS created_at
+FROM events WHERE event_type = 'click' GROUP BY 1
+"""
+
+ORACLES["cache_key"] = """
+SELECT page_id, url,
+       replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '.', '_') || '_'
+         || substr(md5(url), 1, 12) || '.html' AS cache_key
+FROM pages
+"""
