@@ -696,3 +696,65 @@ def q_cache_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page cache names from page urls."""
     p = table(spark, sf_dir, "pages")
     return p.select("page_id", "url", cache_key("url").alias("cache_key"))
+
+
+# ----------------------------------------------------------- extraction
+
+from ratebook.operators import extract as E  # noqa: E402
+
+PAGE_ROWS = 40
+
+
+def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HTML pages built from part, PAGE_ROWS parts per page (bounded groups):
+    a one-row decoy table, then the rate table with <thead>/<tbody>. Every
+    7th-ish row has an extra cell (cut), every 11th-ish misses its last cell
+    (padded), every 13th description carries an '&amp;' entity."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    cg = ((F.col("p_size") % 4) * 3).cast("string")
+    desc = F.concat(F.col("p_name"), F.when(k % 13 == 0, F.lit(" &amp; co")).otherwise(F.lit("")))
+    td = lambda c: F.concat(F.lit("<td>"), c, F.lit("</td>"))
+    row = F.concat(F.lit("<tr>"), td(((k % PAGE_ROWS) + 1).cast("string")), td(k.cast("string")), td(desc),
+                   td(F.concat(cg, F.lit("%"))),
+                   F.when(k % 11 == 5, F.lit("")).otherwise(td(F.concat(cg, F.lit(" %")))),
+                   F.when(k % 7 == 3, td(F.lit("x"))).otherwise(F.lit("")), F.lit("</tr>"))
+    pages = (p.select(F.floor(k / PAGE_ROWS).cast("long").alias("page_id"), k.alias("__k"), row.alias("__row"))
+              .groupBy("page_id")
+              .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__k", "__row"))),
+                                            lambda s: s["__row"]), "").alias("__rows")))
+    head = ("<html><head><title>Rates</title><script>var t='<table>';</script></head><body>"
+            "<table class='nav'><tr><td>Home</td><td>About</td></tr></table>"
+            "<table class='rates'><thead><tr><th>S. No.</th><th>HSN Code</th><th>Description</th>"
+            "<th>CGST Rate</th><th>SGST Rate</th></tr></thead><tbody>")
+    return pages.select("page_id", F.concat(F.lit("page "), F.col("page_id").cast("string")).alias("source"),
+                        F.concat(F.lit(head), F.col("__rows"), F.lit("</tbody></table></body></html>")).alias("html"))
+
+
+def _extracted_records(raw: DataFrame) -> DataFrame:
+    rec = N.normalize(raw.withColumnRenamed("source_name", "source_name"), source_name="html")
+    good, _ = N.split_errors(rec)
+    return good.select("ord.page_id", "ord.row_idx", "hsn_code", "gst_description", "serial_no",
+                       *[F.col(r).cast("double").alias(r) for r in N.RATES], "source_name",
+                       "confidence_flag", "product_id")
+
+
+@register("extract_tables")
+def q_extract_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1-E8, E10 (first strategy: table scoring, thead header) then N15."""
+    raw = E.extract(part_pages(spark, sf_dir), has_selector=False, source_col="source")
+    return _extracted_records(raw)
+
+
+@register("extract_fallback")
+def q_extract_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E9, E10 (fallback strategy, the configured behaviour) then N15."""
+    raw = E.extract(part_pages(spark, sf_dir), has_selector=True, source_col="source")
+    return _extracted_records(raw)
+
+
+@register("extract_pages")
+def q_extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1-E10 on the crawled pages table (no tables there: zero rows)."""
+    raw = E.extract(table(spark, sf_dir, "pages"), has_selector=False)
+    return raw.select("page_id", "table_idx", "row_idx", "strategy", "raw_text")

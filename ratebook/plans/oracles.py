@@ -631,3 +631,32 @@ SELECT page_id, url,
          || substr(md5(url), 1, 12) || '.html' AS cache_key
 FROM pages
 """
+
+# ----------------------------------------------------------- extraction
+
+_EXTRACTED = """
+WITH b AS (
+  SELECT p_partkey // 40 AS page_id, row_number() OVER (PARTITION BY p_partkey // 40 ORDER BY p_partkey) - 1 AS row_idx,
+         CAST(p_partkey AS VARCHAR) AS hsn_code,
+         p_name || CASE WHEN p_partkey % 13 = 0 THEN ' & co' ELSE '' END AS gst_description,
+         CAST(p_partkey % 40 + 1 AS VARCHAR) AS serial_no,
+         CAST((p_size % 4) * 3 AS DOUBLE) AS cg,
+         CASE WHEN p_partkey % 11 = 5 THEN 0.0 ELSE CAST((p_size % 4) * 3 AS DOUBLE) END AS sg,
+         'page ' || CAST(p_partkey // 40 AS VARCHAR) AS source_name
+  FROM part)
+SELECT page_id, row_idx, hsn_code, gst_description, serial_no, cg AS cgst_rate, sg AS sgst_rate,
+       cg + sg AS igst_rate, 0.0 AS cess_rate, source_name,
+       CASE (CASE WHEN length(hsn_code) < 2 THEN 1 ELSE 0 END + CASE WHEN cg + sg = 0 THEN 1 ELSE 0 END)
+         WHEN 0 THEN 'high' WHEN 1 THEN 'medium' ELSE 'review_required' END AS confidence_flag,
+       substr(sha256(hsn_code || '|' || gst_description || '|' || CAST(CAST(cg + sg AS BIGINT) AS VARCHAR)), 1, 16)
+         AS product_id
+FROM b
+"""
+
+ORACLES["extract_tables"] = _EXTRACTED
+ORACLES["extract_fallback"] = _EXTRACTED
+ORACLES["extract_pages"] = """
+SELECT page_id, CAST(NULL AS INTEGER) AS table_idx, CAST(NULL AS INTEGER) AS row_idx,
+       CAST(NULL AS INTEGER) AS strategy, CAST(NULL AS VARCHAR) AS raw_text
+FROM pages WHERE false
+"""
