@@ -758,3 +758,32 @@ def q_extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E1-E10 on the crawled pages table (no tables there: zero rows)."""
     raw = E.extract(table(spark, sf_dir, "pages"), has_selector=False)
     return raw.select("page_id", "table_idx", "row_idx", "strategy", "raw_text")
+
+
+# ------------------------------------------------------------ pipelines
+
+from ratebook.plans import pipelines as P  # noqa: E402
+
+
+def default_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One default template from the data: brands = part brands, names =
+    part types, variants = nation names (every category falls back to it)."""
+    p = table(spark, sf_dir, "part")
+    n = table(spark, sf_dir, "nation")
+    from ratebook.operators.joins import one_row_join
+    t = p.agg(F.array_sort(F.collect_set("p_brand")).alias("brands"),
+              F.array_sort(F.collect_set("p_type")).alias("names"))
+    v = n.agg(F.array_sort(F.collect_set("n_name")).alias("variants"))
+    return one_row_join(t, v).select(F.lit("furniture_misc").alias("sub_category"), "brands", "names", "variants")
+
+
+@register("pipeline_full_run")
+def q_pipeline_full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full run on lineitem raw rows: normalise, resolve (primary = supplier
+    7's feed), classify, expand to |orders| rows, override, report."""
+    raw = raw_lineitem_rows(spark, sf_dir)
+    target = table(spark, sf_dir, "orders").count()
+    seed = N.split_errors(N.normalize(raw.limit(0)))[0]
+    res = P.full_run(spark, raw, seed, default_templates(spark, sf_dir), target,
+                     primary="supplier 7", source_name="lineitem-feed")
+    return res.report
