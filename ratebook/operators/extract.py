@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ratebook.fixed import DIV_CLASS_PATTERN, TABLE_KEYWORDS
 from ratebook.functions.text import snake
+from ratebook.session import cut_lineage
 
 GRID_SCHEMA = ("page_id long, strategy int, table_idx int, n_tr int, row_idx int, "
                "is_header boolean, cells array<string>, error string")
@@ -321,7 +322,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
     configuration), so only the fallback applies — the default, as in the
     shipped configuration. Returns RAW rows: page_id, table_idx, row_idx,
     strategy, cells MAP, raw_text, source_name, ord."""
-    grids = page_grids(pages, id_col, html_col)
+    # The HTML parse is the expensive step and three branches read its
+    # output: checkpoint it once into the shared checkpoint folder.
+    grids = cut_lineage(page_grids(pages, id_col, html_col))
     parts = []
     if not has_selector:
         parts.append(_rows_from(grids, pick_best_table(grids), 1))
