@@ -787,3 +787,28 @@ def q_pipeline_full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = P.full_run(spark, raw, seed, default_templates(spark, sf_dir), target,
                      primary="supplier 7", source_name="lineitem-feed")
     return res.report
+
+
+@register("classify_documents_automaton")
+def q_classify_documents_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 + C2 + C4 through the many-rule path (one automaton pass per
+    text); must equal the CASE-chain result."""
+    d = table(spark, sf_dir, "documents")
+    cat = F.coalesce(C.keyword_category_many("text"), C.default_category())
+    return d.select("doc_id", cat.top_category.alias("top_category"),
+                    cat.sub_category.alias("sub_category"))
+
+
+@register("export_view")
+def q_export_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: canonical 17-column view of the customer records."""
+    return S.export_view(customer_records(spark, sf_dir))
+
+
+@register("load_stats")
+def q_load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, rows without an id, rows loaded, over the order-derived products."""
+    o = table(spark, sf_dir, "orders")
+    rows = o.select(F.when(F.col("o_orderkey") % 17 == 0, F.lit(""))
+                    .otherwise(F.col("o_orderkey").cast("string")).alias("product_id"))
+    return S.load_stats(S.to_product(rows))

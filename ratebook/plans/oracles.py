@@ -660,3 +660,22 @@ SELECT page_id, CAST(NULL AS INTEGER) AS table_idx, CAST(NULL AS INTEGER) AS row
        CAST(NULL AS INTEGER) AS strategy, CAST(NULL AS VARCHAR) AS raw_text
 FROM pages WHERE false
 """
+
+ORACLES["classify_documents_automaton"] = ORACLES["classify_documents"]
+
+ORACLES["export_view"] = f"""
+WITH r AS ({CUST_RECORDS})
+SELECT product_id, CAST(NULL AS VARCHAR) AS product_name, top_category, sub_category, hsn_code,
+       gst_description, CAST(NULL AS VARCHAR) AS schedule, CAST(NULL AS VARCHAR) AS serial_no,
+       CAST(cgst_rate AS DOUBLE) AS cgst_rate, CAST(sgst_rate AS DOUBLE) AS sgst_rate,
+       CAST(igst_rate AS DOUBLE) AS igst_rate, CAST(cess_rate AS DOUBLE) AS cess_rate,
+       CAST(NULL AS VARCHAR) AS effective_from, source_name, CAST(NULL AS VARCHAR) AS source_url,
+       CAST(NULL AS VARCHAR) AS raw_text, confidence_flag
+FROM (SELECT *, 'high' AS confidence_flag FROM r)
+"""
+
+ORACLES["load_stats"] = """
+SELECT count(*) AS total_rows, count(*) FILTER (WHERE o_orderkey % 17 = 0) AS bad_rows,
+       count(*) FILTER (WHERE o_orderkey % 17 <> 0) AS inserted
+FROM orders
+"""

@@ -89,3 +89,37 @@ def test_range_join_agrees_with_case(spark):
 def test_keyword_priority(spark, code, desc, top):
     df = spark.createDataFrame([(code, desc)], "hsn_code string, gst_description string")
     assert C.classify(df).first().top_category == top
+
+
+def test_rules_from_config():
+    kw, rr = C.rules_from_config({"classification": {
+        "hsn_rules": [{"hsn_prefix_start": 1, "hsn_prefix_end": 2, "top_category": "other",
+                       "sub_category": "jewelry"}],
+        "keyword_overrides": {"fan": "electronics"}}})
+    assert rr == [(1, 2, "other", "jewelry")] and kw == [("fan", "electronics")]
+    kw, rr = C.rules_from_config({"classification": {"hsn_rules": []}})
+    assert rr == HSN_RANGE_RULES and len(kw) == 48
+
+
+def test_many_rule_path_equals_case_chain(spark):
+    rules = [(f"w{i:03d}", "industrial" if i % 2 else "electronics") for i in range(300)] + [("car", "automotive")]
+    texts = ["x w150 y w007", "carpet", "nothing", None, "W299 upper", "w3000"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    a = [r[0] for r in df.select(C.keyword_category("t", rules, {})).collect()]
+    b = [r[0] for r in df.select(C.keyword_category_many("t", rules, {})).collect()]
+    assert a == b and a[0].top_category == "industrial" and a[1].top_category == "automotive"
+
+
+def test_run_summary(spark):
+    import datetime as dt
+    from ratebook.operators import summary as S
+    srcs = spark.createDataFrame([("a", "completed", 3), ("b", "failed", 0)], "source_name string, status string, rows int")
+    cats = spark.createDataFrame([("electronics",), ("electronics",), ("other",)], "top_category string")
+    rep = spark.createDataFrame([(True,)], "passed boolean")
+    t0 = dt.datetime(2024, 1, 1)
+    r = S.run_summary(t0, t0 + dt.timedelta(seconds=90), srcs, {"normalized_rows": cats}, cats, rep).first()
+    assert (r.sources_attempted, r.sources_succeeded, r.sources_failed) == (2, 1, 1)
+    assert r.normalized_rows == 3 and r.category_distribution == {"electronics": 2, "other": 1}
+    assert r.duration_sec == 90.0 and r.validation_passed
+    kv = {x.key: x.value for x in S.summary_kv(S.summary(cats.withColumn("hsn_code", cats.top_category))).collect()}
+    assert kv == {"total_records": "3", "unique_hsn_codes": "2"}
