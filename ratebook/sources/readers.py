@@ -17,11 +17,13 @@ def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFra
     partitions (e.g. one unsplittable row group). On a cluster reading many
     files the scan already has enough partitions and this is a no-op, so no
     shuffle is added at scale."""
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        sc = df.sparkSession.sparkContext
+        want = min_partitions or sc.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - Spark Connect exposes no partition count
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def read_parquet(spark: SparkSession, path: str, spread: bool = True) -> DataFrame:

@@ -136,3 +136,47 @@ def test_oracles_small(spark):
         if (sc, sr) != (dc, dr):
             bad.append(name)
     assert bad == []
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lookup_pushdown_on_product_table(spark, tmp_out):
+    from ratebook.operators import lookup as L
+    from ratebook.operators import summary as S
+    rows = [(f"p{i}", f"item {i}", str(8500 + i % 40), f"desc {i % 5}", 1.0 * (i % 4), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "product_id string, product_name string, hsn_code string, "
+                                     "gst_description string, igst_rate double, ord long")
+    path = os.path.join(tmp_out, "products")
+    sinks.load_products(df, path, mode="overwrite", partitions=4)
+    prod = spark.read.parquet(path)
+    plan = _plan(L.rate_by_code(prod, "851"))
+    assert "StringStartsWith(hsn_code,851)" in plan
+    plan = _plan(S.find_one(prod, "8512"))
+    assert "EqualTo(hsn_code,8512)" in plan
+    # Column pruning: a count of a filtered code reads only that column.
+    plan = _plan(prod.filter(F.col("hsn_code") == "8512").groupBy().count())
+    assert "ReadSchema: struct<hsn_code:string>" in plan
+    assert [r.product_id for r in L.rate_by_code(prod, "8512", limit=20).collect()] == ["p12"]
+
+
+def test_csv_issue_and_raw_sinks(spark, tmp_out):
+    from ratebook.operators import quality as V
+    rec = spark.createDataFrame([("a", "", "Rice", 5.0, "S1", 0)],
+                                "product_id string, hsn_code string, gst_description string, "
+                                "igst_rate double, source_name string, ord int")
+    for c in ("cgst_rate", "sgst_rate", "cess_rate"):
+        rec = rec.withColumn(c, F.lit(0.0))
+    rec = rec.withColumn("top_category", F.lit("other")).withColumn("sub_category", F.lit("uncategorized"))
+    sinks.write_csv(rec, os.path.join(tmp_out, "csv"))
+    back = spark.read.option("header", True).csv(os.path.join(tmp_out, "csv")).first()
+    assert back.product_id == "a" and back.igst_rate == "5.0"
+    sinks.write_issues(V.validate_issues(rec), os.path.join(tmp_out, "issues"))
+    iss = spark.read.option("header", True).csv(os.path.join(tmp_out, "issues")).collect()
+    assert {r.issue_type for r in iss} == {"missing_hsn"}
+    raw = spark.createDataFrame([("Src A!", {"hsn": "1"})], "source_name string, cells map<string,string>")
+    sinks.write_raw(raw, os.path.join(tmp_out, "raw"))
+    assert os.path.isdir(os.path.join(tmp_out, "raw", "source_slug=src_a_"))
+    sinks.write_chunks(rec, os.path.join(tmp_out, "chunks"), chunk_rows=1, exact=True)
+    assert spark.read.parquet(os.path.join(tmp_out, "chunks")).count() == 1
