@@ -32,12 +32,12 @@ def parse_rate(c: Column | str, dtype: T.DataType | None = None) -> Column:
     if _is_numeric(x, dtype):
         return F.coalesce(x.try_cast(RATE_TYPE), zero_rate())
     s = F.lower(trim_ws(x.cast("string")))
-    # Each step reads the previous one once (a linear expression, no
-    # duplication): substring_index returns the whole text when the
-    # delimiter is absent, and trimming trimmed text changes nothing.
-    s1 = trim_ws(F.replace(s, F.lit("%"), F.lit("")))
-    s2 = trim_ws(F.substring_index(s1, "to", 1))
-    s3 = trim_ws(F.substring_index(s2, " or ", 1))
+    # Cut at the first 'to', then at the first ' or ' (substring_index gives
+    # the whole text when the delimiter is absent), then take the first
+    # number. Blanks around the pieces never change which number is first,
+    # so only the zero-word test needs the trimmed text.
+    s1 = F.replace(s, F.lit("%"), F.lit(""))
+    s3 = F.substring_index(F.substring_index(s1, "to", 1), " or ", 1)
     num = F.regexp_extract(s3, "[0-9.]+", 0).try_cast(RATE_TYPE)
     return (F.when(x.isNull() | s.isin(*RATE_ZERO_WORDS), zero_rate())
             .otherwise(F.coalesce(num, zero_rate())))

@@ -28,8 +28,8 @@ def snake(c: Column | str) -> Column:
 def clean_hsn(c: Column | str) -> Column:
     """Table-level code cleaning: trim; drop dots, white space and dashes; strip
     leading and trailing non-digits (inner letters stay); null -> ''."""
-    s = F.regexp_replace(trim_ws(F.coalesce(col_of(c).cast("string"), F.lit(""))),
-                         r"(?U)[.\s\-]", "")
+    # Every white space character is removed here, so no separate trim.
+    s = F.regexp_replace(F.coalesce(col_of(c).cast("string"), F.lit("")), r"(?U)[.\s\-]", "")
     s = F.regexp_replace(s, "^[^0-9]+", "")
     return F.regexp_replace(s, "[^0-9]+$", "")
 
