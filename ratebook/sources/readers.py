@@ -46,10 +46,8 @@ def read_seed(spark: SparkSession, path: str, source_name: str = SEED_SOURCE,
               source_url: str = "") -> DataFrame:
     """Seed CSV (hsn_code, gst_description, igst_rate, cess_rate,
     schedule) -> records. cgst = sgst = igst / 2 when igst > 0 else 0;
-    confidence high; file order kept in ``ord`` (file name, row number)."""
-    raw = (spark.read.schema(SEED_SCHEMA).option("header", True).csv(path)
-                .withColumn("ord", F.struct(F.input_file_name().alias("f"),
-                                            F.monotonically_increasing_id().alias("i"))))
+    confidence high; file order kept in ``ord``."""
+    raw = spark.read.schema(SEED_SCHEMA).option("header", True).csv(path).withColumn("ord", file_order())
     return seed_records(raw, source_name, source_url)
 
 
@@ -74,13 +72,20 @@ def seed_records(raw: DataFrame, source_name: str = SEED_SOURCE, source_url: str
 RAW_JSON_SCHEMA = T.MapType(T.StringType(), T.StringType())
 
 
+def file_order() -> "F.Column":
+    """Order of rows as stored: (file path, split start, position). The id
+    increases with row order inside a split; splits of one file are ordered
+    by their start offset, so large files keep their order too."""
+    return F.struct(F.col("_metadata.file_path").alias("f"),
+                    F.col("_metadata.file_block_start").alias("b"),
+                    F.monotonically_increasing_id().alias("i"))
+
+
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """Parsed-row JSON files (one object per line, all values as text)
     -> RAW rows; order = (file name, position)."""
     txt = spark.read.text(path)
-    return txt.select(
-        F.from_json("value", RAW_JSON_SCHEMA).alias("cells"),
-        F.struct(F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i")).alias("ord"))
+    return txt.select(F.from_json("value", RAW_JSON_SCHEMA).alias("cells"), file_order().alias("ord"))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -95,8 +100,7 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     for c in ("hsn_code", "product_name"):
         if c not in df.columns:
             df = df.withColumn(c, F.lit(""))
-    return df.withColumn("ord", F.struct(F.input_file_name().alias("f"),
-                                         F.monotonically_increasing_id().alias("i")))
+    return df.withColumn("ord", file_order())
 
 
 def read_products(spark: SparkSession, path: str) -> DataFrame:

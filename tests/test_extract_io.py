@@ -180,3 +180,20 @@ def test_csv_issue_and_raw_sinks(spark, tmp_out):
     assert os.path.isdir(os.path.join(tmp_out, "raw", "source_slug=src_a_"))
     sinks.write_chunks(rec, os.path.join(tmp_out, "chunks"), chunk_rows=1, exact=True)
     assert spark.read.parquet(os.path.join(tmp_out, "chunks")).count() == 1
+
+
+def test_read_seed_and_fallback(spark, tmp_out):
+    import hashlib
+    from ratebook.sources.readers import read_seed, with_seed_fallback
+    p = os.path.join(tmp_out, "seed.csv")
+    with open(p, "w") as f:
+        f.write("hsn_code,gst_description,igst_rate,cess_rate,schedule\n0401,Fresh milk,0,0,I\n"
+                "1006,Rice,5,0,I\n8703,Cars,28,15,IV\n")
+    seed = read_seed(spark, p)
+    rows = seed.orderBy("ord").collect()
+    assert [r.hsn_code for r in rows] == ["0401", "1006", "8703"]   # leading zero kept
+    assert [float(r.cgst_rate) for r in rows] == [0.0, 2.5, 14.0]
+    assert rows[1].product_id == hashlib.sha256(b"1006|Rice|5").hexdigest()[:16]
+    empty = seed.filter(F.lit(False))
+    assert with_seed_fallback(empty, seed).count() == 3
+    assert with_seed_fallback(seed.limit(1), empty).count() == 1
