@@ -25,7 +25,7 @@ import re
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratebook.fixed import DIV_CLASS_PATTERN, TABLE_KEYWORDS
@@ -290,12 +290,17 @@ def _rows_from(grids: DataFrame, best: DataFrame, strategy: int) -> DataFrame:
         hdr = hdr.select("page_id", "table_idx", joined.alias("__h"))
     else:
         hdr = hdr.select("page_id", "table_idx", F.col("__last").alias("__h"))
+    if strategy == 1:
+        # Widest body row per table (partial aggregate, joined back).
+        widths = (g.filter(~F.col("is_header")).groupBy("page_id", "table_idx")
+                   .agg(F.max(F.size("cells")).alias("__bw")))
+        hdr = hdr.join(widths, ["page_id", "table_idx"], "full")
     body = g.filter(~F.col("is_header")).join(hdr, ["page_id", "table_idx"], "left")
     width = F.coalesce(F.size("__h"), F.lit(0))
     if strategy == 1:
         # Columns: the header names, or positions 0..w-1 without a header;
         # missing / empty cells are missing values; all-missing rows dropped.
-        w = F.greatest(width, F.max(F.size("cells")).over(Window.partitionBy("page_id", "table_idx")))
+        w = F.greatest(width, F.coalesce(F.col("__bw"), F.lit(0)))
         names = F.when(F.col("__h").isNotNull(), clean_headers(F.col("__h"))).otherwise(
             F.transform(F.sequence(F.lit(0), w - 1), lambda x: x.cast("string")))
         vals = F.transform(F.sequence(F.lit(0), F.size(names) - 1),
