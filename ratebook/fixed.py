@@ -25,6 +25,12 @@ SUB_CATEGORIES = [
 # FIXED VALUES: confidence flags, best first.
 CONFIDENCE_FLAGS = ["high", "medium", "review_required"]
 
+# FIXED VALUES: lineage of the seed table's records, and the name of the
+# primary (official) source that wins conflicts by default.
+SEED_SOURCE_NAME = "Embedded Fallback (CBIC 2025)"
+SEED_SOURCE_URL = "https://www.cbic-gst.gov.in"
+PRIMARY_SOURCE_NAME = "CBIC GST Goods Rates"
+
 DEFAULT_TOP = "other"
 DEFAULT_SUB = "uncategorized"
 DEFAULT_TEMPLATE_SUB = "furniture_misc"

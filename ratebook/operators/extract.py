@@ -329,6 +329,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
     strategy, cells MAP, raw_text, source_name, ord."""
     # The HTML parse is the expensive step and three branches read its
     # output: checkpoint it once into the shared checkpoint folder.
+    _last_value_wins(pages)
     grids = cut_lineage(page_grids(pages, id_col, html_col))
     parts = []
     if not has_selector:
@@ -347,6 +348,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
     return rows.withColumn("ord", F.struct("page_id", "table_idx", "row_idx"))
 
 
+def _last_value_wins(df: DataFrame) -> None:
+    """Rows become maps keyed by header: a repeated header keeps its last
+    value (at its first position), which is Spark's LAST_WIN dedup policy."""
+    df.sparkSession.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+
+
 def extract_errors(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Pages whose content is empty or could not be parsed (error per page)."""
     return page_grids(pages, id_col, html_col).filter(F.col("error").isNotNull()).select("page_id", "error")
@@ -356,6 +363,7 @@ def grid_to_rows(grid: DataFrame, header_first: bool = True) -> DataFrame:
     """E4-E7 on a single-document cell grid (page_id, row_idx, cells) such as
     a PDF table: row 0 = header; grids with < 2 rows and all-empty rows are
     dropped; short rows padded, long rows cut; duplicate headers: last wins."""
+    _last_value_wins(grid)
     sizes = grid.groupBy("page_id").agg(F.count(F.lit(1)).alias("__n"))
     g = grid.join(sizes, "page_id").filter(F.col("__n") >= 2)
     hdr = g.filter(F.col("row_idx") == 0).select("page_id", clean_headers(

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratebook.fixed import SEED_SOURCE_NAME, SEED_SOURCE_URL
 from ratebook.functions.rates import RATE_TYPE
 
 
@@ -39,11 +40,8 @@ SEED_SCHEMA = T.StructType([
     T.StructField("schedule", T.StringType()),
 ])
 
-SEED_SOURCE = "Fallback Seed Data"
-
-
-def read_seed(spark: SparkSession, path: str, source_name: str = SEED_SOURCE,
-              source_url: str = "") -> DataFrame:
+def read_seed(spark: SparkSession, path: str, source_name: str = SEED_SOURCE_NAME,
+              source_url: str = SEED_SOURCE_URL) -> DataFrame:
     """Seed CSV (hsn_code, gst_description, igst_rate, cess_rate,
     schedule) -> records. cgst = sgst = igst / 2 when igst > 0 else 0;
     confidence high; file order kept in ``ord``."""
@@ -51,7 +49,8 @@ def read_seed(spark: SparkSession, path: str, source_name: str = SEED_SOURCE,
     return seed_records(raw, source_name, source_url)
 
 
-def seed_records(raw: DataFrame, source_name: str = SEED_SOURCE, source_url: str = "") -> DataFrame:
+def seed_records(raw: DataFrame, source_name: str = SEED_SOURCE_NAME,
+                 source_url: str = SEED_SOURCE_URL) -> DataFrame:
     from ratebook.functions.text import dec_text, stable_id
     igst = F.col("igst_rate").cast(RATE_TYPE)
     half = F.when(igst > 0, (igst / 2).cast(RATE_TYPE)).otherwise(F.lit(0).cast(RATE_TYPE))
