@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratebook.fixed import PRIORITY_ORDER, STALE_MINUTES
-from ratebook.functions.text import cache_key  # noqa: F401  (J9 lives in functions)
 from ratebook.operators.joins import one_row_join
 
 LEDGER_COLS = ["job_id", "source_name", "url", "source_type", "priority", "is_primary", "status",

@@ -762,7 +762,7 @@ def q_extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------ pipelines
 
-from ratebook.plans import pipelines as P  # noqa: E402
+from ratebook.plans import runs as P  # noqa: E402
 
 
 def default_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -777,8 +777,8 @@ def default_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one_row_join(t, v).select(F.lit("furniture_misc").alias("sub_category"), "brands", "names", "variants")
 
 
-@register("pipeline_full_run")
-def q_pipeline_full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+@register("full_run_report")
+def q_full_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full run on lineitem raw rows: normalise, resolve (primary = supplier
     7's feed), classify, expand to |orders| rows, override, report."""
     raw = raw_lineitem_rows(spark, sf_dir)

@@ -148,3 +148,38 @@ def test_ledger_fold_and_queue(spark):
     assert len(new) == 5 and new["u8"].job_id == 8 and new["u1"].status == "completed"
     order = [r.job_id for r in J.pending(enq).collect()]
     assert order == [8, 4]  # unknown (null) priority sorts first
+
+
+def test_envelope_and_nested_categories(spark):
+    import json
+    df = products(spark)
+    env = json.loads(L.envelope(L.rate_by_product(df, "ring"), "ring").first().json)
+    assert env["query"] == "ring" and env["total_results"] == 5
+    assert [p["product_id"] for p in env["products"]] == ["p0", "p1", "p2", "p4", "p5"]
+    flat = {(r.top_category, r.sub_category): r.product_count
+            for r in L.categories(df).filter("level = 'sub'").collect()}
+    nested = L.categories_nested(df).collect()
+    assert sum(r.total_products for r in nested) == sum(flat.values()) == 8
+    for r in nested:
+        counts = [s.product_count for s in r.sub_categories]
+        assert counts == sorted(counts, reverse=True)
+        assert {(r.top_category, s.name): s.product_count for s in r.sub_categories}.items() <= flat.items()
+
+
+def test_full_run_small(spark):
+    """The full run on a small raw fixture against a brute-force count."""
+    from ratebook.operators import normalize as N
+    from ratebook.plans import runs
+    raw_rows = [(i, [("HSN", str(1000 + i % 7)), ("Description", f"item {i % 5}"), ("Rate", f"{(i % 3) * 6}%")])
+                for i in range(40)]
+    raw = (spark.createDataFrame(raw_rows, "ord int, kv array<struct<k:string,v:string>>")
+                .select("ord", F.map_from_entries("kv").alias("cells")))
+    tpl = spark.createDataFrame([("furniture_misc", ["B"], ["N1", "N2"], ["V"])],
+                                "sub_category string, brands array<string>, names array<string>, variants array<string>")
+    good = N.split_errors(N.normalize(raw))[0]
+    res = runs.full_run(spark, raw, good.filter(F.lit(False)), tpl, 123, primary="none")
+    rep = res.report.first()
+    assert rep.total_records == 123 and res.products.count() == 123
+    # resolved base = distinct (code, description) pairs of the fixture
+    keys = {(str(1000 + i % 7), f"item {i % 5}") for i in range(40)}
+    assert len({(r.hsn_code, r.gst_description) for r in res.products.collect()}) == len(keys)

@@ -116,7 +116,7 @@ def test_entry_and_registry(spark):
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
     rows_only = set(q) - set(o)
-    assert rows_only <= {"envelope", "categories_nested", "pipeline_full_run"}
+    assert rows_only <= {"envelope", "categories_nested", "full_run_report"}
 
 
 def test_oracles_small(spark):
