@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,11 +61,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss;
-    localCheckpoint would not)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` once as a Parquet stage table in the shared
+    checkpoint folder and continue from it.
+
+    One job writes it (a reliable ``checkpoint()`` of an unpersisted frame
+    would compute it twice); readers get column pruning; the files survive
+    executor loss (``localCheckpoint`` would not)."""
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), "ratebook-stages", uuid.uuid4().hex)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def stage_path(spark: SparkSession, *parts: str) -> str:
