@@ -8,6 +8,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale. AQE re-plans joins/partition counts at
@@ -62,15 +63,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once as a Parquet stage table in the shared
-    checkpoint folder and continue from it.
-
-    One job writes it (a reliable ``checkpoint()`` of an unpersisted frame
-    would compute it twice); readers get column pruning; the files survive
-    executor loss (``localCheckpoint`` would not)."""
+    """Reliable checkpoint of ``df`` into the shared checkpoint folder.
+
+    The frame is persisted first, so it is computed once (an unpersisted
+    reliable checkpoint computes it twice: once for the job, once for the
+    files); the cached copy is released once the files are written. The
+    files survive executor loss (``localCheckpoint`` would not)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
+
+
+def write_stage_table(df: DataFrame, name: str | None = None) -> DataFrame:
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder
+    and continue from it (for stages worth keeping or re-reading by column)."""
     spark = df.sparkSession
-    path = os.path.join(ensure_checkpoint_dir(spark), "ratebook-stages", uuid.uuid4().hex)
-    df.write.parquet(path)
+    path = os.path.join(ensure_checkpoint_dir(spark), "ratebook-stages", name or uuid.uuid4().hex)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
