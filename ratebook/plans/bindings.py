@@ -18,6 +18,18 @@ from ratebook.operators import classify as C
 from ratebook.operators import lookup as L
 from ratebook.session import apply_scale_conf
 from ratebook.sources.readers import read_parquet
+from ratebook.functions.dates import parse_date
+from ratebook.functions.rates import coerce_rate, parse_rate
+from ratebook.functions.text import clean_hsn, strip_hsn
+from ratebook.operators import normalize as N
+from ratebook.functions.rates import RATE_TYPE
+from ratebook.operators import quality as V
+from ratebook.operators import summary as S
+from ratebook.operators import expand as X
+from ratebook.functions.text import cache_key
+from ratebook.operators import ledger as J
+from ratebook.operators import extract as E
+from ratebook.plans import runs as P
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -70,10 +82,6 @@ def q_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------- normalisation
 
-from ratebook.functions.dates import parse_date  # noqa: E402
-from ratebook.functions.rates import coerce_rate, parse_rate  # noqa: E402
-from ratebook.functions.text import clean_hsn, strip_hsn  # noqa: E402
-from ratebook.operators import normalize as N  # noqa: E402
 
 
 def _pct(c):
@@ -188,8 +196,6 @@ def q_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------- quality
 
-from ratebook.functions.rates import RATE_TYPE  # noqa: E402
-from ratebook.operators import quality as V  # noqa: E402
 
 DOC_PRIMARY = "src0"
 LI_PRIMARY = "S7"
@@ -395,7 +401,6 @@ def q_collection_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------ summaries
 
-from ratebook.operators import summary as S  # noqa: E402
 
 
 @register("summary")
@@ -453,7 +458,6 @@ def q_to_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------ expansion
 
-from ratebook.operators import expand as X  # noqa: E402
 
 EXPAND_DEFAULT_TEMPLATE = "standard"
 
@@ -571,8 +575,6 @@ def q_catalog_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------- ledger
 
-from ratebook.functions.text import cache_key  # noqa: E402
-from ratebook.operators import ledger as J  # noqa: E402
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -700,7 +702,6 @@ def q_cache_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ----------------------------------------------------------- extraction
 
-from ratebook.operators import extract as E  # noqa: E402
 
 PAGE_ROWS = 40
 
@@ -762,7 +763,6 @@ def q_extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------ pipelines
 
-from ratebook.plans import runs as P  # noqa: E402
 
 
 def default_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
