@@ -183,3 +183,31 @@ def test_full_run_small(spark):
     # resolved base = distinct (code, description) pairs of the fixture
     keys = {(str(1000 + i % 7), f"item {i % 5}") for i in range(40)}
     assert len({(r.hsn_code, r.gst_description) for r in res.products.collect()}) == len(keys)
+
+
+def test_build_products_runs_and_export_view(spark, tmp_path):
+    from ratebook.operators import normalize as N
+    from ratebook.operators import summary as S
+    from ratebook.plans import runs
+    raw_rows = [(i, [("HSN Code", str(8500 + i % 6)), ("Description", f"goods {i % 4}"),
+                     ("IGST", f"{(i % 3) * 9}"), ("_source_name", "CBIC GST Goods Rates" if i % 2 else "other")])
+                for i in range(30)]
+    raw = (spark.createDataFrame(raw_rows, "ord int, kv array<struct<k:string,v:string>>")
+                .select("ord", F.map_from_entries("kv").alias("cells")))
+    tpl = spark.createDataFrame([("furniture_misc", ["B"], ["N"], ["V1", "V2"])],
+                                "sub_category string, brands array<string>, names array<string>, variants array<string>")
+    res = runs.build_products(spark, raw, tpl, 50, out_dir=str(tmp_path / "synthetic"))
+    assert res.products.count() == 50
+    # Stage reuse: a second call reads the written 'normalized' stage.
+    again = runs.build_products(spark, raw.filter(F.lit(False)), tpl, 50, out_dir=str(tmp_path / "synthetic"))
+    assert again.products.count() == 50
+    cat = spark.createDataFrame([(0, "SKU A", "85010000"), (1, "SKU B", "9999")],
+                                "ord int, product_name string, hsn_code string")
+    res = runs.build_products(spark, raw, tpl, 50, catalog=cat, out_dir=str(tmp_path / "catalog"))
+    rows = res.products.collect()
+    assert [r.product_name for r in rows] == ["SKU A"] and rows[0].hsn_code == "85010000"
+    ev = S.export_view(res.products)
+    assert len(ev.columns) == 17 and dict(ev.dtypes)["igst_rate"] == "double"
+    assert ev.filter(F.col("hsn_code").isNull()).count() == 0
+    good = N.split_errors(N.normalize(raw))[0]
+    assert good.count() == 30
