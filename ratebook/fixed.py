@@ -157,6 +157,25 @@ TABLE_KEYWORDS = ["hsn", "rate", "gst", "cgst", "sgst", "igst", "description",
 # FIXED VALUES: class pattern of fallback <div> containers (case-insensitive).
 DIV_CLASS_PATTERN = "table|rate|schedule"
 
+# ---------------------------------------------------------------- formats
+# FIXED VALUES: output texts and separators (Python format fields).
+ISSUE_MISSING_HSN = "Missing HSN code. Description: {desc80}"
+ISSUE_NEGATIVE = "Negative {field}: {value}"
+ISSUE_INVALID_TOP = "Invalid top_category: {value}"
+ISSUE_INVALID_SUB = "Invalid sub_category: {value}"
+ISSUE_ZERO_RATES = "All rates are zero. May be exempt. Desc: {desc60}"
+ISSUE_DUPLICATE = "Duplicate of record {first_id}. HSN={hsn}, Rate={rate}%"
+ISSUE_CONFLICT = "Rate conflict for HSN {hsn}: {sources}. Primary rate ({rate}%) takes precedence."
+CONFLICT_SOURCE_ITEM = "{source}={rate}%"
+CONFLICT_SOURCE_SEP = ", "
+PRODUCT_NAME = "{brand} {name} - {variant}"
+SIMPLE_PRODUCT_NAME = "{desc} - Variant {n}"
+CATALOG_ID_PREFIX = "catalog"
+ID_SEPARATOR = "|"
+RAW_TEXT_SEPARATOR = " | "
+BLANK_HEADER = "col_{i}"
+CACHE_SUFFIX = ".html"
+
 # ----------------------------------------------------------------- ledger
 # FIXED VALUES: job priority order (unknown values sort first).
 PRIORITY_ORDER = ["high", "medium", "low"]

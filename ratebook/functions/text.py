@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratebook.fixed import CACHE_SUFFIX, ID_SEPARATOR
+
 # Java regexes; (?U) makes \s match Unicode white space as Python's str.strip does.
 _WS_EDGES = r"(?U)^\s+|\s+$"
 
@@ -51,7 +53,7 @@ def dec_text(c: Column | str) -> Column:
 def stable_id(*cols: Column | str) -> Column:
     """First 16 hex digits of sha256 over the '|'-joined texts (nulls as '')."""
     parts = [F.coalesce(col_of(c).cast("string"), F.lit("")) for c in cols]
-    return F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 16)
+    return F.substring(F.sha2(F.concat_ws(ID_SEPARATOR, *parts), 256), 1, 16)
 
 
 def chapter_of(code: Column | str) -> Column:
@@ -61,7 +63,7 @@ def chapter_of(code: Column | str) -> Column:
     return F.when(F.length(c) >= 2, F.substring(c, 1, 2).try_cast("int"))
 
 
-def cache_key(url: Column | str, suffix: str = ".html") -> Column:
+def cache_key(url: Column | str, suffix: str = CACHE_SUFFIX) -> Column:
     """Page cache name: network location with '.' -> '_', '_', first 12 hex of
     md5(url), suffix."""
     u = col_of(url)

@@ -28,7 +28,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratebook.fixed import DIV_CLASS_PATTERN, TABLE_KEYWORDS
+from ratebook.fixed import BLANK_HEADER, DIV_CLASS_PATTERN, RAW_TEXT_SEPARATOR, TABLE_KEYWORDS
+from ratebook.functions.fmt import render
 from ratebook.functions.text import snake
 from ratebook.session import cut_lineage
 
@@ -235,7 +236,7 @@ def page_grids(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
 def clean_headers(cells: Column) -> Column:
     """E3 + E4: snake_case each header; blank -> col_<position>."""
     return F.transform(cells, lambda x, i: F.coalesce(F.nullif(snake(x), F.lit("")),
-                                                      F.concat(F.lit("col_"), i.cast("string"))))
+                                                      render(BLANK_HEADER, i=i.cast("string"))))
 
 
 def _keyword_score(text: Column, keywords=TABLE_KEYWORDS) -> Column:
@@ -307,7 +308,7 @@ def _rows_from(grids: DataFrame, best: DataFrame, strategy: int) -> DataFrame:
                            lambda i: F.nullif(F.get(F.col("cells"), i), F.lit("")))
         body = (body.withColumn("__names", names).withColumn("__vals", vals)
                     .filter(F.exists("__vals", lambda v: v.isNotNull())))
-        raw = F.array_join(F.filter("__vals", lambda v: v.isNotNull()), " | ")
+        raw = F.array_join(F.filter("__vals", lambda v: v.isNotNull()), RAW_TEXT_SEPARATOR)
     else:
         names = clean_headers(F.coalesce(F.col("__h"), F.array().cast("array<string>")))
         n = F.size("cells")
@@ -315,7 +316,7 @@ def _rows_from(grids: DataFrame, best: DataFrame, strategy: int) -> DataFrame:
             F.concat("cells", F.array_repeat(F.lit(""), width - n)))
         body = (body.filter(F.size("cells") > 0)
                     .withColumn("__names", names).withColumn("__vals", vals))
-        raw = F.array_join(F.filter("cells", lambda v: v != ""), " | ")
+        raw = F.array_join(F.filter("cells", lambda v: v != ""), RAW_TEXT_SEPARATOR)
     return body.select("page_id", "table_idx", "row_idx", F.lit(strategy).alias("strategy"),
                        F.map_from_arrays("__names", "__vals").alias("cells"), raw.alias("raw_text"))
 
@@ -375,4 +376,4 @@ def grid_to_rows(grid: DataFrame, header_first: bool = True) -> DataFrame:
     vals = F.when(n >= w, F.slice(cells, 1, w)).otherwise(F.concat(cells, F.array_repeat(F.lit(""), w - n)))
     body = body.withColumn("__c", cells).filter(F.exists("__c", lambda x: x != ""))
     return body.select("page_id", "row_idx", F.map_from_arrays("__h", vals).alias("cells"),
-                       F.array_join(F.filter("__c", lambda x: x != ""), " | ").alias("raw_text"))
+                       F.array_join(F.filter("__c", lambda x: x != ""), RAW_TEXT_SEPARATOR).alias("raw_text"))
