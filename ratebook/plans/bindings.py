@@ -813,3 +813,30 @@ def q_load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = o.select(F.when(F.col("o_orderkey") % 17 == 0, F.lit(""))
                     .otherwise(F.col("o_orderkey").cast("string")).alias("product_id"))
     return S.load_stats(S.to_product(rows))
+
+
+# ---------------------------------------------------------------- sinks
+
+from ratebook.session import stage_path  # noqa: E402
+from ratebook.sources import sinks as K  # noqa: E402
+from ratebook.sources.readers import read_products  # noqa: E402
+
+
+@register("stored_lookup")
+def q_stored_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L4 + S8 + Q3: the product table written clustered by code to the
+    shared checkpoint folder, read back, and queried by code prefix (the
+    prefix filter is pushed into the Parquet scan)."""
+    import uuid
+    path = stage_path(spark, "ratebook-products", uuid.uuid4().hex)
+    K.load_products(part_products(spark, sf_dir), path, mode="overwrite")
+    return L.rate_by_code(read_products(spark, path), "1")
+
+
+@register("export_chunks")
+def q_export_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3: exact chunk numbers in record order (10,000 rows per chunk) over
+    the lineitem records: rows and first record id per chunk."""
+    ch = K.with_chunk_ids(lineitem_records(spark, sf_dir), "ord", 10_000)
+    return ch.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"),
+                                   F.min_by("product_id", "ord").alias("first_id"))

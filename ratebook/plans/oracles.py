@@ -679,3 +679,17 @@ SELECT count(*) AS total_rows, count(*) FILTER (WHERE o_orderkey % 17 = 0) AS ba
        count(*) FILTER (WHERE o_orderkey % 17 <> 0) AS inserted
 FROM orders
 """
+
+# ---------------------------------------------------------------- sinks
+
+ORACLES["stored_lookup"] = ORACLES["rate_by_code"]
+
+ORACLES["export_chunks"] = """
+WITH r AS (
+  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS product_id,
+         row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_suppkey, l_tax, l_quantity,
+                            l_extendedprice) - 1 AS pos
+  FROM lineitem)
+SELECT CAST(pos // 10000 + 1 AS BIGINT) AS chunk, count(*) AS n, arg_min(product_id, pos) AS first_id
+FROM r GROUP BY 1
+"""
