@@ -220,3 +220,22 @@ def keyword_category_auto(text: Column | str, rules: Sequence[tuple[str, str]] =
     if len(rules) <= CASE_CHAIN_MAX_RULES:
         return keyword_category(text, rules, sub_map)
     return keyword_category_many(text, rules, sub_map)
+
+
+MAX_RULE_ROWS = 1_000_000
+
+
+def keyword_rules_from_frame(rules: DataFrame, max_rules: int = MAX_RULE_ROWS):
+    """Keyword rules held as a DataFrame (rule_ord, keyword, top_category[,
+    sub_category]) -> (rules list, sub map) for :func:`classify`. Rule tables
+    are configuration: the count is checked against ``max_rules`` before the
+    ordered rules are brought to the driver; beyond 200 rules ``classify``
+    matches them with one automaton pass per text."""
+    n = rules.limit(max_rules + 1).count()
+    if n > max_rules:
+        raise ValueError(f"keyword rule table has more than {max_rules} rows")
+    cols = ["keyword", "top_category"] + (["sub_category"] if "sub_category" in rules.columns else [])
+    rows = rules.orderBy("rule_ord").select(*cols).collect()
+    kws = [(r.keyword, r.top_category) for r in rows]
+    sub = {r.keyword: r.sub_category for r in rows if "sub_category" in cols and r.sub_category}
+    return kws, sub

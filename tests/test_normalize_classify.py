@@ -123,3 +123,12 @@ def test_run_summary(spark):
     assert r.duration_sec == 90.0 and r.validation_passed
     kv = {x.key: x.value for x in S.summary_kv(S.summary(cats.withColumn("hsn_code", cats.top_category))).collect()}
     assert kv == {"total_records": "3", "unique_hsn_codes": "2"}
+
+
+def test_keyword_rules_from_frame(spark):
+    kw_df = C.keyword_rules_frame(spark)
+    kws, sub = C.keyword_rules_from_frame(kw_df)
+    df = spark.createDataFrame([("Mobile phone cover",), ("Carpets",), ("Plain rice",)], "d string")
+    a = [r[0] for r in df.select(C.keyword_category("d")).collect()]
+    b = [r[0] for r in df.select(C.keyword_category("d", kws, sub)).collect()]
+    assert a == b
