@@ -17,6 +17,14 @@ from ratebook.fixed import (DEFAULT_SUB, DEFAULT_TOP, HSN_RANGE_RULES,
                             KEYWORD_RULES, KEYWORD_SUB)
 from ratebook.functions.text import chapter_of, col_of
 
+# Python-worker code of this module travels with the task (pickled by value),
+# so executors need no installed copy of the package.
+try:
+    from pyspark import cloudpickle as _cp
+    _cp.register_pickle_by_value(__import__("sys").modules[__name__])
+except Exception:  # noqa: BLE001 - older cloudpickle: fall back to by-reference pickling
+    pass
+
 CAT_TYPE = "struct<top_category:string,sub_category:string>"
 
 

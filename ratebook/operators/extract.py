@@ -33,6 +33,14 @@ from ratebook.functions.fmt import render
 from ratebook.functions.text import snake
 from ratebook.session import cut_lineage
 
+# Python-worker code of this module travels with the task (pickled by value),
+# so executors need no installed copy of the package.
+try:
+    from pyspark import cloudpickle as _cp
+    _cp.register_pickle_by_value(__import__("sys").modules[__name__])
+except Exception:  # noqa: BLE001 - older cloudpickle: fall back to by-reference pickling
+    pass
+
 GRID_SCHEMA = ("page_id long, strategy int, table_idx int, n_tr int, row_idx int, "
                "is_header boolean, cells array<string>, error string")
 
