@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratebook.llm import line_dedup as LD
 from ratebook.llm import simhash as SH
 from ratebook.llm.common import prepare
 
@@ -34,3 +35,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = SH.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return out.select("doc_id", SH.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@register("op10_line_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LD.dropped_lines(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op10_line_dedup"] = """
+WITH doc AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+occ AS (SELECT doc_id, line_no, line FROM (
+          SELECT doc_id, unnest(range(len(ls))) AS line_no, unnest(ls) AS line FROM doc)
+        WHERE length(line) >= 10),
+one AS (SELECT line, min({'d': doc_id, 'l': line_no}) AS f FROM occ GROUP BY line),
+var AS (SELECT line, f, length(line) AS n, i, left(line, i - 1) || substr(line, i + 1) AS rest
+        FROM (SELECT line, f, unnest(range(1, length(line) + 1)) AS i FROM one)),
+same AS (SELECT rest, i, min(f) AS f FROM var GROUP BY rest, i HAVING count(*) > 1),
+near AS (
+  SELECT v.line, s.f FROM var v JOIN same s ON v.rest = s.rest AND v.i = s.i
+  UNION ALL SELECT v.line, o.f FROM var v JOIN one o ON v.rest = o.line
+  UNION ALL SELECT o.line, v.f FROM var v JOIN one o ON v.rest = o.line),
+best AS (SELECT line, min(f) AS f FROM near GROUP BY line)
+SELECT o.doc_id, o.line_no, k.d AS keep_doc_id, k.l AS keep_line_no,
+       CASE WHEN k < f THEN 1 ELSE 0 END AS distance
+FROM (SELECT occ.doc_id, occ.line_no, one.f, least(one.f, coalesce(best.f, one.f)) AS k
+      FROM occ JOIN one ON occ.line = one.line LEFT JOIN best ON best.line = occ.line) o
+WHERE {'d': o.doc_id, 'l': o.line_no} <> k
+"""
