@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ratebook.llm import line_dedup as LD
 from ratebook.llm import simhash as SH
+from ratebook.llm import substring_dedup as SD
 from ratebook.llm.common import prepare
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +63,23 @@ FROM (SELECT occ.doc_id, occ.line_no, one.f, least(one.f, coalesce(best.f, one.f
       FROM occ JOIN one ON occ.line = one.line LEFT JOIN best ON best.line = occ.line) o
 WHERE {'d': o.doc_id, 'l': o.line_no} <> k
 """
+
+
+@register("op4_substring_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SD.without_repeats(table(spark, sf_dir, "documents"), width=13)
+
+
+ORACLES["op4_substring_dedup"] = r"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS w
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM doc)),
+least AS (SELECT w, min(doc_id) AS m FROM win GROUP BY w),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p
+         FROM win JOIN least USING (w) WHERE m < doc_id),
+word AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS p, unnest(ws) AS w FROM doc),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(w, ' ' ORDER BY p) AS t
+         FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id)
+"""
