@@ -21,6 +21,8 @@ def prepare(spark: SparkSession) -> None:
     executors need no installed copy of this package)."""
     apply_scale_conf(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    # A written stage needs its shuffles no longer: free their files at once.
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     for name in [m for m in list(sys.modules) if m.startswith("ratebook.llm")]:
         cloudpickle.register_pickle_by_value(sys.modules[name])
 
