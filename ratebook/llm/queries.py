@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratebook.llm import bpe as BP
 from ratebook.llm import line_dedup as LD
 from ratebook.llm import simhash as SH
 from ratebook.llm import substring_dedup as SD
@@ -27,6 +28,12 @@ def register(name: str):
     return deco
 
 
+def default_tokenizer() -> str:
+    """Place of the public byte-level vocabulary file."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -38,6 +45,15 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", SH.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@register("op8_bpe")
+def op8(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
+    path = tokenizer_path or default_tokenizer()
+    out = BP.decode(BP.encode(table(spark, sf_dir, "documents"), path), path)
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 @register("op10_line_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LD.dropped_lines(table(spark, sf_dir, "documents"))
