@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratebook.llm import bpe as BP
+from ratebook.llm import hmm as HM
 from ratebook.llm import line_dedup as LD
 from ratebook.llm import simhash as SH
 from ratebook.llm import substring_dedup as SD
@@ -81,6 +82,11 @@ WHERE {'d': o.doc_id, 'l': o.line_no} <> k
 """
 
 
+@register("op2_hmm_lm_scoring")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return HM.lm_scores(table(spark, sf_dir, "documents"))
+
+
 @register("op4_substring_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SD.without_repeats(table(spark, sf_dir, "documents"), width=13)
