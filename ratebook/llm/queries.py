@@ -16,12 +16,17 @@ from ratebook.llm import hmm as HM
 from ratebook.llm import line_dedup as LD
 from ratebook.llm import simhash as SH
 from ratebook.llm import substring_dedup as SD
-from ratebook.llm.common import prepare
+from ratebook.llm import toxicity as TX
+from ratebook.llm.common import crc_class, prepare
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+# A document scored at least this is taken as toxic.
+TOXIC = 0.3
+
+
 def register(name: str):
     def deco(fn):
         REGISTRY[name] = fn
@@ -87,6 +92,22 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return HM.lm_scores(table(spark, sf_dir, "documents"))
 
 
+def toxic_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``docs`` with held_out and score; learns from labelled rows outside the
+    held-out class only."""
+    labels = table(spark, sf_dir, "labels").where(crc_class("doc_id", 4) != 2)
+    weights = TX.fit(docs, labels)
+    held = F.coalesce(crc_class("doc_id", 4) == 2, F.lit(True))
+    return TX.score(docs.withColumn("held_out", held), weights)
+
+
+@register("op3_ftrl_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxic_scores(spark, docs, sf_dir).select(
+        "doc_id", "held_out", "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
 @register("op4_substring_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SD.without_repeats(table(spark, sf_dir, "documents"), width=13)
