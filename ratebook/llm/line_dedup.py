@@ -7,8 +7,9 @@ input; the earliest stays. Shorter lines are left alone.
 
 How. Equal lines collapse by a 128-bit key with their first occurrence. Two
 lines within one edit have the same first or the same last half (for the
-shorter length), so only lines that share such a half with another line emit
-their deletion neighbourhood: every line with one code point left out, hashed.
+shorter length), and again all but one of ``PIECES`` pieces. So only lines
+that share a half and then all but a piece with another line emit deletion
+neighbourhoods: the line with one code point of that piece left out, hashed.
 The neighbourhood keys join in two kinds of groups:
 
 * same length, same position left out, same rest: all members differ in that
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from ratebook.llm.common import prepare, staged
 
 MIN_CHARS = 10
+PIECES = 16
 # Odd multiplier of the polynomial hash modulo 2^64 and its inverse.
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
@@ -44,14 +46,33 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def deletion_hashes(line: str) -> tuple[int, np.ndarray]:
-    """Hash of the line and of the line without each code point, in linear
-    time: hash(s) = sum of s[j] * BASE^j."""
-    c = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
-    power = np.cumprod(np.r_[np.uint64(1), np.full(len(c) - 1, BASE, np.uint64)])
-    pre = np.r_[np.uint64(0), np.cumsum(c * power)]
-    less = pre[:-1] + (pre[-1] - pre[1:]) * np.uint64(BASE_INVERSE)
-    return int(_mix(pre[-1:])[0]), _mix(less)
+class LineHashes:
+    """Polynomial hashes of a line's parts, in linear time:
+    hash(s) = sum of s[j] * BASE^j."""
+
+    def __init__(self, line: str):
+        c = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+        self.n = len(c)
+        power = np.cumprod(np.r_[np.uint64(1), np.full(self.n, BASE, np.uint64)])
+        self.pre = np.r_[np.uint64(0), np.cumsum(c * power[:-1])]
+        self.whole = int(_mix(self.pre[-1:])[0])
+
+    def without(self, a: int, b: int) -> np.ndarray:
+        """Hash of the line without the code point at each of [a, b)."""
+        return _mix(self.pre[a:b] + (self.pre[-1] - self.pre[a + 1:b + 1]) * np.uint64(BASE_INVERSE))
+
+    def around(self, base: int) -> np.ndarray:
+        """For each piece of a line of ``base`` code points, the hash of what
+        stands before and behind it (counted from the end)."""
+        cut = _cuts(base)
+        before, tail = self.pre[cut[:-1]], self.n - (base - cut[1:])
+        behind = (self.pre[-1] - self.pre[tail]) * np.cumprod(np.r_[np.uint64(1), np.full(self.n, BASE_INVERSE, np.uint64)])[tail]
+        return _mix(_mix(before) + _mix(behind ^ np.uint64(BASE)) * np.uint64(3)
+                    + np.arange(len(cut) - 1, dtype=np.uint64) + np.uint64(base << 8))
+
+
+def _cuts(base: int) -> np.ndarray:
+    return np.arange(PIECES + 1) * base // PIECES
 
 
 def lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
@@ -79,18 +100,44 @@ def _halves():
     return both(n) + both(n - 1)
 
 
+ME = "h1 long, h2 long, doc_id long, line_no int"
+
+
+def _pieces(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(part, base, piece) of each line: all of it but one piece, as the
+    shorter (base = its length) or the longer one of a pair."""
+    for pdf in it:
+        out = []
+        for row in pdf.itertuples(index=False):
+            h = LineHashes(row.line)
+            for base in (h.n, h.n - 1):
+                out.append(pd.DataFrame({"part": h.around(base).view(np.int64), "base": np.int32(base),
+                                         "piece": np.arange(PIECES, dtype=np.int32), "h1": row.h1, "h2": row.h2,
+                                         "doc_id": row.doc_id, "line_no": np.int32(row.line_no)}))
+        if out:
+            yield pd.concat(out)
+
+
 def _neighbourhood(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(key, n, at): the line itself (at -1) and each deletion variant; n is
-    the emitting line's length."""
+    """(key, n, at, long): the deletion variants of each line in the pieces it
+    has to vary (at: the place left out; long: as the longer line of a pair),
+    and the line itself (at -1); n is the length of the pair's shorter line."""
     for pdf in it:
-        for lo in range(0, len(pdf), 200):
-            out = []
-            for h1, h2, d, p, line in pdf.iloc[lo:lo + 200][["h1", "h2", "doc_id", "line_no", "line"]].itertuples(index=False):
-                whole, less = deletion_hashes(line)
-                m = len(less) + 1
-                out.append(pd.DataFrame({
-                    "key": np.r_[np.uint64(whole), less].view(np.int64), "n": np.int32(m - 1),
-                    "at": np.arange(-1, m - 1, dtype=np.int32), "h1": h1, "h2": h2, "doc_id": d, "line_no": p}))
+        out = []
+        for row in pdf.itertuples(index=False):
+            h = LineHashes(row.line)
+            key, n, at = [[h.whole]], [[h.n]], [[-1]]
+            for v in row.vary:
+                cut = _cuts(v["base"])
+                a, b = int(cut[v["piece"]]), int(cut[v["piece"] + 1]) + (h.n - v["base"])
+                key.append(h.without(a, b).tolist())
+                n.append([v["base"]] * (b - a))
+                at.append(list(range(a, b)))
+            got = pd.DataFrame({"key": np.concatenate([np.array(k, np.uint64) for k in key]).view(np.int64),
+                                "n": np.concatenate(n).astype(np.int32), "at": np.concatenate(at).astype(np.int32)})
+            got["long"] = got["n"] < h.n
+            out.append(got.assign(h1=row.h1, h2=row.h2, doc_id=row.doc_id, line_no=np.int32(row.line_no)))
+        if out:
             yield pd.concat(out)
 
 
@@ -109,31 +156,38 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                    .agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
                    .select("h1", "h2", "first.doc_id", "first.line_no", "halves"), "lines")
 
-    # Lines that share a half with another line.
-    half = first.select("h1", "h2", "doc_id", "line_no", F.explode("halves").alias("half"))
+    # Lines that share a half with another line, with their texts.
+    half = first.select("doc_id", "line_no", F.explode("halves").alias("half"))
     shared = half.groupBy("half").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("half")
-    near = half.join(shared, "half", "left_semi").select("h1", "h2", "doc_id", "line_no").distinct()
-    wanted = near.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "h1", "h2")).alias("want"))
+    near = half.join(shared, "half", "left_semi").select("doc_id", "line_no").distinct()
+    wanted = near.groupBy("doc_id").agg(F.collect_list("line_no").alias("want"))
     texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     got = (texts.join(wanted, "doc_id")
-           .select("doc_id", F.split("text", "\n").alias("all"), F.explode("want").alias("w"))
-           .select("w.h1", "w.h2", "doc_id", "w.line_no", F.get("all", F.col("w.line_no")).alias("line")))
-    # Rows of one id may hold other texts: the line must be the one that was keyed.
-    got = staged(got.where((F.xxhash64("line") == F.col("h1"))
-                           & (F.xxhash64(F.lit(1), F.col("line")) == F.col("h2"))).distinct(), "near")
-
-    var = got.mapInPandas(_neighbourhood, "key long, n int, at int, h1 long, h2 long, doc_id long, line_no int")
-    var = var.withColumn("me", F.struct("doc_id", "line_no", "h1", "h2")).drop("doc_id", "line_no")
+           .select("doc_id", F.split("text", "\n").alias("all"), F.explode("want").alias("line_no"))
+           .select("doc_id", "line_no", F.get("all", F.col("line_no")).alias("line"))
+           .where(F.length("line") >= min_chars).select("doc_id", "line_no", "line", *_key()))
+    got = staged(got.distinct(), "near")
+
+    # Of those, the pieces outside which a line equals another one.
+    me = F.struct("doc_id", "line_no", "h1", "h2")
+    part = staged(got.mapInPandas(_pieces, "part long, base int, piece int, " + ME), "parts")
+    twice = part.groupBy("part").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("part")
+    vary = (part.join(twice, "part", "left_semi").groupBy("h1", "h2", "doc_id", "line_no")
+            .agg(F.collect_set(F.struct("base", "piece")).alias("vary")))
+    var = (got.join(vary, ["h1", "h2", "doc_id", "line_no"])
+           .mapInPandas(_neighbourhood, "key long, n int, at int, long boolean, " + ME)
+           .withColumn("me", me).select("key", "n", "at", "long", "me"))
+    var = staged(var, "variants")
     # Same length and place: everyone's earliest partner is the minimum.
-    same = var.where("at >= 0").select(F.xxhash64("key", "at").alias("k"), "key", "n", "at", "me")
-    group = same.groupBy("k", "key", "n", "at").agg(F.min("me").alias("to"), F.max("me").alias("last")).where("to < last")
-    replaced = same.join(group.select("k", "key", "n", "at", "to"), ["k", "key", "n", "at"]).select("me", "to")
+    same = var.where("at >= 0 and not long").select("key", "n", "at", "me").distinct()
+    group = same.groupBy("key", "n", "at").agg(F.min("me").alias("to"), F.max("me").alias("last")).where("to < last")
+    replaced = same.join(group.select("key", "n", "at", "to"), ["key", "n", "at"]).select("me", "to")
     # A whole line of length n and the lines of length n + 1 that reduce to it.
-    whole = var.where("at < 0").select("key", "n", F.col("me").alias("short"))
-    less = var.where("at >= 0").select("key", (F.col("n") - 1).alias("n"), F.col("me").alias("long")).distinct()
+    whole = var.where("at < 0").select("key", "n", F.col("me").alias("short")).distinct()
+    less = var.where("long").select("key", "n", F.col("me").alias("more")).distinct()
     longer = less.join(whole, ["key", "n"])
-    pairs = (replaced.union(longer.select(F.col("long").alias("me"), F.col("short").alias("to")))
-             .union(longer.groupBy("short").agg(F.min("long").alias("to")).select(F.col("short").alias("me"), "to"))
+    pairs = (replaced.union(longer.select(F.col("more").alias("me"), F.col("short").alias("to")))
+             .union(longer.groupBy("short").agg(F.min("more").alias("to")).select(F.col("short").alias("me"), "to"))
              .where("to < me"))
     best = pairs.groupBy("me").agg(F.min("to").alias("to"))
 
