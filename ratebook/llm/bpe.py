@@ -195,10 +195,14 @@ def _long_ids(rows: DataFrame, file_text: str, leaf_chars: int, longest: int) ->
                    for s, t in zip(pdf["special"], pdf["text"])]
             yield pdf.assign(ids=ids, last=[tok.decided(t) for t in pdf["text"]])
 
+    made: list[Tokenizer] = []  # one per task, filled there
+
     def joined(pdf: pd.DataFrame) -> pd.DataFrame:
         if len(pdf) == 1:
             return pdf.assign(leaf=pdf["leaf"] // 2)
-        tok = Tokenizer(file_text)
+        if not made:
+            made.append(Tokenizer(file_text))
+        tok = made[0]
         a, b = pdf.sort_values("leaf").itertuples(index=False)
         text, ids, last = tok.join(a.text, np.frombuffer(a.ids, "<u4"), a.last,
                                    b.text, np.frombuffer(b.ids, "<u4"), b.last)
