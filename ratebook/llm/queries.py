@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratebook.llm import bpe as BP
+from ratebook.llm import decontaminate as DC
 from ratebook.llm import hmm as HM
 from ratebook.llm import line_dedup as LD
 from ratebook.llm import simhash as SH
@@ -51,6 +52,42 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", SH.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@register("op6_benchmark_decontamination")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DC.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_UNITS = ", ".join(f"'{u}'" for u in DC.UNITS)
+_EDGES = DC.EDGES.replace("'", "''")
+ORACLES["op6_benchmark_decontamination"] = rf"""
+WITH raw AS (SELECT 'd' AS side, doc_id AS id, text FROM documents
+             UNION ALL SELECT 'b', item_id, text FROM benchmark),
+ws AS (SELECT side, id, list_filter(list_transform(string_split_regex(lower(regexp_replace(coalesce(text, ''),
+         '([\p{{L}}\p{{N}},;] )(\p{{Lu}})', '' || chr(1) || '', 'g')), '[\x20\x09-\x0D]+'),
+         lambda w: trim(w, '{_EDGES}')), lambda w: w <> '') AS w FROM raw),
+word AS (SELECT side, id, p, w, lag(w) OVER (PARTITION BY side, id ORDER BY p) AS before
+         FROM (SELECT side, id, unnest(range(len(w))) AS p, unnest(w) AS w FROM ws)),
+kind AS (SELECT side, id, p, w, CASE WHEN starts_with(w, chr(1)) THEN 1
+           WHEN regexp_matches(w, '^[0-9][0-9.,:/]*%?$') THEN 2
+           WHEN w IN ({_UNITS}) AND regexp_matches(before, '^[0-9][0-9.,:/]*%?$') THEN 3 ELSE 0 END AS k FROM word),
+arr AS (SELECT side, id, list(w ORDER BY p) AS w, list(k ORDER BY p) AS k,
+          list(CASE k WHEN 0 THEN w ELSE '<' || k || '>' END ORDER BY p) AS t FROM kind GROUP BY side, id),
+win AS (SELECT side, id, i, w[i:i + 7] AS w, k[i:i + 7] AS k, array_to_string(t[i:i + 7], ' ') AS t, len(w) - 7 AS n_of
+        FROM (SELECT *, unnest(range(1, len(w) - 6)) AS i FROM arr)),
+met AS (SELECT d.id AS doc_id, b.id AS item_id, d.i - b.i AS shift, b.i AS j, b.n_of, b.k,
+          list_filter(list_transform(range(1, 9), lambda x: CASE WHEN b.k[x] <> 0 THEN {{'b': b.w[x], 'd': d.w[x]}} END),
+                      lambda x: x IS NOT NULL) AS s
+        FROM win d JOIN win b ON d.t = b.t WHERE d.side = 'd' AND b.side = 'b'
+          AND len(list_filter(b.k, lambda x: x = 0)) * 2 >= 8),
+found AS (SELECT doc_id, item_id, shift, max(n_of) AS n_of, count(DISTINCT j) AS n,
+            list_distinct(flatten(list(s))) AS s FROM met GROUP BY doc_id, item_id, shift)
+SELECT doc_id, item_id, max(n) AS n_windows, max(len(s)) AS n_slots FROM found
+WHERE len(s) = len(list_distinct(list_transform(s, lambda x: x.b)))
+  AND len(s) = len(list_distinct(list_transform(s, lambda x: x.d))) AND n >= least(3, n_of)
+GROUP BY doc_id, item_id
+"""
+
+
 @register("op8_bpe")
 def op8(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
     path = tokenizer_path or default_tokenizer()
