@@ -18,6 +18,7 @@ from ratebook.llm import line_dedup as LD
 from ratebook.llm import simhash as SH
 from ratebook.llm import substring_dedup as SD
 from ratebook.llm import toxicity as TX
+from ratebook.llm import url_filter as UF
 from ratebook.llm.common import crc_class, prepare
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +53,15 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", SH.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+RULES = [UF.Rule("block", "net/"), UF.Rule("allow", "example.net/en/"),
+         UF.Rule("block", "example.com/de/"), UF.Rule("allow", "org/fr/")]
+
+
+@register("op5_url_filter")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return UF.judge(table(spark, sf_dir, "pages"), RULES)
+
+
 @register("op6_benchmark_decontamination")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DC.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
