@@ -17,6 +17,7 @@ from ratebook.llm import hmm as HM
 from ratebook.llm import line_dedup as LD
 from ratebook.llm import simhash as SH
 from ratebook.llm import substring_dedup as SD
+from ratebook.llm import topk_search as TK
 from ratebook.llm import toxicity as TX
 from ratebook.llm import url_filter as UF
 from ratebook.llm.common import crc_class, prepare
@@ -134,6 +135,22 @@ WHERE {'d': o.doc_id, 'l': o.line_no} <> k
 """
 
 
+@register("op1_topk_binary_search")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = TK.top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", dims=64, k=10)
+    return found.select(F.col("query_id").alias("vec_id"), "rank", F.col("id").alias("neighbor_id"), "distance")
+
+
+ORACLES["op1_topk_binary_search"] = """
+WITH code AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: x > 0) AS c FROM embeddings),
+pair AS (SELECT q.vec_id, d.vec_id AS neighbor_id,
+           len(list_filter(range(1, 65), lambda i: q.c[i] <> d.c[i])) AS distance
+         FROM code q CROSS JOIN code d WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor_id) AS rank FROM pair)
+SELECT vec_id, rank, neighbor_id, distance FROM ranked WHERE rank <= 10
+"""
+
+
 @register("op2_hmm_lm_scoring")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return HM.lm_scores(table(spark, sf_dir, "documents"))
