@@ -51,3 +51,10 @@ def crc_class(id_col: str | Column, modulus: int) -> Column:
     """crc32 of the id's decimal text, modulo ``modulus``: the learning split."""
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")) if isinstance(id_col, str)
                   else F.crc32(id_col.cast("string").cast("binary")), F.lit(modulus))
+
+
+def computed(rows: DataFrame, **columns: Column) -> DataFrame:
+    """``rows`` with computed columns that later expressions read and never
+    recompute: the optimiser doesn't move expressions through a generator."""
+    made = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return rows.select("*", F.inline(F.array(made)))

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratebook.llm.common import prepare
+from ratebook.llm.common import computed, prepare
 
 WINDOW = 8
 MIN_WINDOWS = 3
@@ -54,21 +54,14 @@ def kinds_of(words: Column) -> Column:
                              & _numeric(F.get(words, i - 1)), 3).otherwise(0))
 
 
-def _once(rows: DataFrame, **columns: Column) -> DataFrame:
-    """``rows`` with computed columns that later expressions read and never
-    recompute: the optimiser doesn't move expressions through a generator."""
-    made = F.struct(*[c.alias(n) for n, c in columns.items()])
-    return rows.select("*", F.inline(F.array(made)))
-
-
 def windows_of(rows: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
     """(id, words, kinds, hashes): hash of each window of template words."""
-    words = _once(rows.select(rows[id_col].cast("long").alias("id"), rows[text_col].alias("text")),
+    words = computed(rows.select(rows[id_col].cast("long").alias("id"), rows[text_col].alias("text")),
                   words=words_of(F.col("text"))).drop("text")
-    kinds = _once(words, kinds=kinds_of(F.col("words")))
-    made = _once(kinds, t=F.zip_with("words", "kinds", lambda w, k: F.when(k == 0, F.xxhash64(w)).otherwise(k)))
+    kinds = computed(words, kinds=kinds_of(F.col("words")))
+    made = computed(kinds, t=F.zip_with("words", "kinds", lambda w, k: F.when(k == 0, F.xxhash64(w)).otherwise(k)))
     starts = F.when(F.size("t") >= window, F.sequence(F.lit(1), F.size("t") - (window - 1)))
-    return _once(made, hashes=F.transform(starts, lambda i: F.xxhash64(F.slice("t", i, window)))).drop("t")
+    return computed(made, hashes=F.transform(starts, lambda i: F.xxhash64(F.slice("t", i, window)))).drop("t")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -15,6 +15,7 @@ from ratebook.llm import bpe as BP
 from ratebook.llm import decontaminate as DC
 from ratebook.llm import hmm as HM
 from ratebook.llm import line_dedup as LD
+from ratebook.llm import sanitise as SA
 from ratebook.llm import simhash as SH
 from ratebook.llm import substring_dedup as SD
 from ratebook.llm import topk_search as TK
@@ -108,6 +109,16 @@ def op8(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) ->
                       F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+@register("op9_pii_sanitisation")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = SA.personal_data(table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    n = [F.size(F.filter(kinds, lambda k: k == F.lit(SA.KINDS.index(name)))).cast("long").alias(f"n_{name}")
+         for name in SA.KINDS]
+    return out.select("doc_id", *n, F.sha2(SA.span_text(F.col("base")), 256).alias("base_sha256"),
+                      SA.span_text(F.col("spans")).alias("spans"))
+
+
 @register("op10_line_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LD.dropped_lines(table(spark, sf_dir, "documents"))
