@@ -212,7 +212,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def without_lines(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """``docs`` with the dropped lines taken out of the text column, and a
-    boolean ``emptied`` (lines were dropped and nothing but blanks is left)."""
+    boolean ``__emptied`` (lines were dropped and nothing but blanks is left)."""
     drops = dropped.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("line_no").alias("__drop"))
 
     @F.pandas_udf("string")
@@ -227,5 +227,5 @@ def without_lines(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id",
     out = docs.join(drops, docs[id_col].cast("long") == F.col("__id"), "left")
     out = out.withColumn("__rest", rest(F.col(text_col), F.col("__drop")))
     return (out.withColumn(text_col, F.col("__rest"))
-            .withColumn("emptied", F.col("__drop").isNotNull() & (F.trim(F.translate("__rest", "\r\n\t", "   ")) == ""))
+            .withColumn("__emptied", F.col("__drop").isNotNull() & (F.trim(F.translate("__rest", "\r\n\t", "   ")) == ""))
             .drop("__id", "__drop", "__rest"))
