@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ratebook.llm.common import computed, prepare
 
 WINDOW = 8
+PIECE = 512
 MIN_WINDOWS = 3
 BROADCAST_WINDOWS = 200_000
 NAME_MARK = "\u0001"
@@ -55,13 +56,19 @@ def kinds_of(words: Column) -> Column:
 
 
 def windows_of(rows: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
-    """(id, words, kinds, hashes): hash of each window of template words."""
+    """(id, first, words, kinds, hashes): a text's template words in pieces of
+    at most ``PIECE`` windows from window ``first`` on, and the windows' hashes.
+    A piece is what the exploded windows carry, however long the text."""
     words = computed(rows.select(rows[id_col].cast("long").alias("id"), rows[text_col].alias("text")),
-                  words=words_of(F.col("text"))).drop("text")
-    kinds = computed(words, kinds=kinds_of(F.col("words")))
-    made = computed(kinds, t=F.zip_with("words", "kinds", lambda w, k: F.when(k == 0, F.xxhash64(w)).otherwise(k)))
-    starts = F.when(F.size("t") >= window, F.sequence(F.lit(1), F.size("t") - (window - 1)))
-    return computed(made, hashes=F.transform(starts, lambda i: F.xxhash64(F.slice("t", i, window)))).drop("t")
+                     words=words_of(F.col("text"))).drop("text")
+    whole = computed(words, kinds=kinds_of(F.col("words")))
+    starts = F.when(F.size("words") >= window, F.sequence(F.lit(1), F.size("words") - (window - 1), F.lit(PIECE)))
+    pieces = whole.select("id", F.inline(F.transform(starts, lambda s: F.struct(
+        (s - 1).alias("first"), F.slice("words", s, PIECE + window - 1).alias("words"),
+        F.slice("kinds", s, PIECE + window - 1).alias("kinds")))))
+    made = computed(pieces, t=F.zip_with("words", "kinds", lambda w, k: F.when(k == 0, F.xxhash64(w)).otherwise(k)))
+    return computed(made, hashes=F.transform(F.sequence(F.lit(1), F.size("t") - (window - 1)),
+                                             lambda i: F.xxhash64(F.slice("t", i, window)))).drop("t")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -76,25 +83,28 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     out; repeated rows and items change nothing; other columns are ignored."""
     prepare(docs.sparkSession)
     items = windows_of(benchmark.where(benchmark[item_col].isNotNull()), item_col, item_text_col, window)
-    items = items.select(F.col("id").alias("item_id"), "words", "kinds", F.size("hashes").alias("of"),
-                         F.posexplode("hashes").alias("j", "h"))
-    items = (items.select("item_id", "of", "j", "h", F.slice("words", F.col("j") + 1, window).alias("bw"),
-                          F.slice("kinds", F.col("j") + 1, window).alias("bk"))
-             .where(F.size(F.filter("bk", lambda k: k == 0)) * 2 >= window).distinct())
-    if items.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
-        items = F.broadcast(items)
+    items = items.select(F.col("id").alias("item_id"), "first", "words", "kinds", F.posexplode("hashes").alias("p", "h"))
+    items = items.select("item_id", (F.col("first") + F.col("p")).alias("j"), "h",
+                         F.slice("words", F.col("p") + 1, window).alias("bw"),
+                         F.slice("kinds", F.col("p") + 1, window).alias("bk")).distinct()
+    of = items.groupBy("item_id").agg((F.max("j") + 1).alias("of"))
+    small = items.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
+    items = items.where(F.size(F.filter("bk", lambda k: k == 0)) * 2 >= window)
+    if small:  # both tables have at most as many rows as were counted
+        items, of = F.broadcast(items), F.broadcast(of)
     rows = windows_of(docs.where(docs[id_col].isNotNull()), id_col, text_col, window)
-    met = rows.select(F.col("id").alias("doc_id"), "words", F.posexplode("hashes").alias("i", "h")).join(items, "h")
-    met = met.withColumn("dw", F.slice("words", F.col("i") + 1, window)).drop("words")
+    met = rows.select(F.col("id").alias("doc_id"), "first", "words", F.posexplode("hashes").alias("p", "h")).join(items, "h")
+    # Computed behind the join: the exploded windows run straight into it.
+    met = computed(met, dw=F.slice("words", F.col("p") + 1, window), i=F.col("first") + F.col("p")).drop("words")
     agrees = F.forall(F.arrays_zip("bw", "bk", "dw"), lambda x: (x["bk"] != 0) | (x["bw"] == x["dw"]))
     slots = F.transform(F.filter(F.arrays_zip("bw", "bk", "dw"), lambda x: x["bk"] != 0),
                         lambda x: F.struct(x["bw"].alias("b"), x["dw"].alias("d")))
-    found = (met.where(agrees).select("doc_id", "item_id", "of", "j", (F.col("i") - F.col("j")).alias("shift"), slots.alias("s"))
+    found = (met.where(agrees).select("doc_id", "item_id", "j", (F.col("i") - F.col("j")).alias("shift"), slots.alias("s"))
              .groupBy("doc_id", "item_id", "shift")
-             .agg(F.max("of").alias("of"), F.size(F.collect_set("j")).cast("long").alias("n"),
+             .agg(F.size(F.collect_set("j")).cast("long").alias("n"),
                   F.array_distinct(F.flatten(F.collect_set("s"))).alias("s")))
     one_to_one = ((F.size("s") == F.size(F.array_distinct(F.transform("s", lambda x: x["b"]))))
                   & (F.size("s") == F.size(F.array_distinct(F.transform("s", lambda x: x["d"])))))
-    return (found.where(one_to_one & (F.col("n") >= F.least(F.lit(min_windows), F.col("of"))))
+    return (found.where(one_to_one).join(of, "item_id").where(F.col("n") >= F.least(F.lit(min_windows), F.col("of")))
             .groupBy("doc_id", "item_id")
             .agg(F.max("n").alias("n_windows"), F.max(F.size("s").cast("long")).alias("n_slots")))
