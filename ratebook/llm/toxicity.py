@@ -34,6 +34,11 @@ CACHE = 500_000
 PUNCTUATION = bytes.maketrans(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", b" " * 32)
 
 
+def log_odds(ones: float, rows: int) -> float:
+    """Log odds of label 1 among the rows, one in ten without rows."""
+    return float(np.log((ones + 1) / (rows - ones + 9)))
+
+
 @dataclass
 class Weights:
     ids: np.ndarray
@@ -76,6 +81,7 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -> We
     """FTRL-proximal passes over (distinct coordinates, label) in given order."""
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     zb = nb = 0.0
+    prior = log_odds(labels.sum(), len(labels))
 
     def weight(z, n, l1):
         return np.where(np.abs(z) <= l1, 0.0, (np.sign(z) * l1 - z) / ((BETA + np.sqrt(n)) / ALPHA + L2))
@@ -83,7 +89,7 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -> We
     for _ in range(epochs):
         for x, y in zip(rows, labels):
             w, b = weight(z[x], n[x], L1), float(weight(zb, nb, 0.0))
-            g = 1 / (1 + np.exp(-np.clip(w.sum() + b, -35, 35))) - y
+            g = 1 / (1 + np.exp(-np.clip(w.sum() + prior + b, -35, 35))) - y
             root = np.sqrt(n[x] + g * g)
             z[x] += g - (root - np.sqrt(n[x])) / ALPHA * w
             n[x] += g * g
@@ -91,14 +97,14 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -> We
             nb += g * g
     w = weight(z, n, L1)
     ids = np.flatnonzero(w)
-    return Weights(ids, w[ids], float(weight(zb, nb, 0.0)))
+    return Weights(ids, w[ids], prior + float(weight(zb, nb, 0.0)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", sample: int = SAMPLE) -> Weights:
     """Weights from ``labels`` (id, 0/1) joined to ``docs``. Null labels and
     labels without a text are left out; an id labelled twice counts once, 1
-    before 0. Without usable rows every score is one half."""
+    before 0. Without usable rows every score is 0.1."""
     prepare(docs.sparkSession)
     chosen = (labels.select(labels[id_col].cast("long").alias("__id"), labels[label_col].cast("int").alias("y"))
               .where("__id is not null and y in (0, 1)").groupBy("__id").agg(F.max("y").alias("y"))
@@ -120,7 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             .mapInPandas(features, "o long, y int, x array<int>"))
     found = rows.groupBy(F.lit(1).alias("all")).applyInPandas(train, "i long, w double").toPandas()
     if found.empty:
-        return Weights(np.zeros(0, np.int64), np.zeros(0), 0.0)
+        return Weights(np.zeros(0, np.int64), np.zeros(0), log_odds(0, 0))
     bias = float(found.loc[found["i"] < 0, "w"].iloc[0])
     found = found[found["i"] >= 0]
     return Weights(found["i"].to_numpy(np.int64), found["w"].to_numpy(), bias)

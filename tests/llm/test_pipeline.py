@@ -38,7 +38,8 @@ def test_messy_documents(messy, docs, spark, stage):
         assert sorted(i for i in ids if i is not None) == [1, 2, 3, 4, 4, 6, 7]
     elif stage is P.near_copies:
         assert sorted(i for i in ids if i is not None) == [1, 4, 5, 6, 7]
-    elif stage in (P.benchmark_free, P.encoded):
+    elif stage is not P.toxic:
         assert len(ids) == frame.count()
-    assert ids.count(None) == 2
+    if stage is not P.toxic:  # which depends on the few labels of these ids
+        assert ids.count(None) == 2
     assert stage(spark, docs([]).drop("ids"), SF).count() == 0
