@@ -9,7 +9,9 @@ from pyspark.sql import types as T
 from ratebook.fixed import COERCE_ZERO_WORDS, RATE_ZERO_WORDS
 from ratebook.functions.text import col_of, trim_ws
 
-RATE_TYPE = T.DecimalType(12, 6)
+# A cell's number must fit CELL_TYPE; RATE_TYPE also holds sums of such cells.
+RATE_TYPE = T.DecimalType(24, 6)
+CELL_TYPE = T.DecimalType(22, 6)
 
 
 def zero_rate() -> Column:
@@ -30,17 +32,29 @@ def parse_rate(c: Column | str, dtype: T.DataType | None = None) -> Column:
     """
     x = col_of(c)
     if _is_numeric(x, dtype):
-        return F.coalesce(x.try_cast(RATE_TYPE), zero_rate())
+        return F.coalesce(x.try_cast(CELL_TYPE).cast(RATE_TYPE), zero_rate())
     s = F.lower(trim_ws(x.cast("string")))
+    num = _number_text(s).try_cast(CELL_TYPE).cast(RATE_TYPE)
+    return (F.when(x.isNull() | s.isin(*RATE_ZERO_WORDS), zero_rate())
+            .otherwise(F.coalesce(num, zero_rate())))
+
+
+def _number_text(s: Column) -> Column:
     # Cut at the first 'to', then at the first ' or ' (substring_index gives
     # the whole text when the delimiter is absent), then take the first
     # number. Blanks around the pieces never change which number is first,
     # so only the zero-word test needs the trimmed text.
     s1 = F.replace(s, F.lit("%"), F.lit(""))
     s3 = F.substring_index(F.substring_index(s1, "to", 1), " or ", 1)
-    num = F.regexp_extract(s3, "[0-9.]+", 0).try_cast(RATE_TYPE)
-    return (F.when(x.isNull() | s.isin(*RATE_ZERO_WORDS), zero_rate())
-            .otherwise(F.coalesce(num, zero_rate())))
+    return F.regexp_extract(s3, "[0-9.]+", 0)
+
+
+def rate_out_of_range(c: Column | str) -> Column:
+    """Whether the number that :func:`parse_rate` would take from a text cell
+    is a number too large for a rate (the cell then parses as 0)."""
+    s = F.lower(trim_ws(F.coalesce(col_of(c).cast("string"), F.lit(""))))
+    num = _number_text(s)
+    return ~s.isin(*RATE_ZERO_WORDS) & num.try_cast("double").isNotNull() & num.try_cast(CELL_TYPE).isNull()
 
 
 def coerce_rate(c: Column | str, dtype: T.DataType | None = None) -> Column:
@@ -48,8 +62,8 @@ def coerce_rate(c: Column | str, dtype: T.DataType | None = None) -> Column:
     '%'; the whole remaining text must be a number (sign kept) else 0."""
     x = col_of(c)
     if _is_numeric(x, dtype):
-        return F.coalesce(x.try_cast(RATE_TYPE), zero_rate())
+        return F.coalesce(x.try_cast(CELL_TYPE).cast(RATE_TYPE), zero_rate())
     s = F.lower(trim_ws(x.cast("string")))
-    num = trim_ws(F.replace(s, F.lit("%"), F.lit(""))).try_cast(RATE_TYPE)
+    num = trim_ws(F.replace(s, F.lit("%"), F.lit(""))).try_cast(CELL_TYPE).cast(RATE_TYPE)
     return (F.when(x.isNull() | s.isin(*COERCE_ZERO_WORDS), zero_rate())
             .otherwise(F.coalesce(num, zero_rate())))

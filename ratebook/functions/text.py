@@ -46,7 +46,7 @@ def dec_text(c: Column | str) -> Column:
     """Canonical decimal text: fixed-scale text with trailing zeros removed
     (5.000000 -> '5', 2.500000 -> '2.5'). Used wherever a rate enters an id
     or a key, so 5 and 5.0 are the same rate."""
-    s = col_of(c).cast(T.DecimalType(12, 6)).cast("string")
+    s = col_of(c).cast(T.DecimalType(24, 6)).cast("string")
     return F.regexp_replace(s, r"\.?0+$", "")
 
 

@@ -81,7 +81,7 @@ def classify(df: DataFrame, text_col: str = "gst_description", code_col: str = "
     kw = keyword_rules or KEYWORD_RULES
     rr = range_rules or HSN_RANGE_RULES
     sm = KEYWORD_SUB if sub_map is None else sub_map
-    cat = F.coalesce(keyword_category_auto(text_col, kw, sm), range_category(code_col, rr),
+    cat = F.coalesce(keyword_category(text_col, kw, sm), range_category(code_col, rr),
                      default_category())
     tmp = "__cat"
     return (df.withColumn(tmp, cat)
@@ -166,82 +166,10 @@ def keyword_rules_frame(spark, rules=KEYWORD_RULES, sub_map=KEYWORD_SUB):
     return spark.createDataFrame(rows, "rule_ord int, keyword string, top_category string, sub_category string")
 
 
-# ---------------------------------------------- many keywords: one automaton
-
-CASE_CHAIN_MAX_RULES = 200
-
-
-def _first_rule_udf(keywords: list[str]):
-    """Pandas UDF: index of the first rule (rule order) whose keyword occurs
-    in the lower-cased text, or -1. One Aho-Corasick automaton per Python
-    worker scans each text once, whatever the number of rules."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
-
-    state = {}
-
-    def automaton():
-        if "a" not in state:
-            import ahocorasick
-            a = ahocorasick.Automaton()
-            for i, kw in enumerate(keywords):
-                if kw not in a:  # a repeated keyword keeps its first rule
-                    a.add_word(kw, i)
-            a.make_automaton()
-            state["a"] = a
-        return state["a"]
-
-    def first_rule(texts):
-        a = automaton()
-        out = []
-        for t in texts:
-            best = -1
-            if t is not None and len(a):
-                for _, i in a.iter(t):
-                    if best < 0 or i < best:
-                        best = i
-                        if best == 0:
-                            break
-            out.append(best)
-        return pd.Series(out, dtype="int32")
-
-    # Real (not postponed) annotations: Spark infers the UDF kind from them.
-    first_rule.__annotations__ = {"texts": pd.Series, "return": pd.Series}
-    return pandas_udf("int")(first_rule)
-
-
-def keyword_category_many(text: Column | str, rules: Sequence[tuple[str, str]] = KEYWORD_RULES,
-                          sub_map: dict[str, str] = KEYWORD_SUB) -> Column:
-    """C1/C2 for large rule sets: same result as :func:`keyword_category`
-    (first rule in rule order whose keyword is a substring), via the
-    automaton UDF; the (top, sub) lookup by rule index stays in the JVM."""
-    if not rules:
-        return _null_cat()
-    idx = _first_rule_udf([kw for kw, _ in rules])(F.lower(F.coalesce(col_of(text), F.lit(""))))
-    cats = F.array(*[_cat(top, sub_map.get(kw, DEFAULT_SUB)) for kw, top in rules])
-    return F.when(idx >= 0, F.get(cats, idx)).otherwise(_null_cat())
-
-
-def keyword_category_auto(text: Column | str, rules: Sequence[tuple[str, str]] = KEYWORD_RULES,
-                          sub_map: dict[str, str] = KEYWORD_SUB) -> Column:
-    """CASE chain up to CASE_CHAIN_MAX_RULES rules (JVM, codegen), else the automaton."""
-    if len(rules) <= CASE_CHAIN_MAX_RULES:
-        return keyword_category(text, rules, sub_map)
-    return keyword_category_many(text, rules, sub_map)
-
-
-MAX_RULE_ROWS = 1_000_000
-
-
-def keyword_rules_from_frame(rules: DataFrame, max_rules: int = MAX_RULE_ROWS):
+def keyword_rules_from_frame(rules: DataFrame):
     """Keyword rules held as a DataFrame (rule_ord, keyword, top_category[,
     sub_category]) -> (rules list, sub map) for :func:`classify`. Rule tables
-    are configuration: the count is checked against ``max_rules`` before the
-    ordered rules are brought to the driver; beyond 200 rules ``classify``
-    matches them with one automaton pass per text."""
-    n = rules.limit(max_rules + 1).count()
-    if n > max_rules:
-        raise ValueError(f"keyword rule table has more than {max_rules} rows")
+    are configuration: they are brought to the driver, in order."""
     cols = ["keyword", "top_category"] + (["sub_category"] if "sub_category" in rules.columns else [])
     rows = rules.orderBy("rule_ord").select(*cols).collect()
     kws = [(r.keyword, r.top_category) for r in rows]

@@ -48,6 +48,10 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
          "source", "track", "wbr"}
 _SKIP_TEXT = {"script", "style", "template"}
 _SECTIONS = {"thead", "tbody", "tfoot"}
+# A start tag that ends an open one of its kind, and what it doesn't reach out of.
+_CLOSES_ITSELF = {"p": {"td", "th", "table", "div", "section", "article"}, "li": {"ul", "ol"}, "option": {"select"}}
+# Bounds of the HTML standard.
+_MAX_COLSPAN, _MAX_ROWSPAN = 1_000, 65_534
 
 
 class _Node:
@@ -56,22 +60,27 @@ class _Node:
     def __init__(self, tag, attrs, parent):
         self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
 
+    def _walk(self, into):
+        """Everything below, in document order, whatever the depth."""
+        stack = self.children[::-1]
+        while stack:
+            c = stack.pop()
+            yield c
+            if isinstance(c, _Node) and into(c):
+                stack += c.children[::-1]
+
     def iter(self, tag=None):
-        for c in self.children:
-            if isinstance(c, _Node):
-                if tag is None or c.tag in tag:
-                    yield c
-                yield from c.iter(tag)
+        for c in self._walk(lambda n: True):
+            if isinstance(c, _Node) and (tag is None or c.tag in tag):
+                yield c
 
     def kids(self, tags):
         return [c for c in self.children if isinstance(c, _Node) and c.tag in tags]
 
     def strings(self):
-        for c in self.children:
+        for c in self._walk(lambda n: n.tag not in _SKIP_TEXT):
             if isinstance(c, str):
                 yield c
-            elif c.tag not in _SKIP_TEXT:
-                yield from c.strings()
 
 
 class _Builder(HTMLParser):
@@ -97,6 +106,8 @@ class _Builder(HTMLParser):
             self._close_until({"tr"}, {"table"})
         elif tag in _SECTIONS:
             self._close_until(_SECTIONS, {"table"})
+        elif tag in _CLOSES_ITSELF:
+            self._close_until({tag}, _CLOSES_ITSELF[tag])
         node = _Node(tag, dict(attrs), self.cur)
         self.cur.children.append(node)
         if tag not in _VOID:
@@ -136,7 +147,8 @@ def _cell_text_2(td: _Node) -> str:
 
 
 def _expand(rows: list[_Node]) -> list[list[tuple[str, bool]]]:
-    """colspan / rowspan expansion; cells are (text, is_th)."""
+    """colspan / rowspan expansion of one section; cells are (text, is_th).
+    A rowspan past the last row adds rows of what it still spans."""
     out: list[list[tuple[str, bool]]] = []
     pending: dict[int, tuple[str, bool, int]] = {}
     for tr in rows:
@@ -156,8 +168,8 @@ def _expand(rows: list[_Node]) -> list[list[tuple[str, bool]]]:
             ci += 1
             text, th = _cell_text_1(td), td.tag == "th"
             try:
-                cs = max(1, int(td.attrs.get("colspan", 1) or 1))
-                rs = max(1, int(td.attrs.get("rowspan", 1) or 1))
+                cs = min(_MAX_COLSPAN, max(1, int(td.attrs.get("colspan", 1) or 1)))
+                rs = min(_MAX_ROWSPAN, max(1, int(td.attrs.get("rowspan", 1) or 1)))
             except ValueError:
                 cs, rs = 1, 1
             for _ in range(cs):
@@ -166,6 +178,9 @@ def _expand(rows: list[_Node]) -> list[list[tuple[str, bool]]]:
                     pending[col] = (text, th, rs - 1)
                 col += 1
         out.append(row)
+    while pending:
+        out.append([pending[c][:2] for c in sorted(pending)])
+        pending = {c: (t, th, left - 1) for c, (t, th, left) in pending.items() if left > 1}
     return out
 
 
@@ -175,12 +190,11 @@ def _strategy1(root: _Node):
         head = [tr for s in table.kids({"thead"}) for tr in s.kids({"tr"})]
         body = [tr for s in table.kids({"tbody"}) for tr in s.kids({"tr"})] + table.kids({"tr"})
         foot = [tr for s in table.kids({"tfoot"}) for tr in s.kids({"tr"})]
-        grid = _expand(head + body + foot)
-        hrows, brows = grid[:len(head)], grid[len(head):]
-        if not head:
-            while brows and brows[0] and all(th for _, th in brows[0]):
-                hrows.append(brows.pop(0))
         n_tr = len(head) + len(body) + len(foot)
+        if not head:
+            while body and body[0].kids({"td", "th"}) and not body[0].kids({"td"}):
+                head.append(body.pop(0))
+        hrows, brows = _expand(head), _expand(body) + _expand(foot)
         for ri, r in enumerate(hrows):
             yield 1, ti, n_tr, ri, True, [t for t, _ in r]
         for ri, r in enumerate(brows):
@@ -247,6 +261,14 @@ def clean_headers(cells: Column) -> Column:
                                                       render(BLANK_HEADER, i=i.cast("string"))))
 
 
+def distinct_headers(cells: Column) -> Column:
+    """A header that stood before gets '.1', '.2'... behind it; blanks stay."""
+    def named(x: Column, i: Column) -> Column:
+        before = F.size(F.filter(F.slice(cells, F.lit(1), i), lambda y: y == x))
+        return F.when((x != "") & (before > 0), F.concat(x, F.lit("."), before.cast("string"))).otherwise(x)
+    return F.transform(cells, named)
+
+
 def _keyword_score(text: Column, keywords=TABLE_KEYWORDS) -> Column:
     s = None
     for k in keywords:
@@ -310,7 +332,7 @@ def _rows_from(grids: DataFrame, best: DataFrame, strategy: int) -> DataFrame:
         # Columns: the header names, or positions 0..w-1 without a header;
         # missing / empty cells are missing values; all-missing rows dropped.
         w = F.greatest(width, F.coalesce(F.col("__bw"), F.lit(0)))
-        names = F.when(F.col("__h").isNotNull(), clean_headers(F.col("__h"))).otherwise(
+        names = F.when(F.col("__h").isNotNull(), clean_headers(distinct_headers(F.col("__h")))).otherwise(
             F.transform(F.sequence(F.lit(0), w - 1), lambda x: x.cast("string")))
         vals = F.transform(F.sequence(F.lit(0), F.size(names) - 1),
                            lambda i: F.nullif(F.get(F.col("cells"), i), F.lit("")))

@@ -19,14 +19,16 @@ LEDGER_COLS = ["job_id", "source_name", "url", "source_type", "priority", "is_pr
 
 
 def fold_transitions(jobs: DataFrame, events: DataFrame, max_retries: int = 3) -> DataFrame:
-    """Ledger rows from the first enqueue of each job plus its later
+    """Ledger rows from the first enqueue of each job plus its
     transitions. ``jobs``: (job_id, source_name, url, source_type, priority,
     is_primary, created_at); ``events``: (job_id, ts, seq, transition in
     {'in_progress', 'completed', 'failed'}, detail). Status = last
     transition (else 'pending'); retries = failures; error = detail of the
     last failure unless a completion came after it; content_path = detail
-    of the last completion."""
-    e = events.join(jobs.select("job_id", "created_at"), "job_id").filter(F.col("ts") >= F.col("created_at"))
+    of the last completion. Transitions update their job by id, whatever
+    their time; those of ids that were never enqueued change nothing."""
+    # Aggregated before the join: a job with many events is one row there.
+    e = events
     o = F.struct("ts", "seq")
     t = F.col("transition")
     agg = e.groupBy("job_id").agg(

@@ -92,7 +92,7 @@ def rate_by_code(df: DataFrame, code: str, limit: int | None = None,
     n = clamp(limit, LIMIT_CODE)
     top = df.filter(_prefix_filter(code_col, code)).orderBy(F.col(ord_col)).limit(n)
     w = Window.partitionBy(F.coalesce(F.col("gst_description"), F.lit(""))).orderBy(ord_col)
-    first = top.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1")
+    first = top.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").orderBy(ord_col)
     return pick_product(first)
 
 
@@ -141,11 +141,15 @@ def categories_nested(df: DataFrame, **kw) -> DataFrame:
 
 def envelope(items: DataFrame, query: str, items_name: str = "products") -> DataFrame:
     """Q6: JSON envelope {query, total_results, <items_name>} as one string
-    row. Only used on the bounded (<= 30 row) outputs of Q1-Q3."""
-    agg = items.agg(F.count(F.lit(1)).alias("total_results"),
-                    F.collect_list(F.struct(*items.columns)).alias(items_name))
-    return agg.select(F.to_json(F.struct(F.lit(query).alias("query"), "total_results",
-                                         items_name)).alias("json"))
+    row, items in the order of ``items``, null fields written as null. Only
+    used on the bounded (<= 30 row) outputs of Q1-Q3."""
+    # The id follows the order of a sorted frame, over its partitions too.
+    placed = items.withColumn("__at", F.monotonically_increasing_id())
+    agg = placed.agg(F.count(F.lit(1)).alias("total_results"),
+                     F.sort_array(F.collect_list(F.struct("__at", *items.columns))).alias("__all"))
+    plain = F.transform("__all", lambda x: x.dropFields("__at")).alias(items_name)
+    return agg.select(F.to_json(F.struct(F.lit(query).alias("query"), "total_results", plain),
+                                {"ignoreNullFields": "false"}).alias("json"))
 
 
 def collection_size(df: DataFrame) -> DataFrame:

@@ -792,10 +792,11 @@ def q_full_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("classify_documents_automaton")
 def q_classify_documents_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C1 + C2 + C4 through the many-rule path (one automaton pass per
-    text); must equal the CASE-chain result."""
+    """C1 + C2 + C4 with the keyword rules taken from a rule table; must equal
+    the built-in rules' result."""
     d = table(spark, sf_dir, "documents")
-    cat = F.coalesce(C.keyword_category_many("text"), C.default_category())
+    rules, sub_map = C.keyword_rules_from_frame(C.keyword_rules_frame(spark))
+    cat = F.coalesce(C.keyword_category("text", rules, sub_map), C.default_category())
     return d.select("doc_id", cat.top_category.alias("top_category"),
                     cat.sub_category.alias("sub_category"))
 
@@ -808,11 +809,14 @@ def q_export_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("load_stats")
 def q_load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows, rows without an id, rows loaded, over the order-derived products."""
+    """Rows, rows that fail conversion, rows loaded, over order-derived
+    source rows with text rates (some blank, some not numbers, some ids empty)."""
     o = table(spark, sf_dir, "orders")
-    rows = o.select(F.when(F.col("o_orderkey") % 17 == 0, F.lit(""))
-                    .otherwise(F.col("o_orderkey").cast("string")).alias("product_id"))
-    return S.load_stats(S.to_product(rows))
+    k = F.col("o_orderkey")
+    rows = o.select(F.when(k % 17 == 0, F.lit("")).otherwise(k.cast("string")).alias("product_id"),
+                    F.when(k % 13 == 0, F.lit("n/a")).when(k % 7 == 0, F.lit(" "))
+                    .otherwise((k % 28).cast("string")).alias("igst_rate"))
+    return S.load_stats(rows)
 
 
 # ---------------------------------------------------------------- sinks
@@ -840,3 +844,21 @@ def q_export_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     ch = K.with_chunk_ids(lineitem_records(spark, sf_dir), "ord", 10_000)
     return ch.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"),
                                    F.min_by("product_id", "ord").alias("first_id"))
+
+
+@register("normalize_quarantine")
+def q_normalize_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part-derived raw rows whose rate text holds a code number behind a
+    cut, a large rate, a number no rate can hold, or a plain rate: the rows
+    kept and the rows quarantined with the reason."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey") % 4
+    rate = (F.when(k == 0, "tobacco 24029900").when(k == 1, "1500000")
+            .when(k == 2, F.repeat(F.lit("9"), 30)).otherwise("5%"))
+    raw = p.select(F.col("p_partkey").alias("ord"), F.create_map(
+        F.lit("hsn"), F.col("p_partkey").cast("string"), F.lit("description"), F.col("p_name"),
+        F.lit("rate"), rate).alias("cells"))
+    good, bad = N.split_errors(N.normalize(raw))
+    cols = ["hsn_code", F.col("igst_rate").cast("double").alias("igst_rate")]
+    return good.select(*cols, F.lit(None).cast("string").alias("error")).unionByName(
+        bad.select(*cols, F.col("_error").alias("error")))

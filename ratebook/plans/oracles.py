@@ -566,7 +566,7 @@ agg AS (SELECT tr.job_id, arg_max(t, {'a': tr.ts, 'b': seq}) AS last_t,
                arg_max(detail, {'a': tr.ts, 'b': seq}) FILTER (WHERE t = 'failed') AS err,
                arg_max(detail, {'a': tr.ts, 'b': seq}) FILTER (WHERE t = 'completed') AS content_path,
                max(tr.ts) AS upd
-        FROM tr JOIN jobs ON tr.job_id = jobs.job_id WHERE tr.ts >= jobs.created_at GROUP BY tr.job_id),
+        FROM tr GROUP BY tr.job_id),
 led AS (SELECT jobs.*, coalesce(last_t, 'pending') AS status, CAST(coalesce(retries, 0) AS BIGINT) AS retries,
                content_path, CASE WHEN lf IS NOT NULL AND (lc IS NULL OR lf > lc) THEN err END AS error,
                coalesce(upd, created_at) AS updated_at
@@ -675,8 +675,8 @@ FROM (SELECT *, 'high' AS confidence_flag FROM r)
 """
 
 ORACLES["load_stats"] = """
-SELECT count(*) AS total_rows, count(*) FILTER (WHERE o_orderkey % 17 = 0) AS bad_rows,
-       count(*) FILTER (WHERE o_orderkey % 17 <> 0) AS inserted
+SELECT count(*) AS total_rows, count(*) FILTER (WHERE o_orderkey % 13 = 0) AS bad_rows,
+       count(*) FILTER (WHERE o_orderkey % 13 <> 0) AS inserted
 FROM orders
 """
 
@@ -693,3 +693,10 @@ WITH r AS (
 SELECT CAST(pos // 10000 + 1 AS BIGINT) AS chunk, count(*) AS n, arg_min(product_id, pos) AS first_id
 FROM r GROUP BY 1
 """
+
+ORACLES["normalize_quarantine"] = """
+SELECT CAST(p_partkey AS VARCHAR) AS hsn_code,
+       CASE p_partkey % 4 WHEN 1 THEN 1500000.0 WHEN 3 THEN 5.0 ELSE 0.0 END AS igst_rate,
+       CASE WHEN p_partkey % 4 = 2 THEN 'rate_out_of_range' END AS error
+FROM part
+"""

@@ -43,6 +43,12 @@ def apply_scale_conf(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process on one machine."""
+    master = spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
@@ -51,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="ratebook-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:

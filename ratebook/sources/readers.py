@@ -5,19 +5,22 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratebook.fixed import SEED_SOURCE_NAME, SEED_SOURCE_URL
 from ratebook.functions.rates import RATE_TYPE
+from ratebook.session import is_local
 
 
 def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread a scan over the cluster's cores when it came out as fewer
-    partitions (e.g. one unsplittable row group). On a cluster reading many
-    files the scan already has enough partitions and this is a no-op, so no
-    shuffle is added at scale."""
+    partitions (e.g. one unsplittable row group), on a local master only: a
+    cluster's scans are never shuffled for it."""
+    if not is_local(df.sparkSession):
+        return df
     try:
         sc = df.sparkSession.sparkContext
         want = min_partitions or sc.defaultParallelism
@@ -81,10 +84,25 @@ def file_order() -> "F.Column":
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Parsed-row JSON files (one object per line, all values as text)
-    -> RAW rows; order = (file name, position)."""
-    txt = spark.read.text(path)
-    return txt.select(F.from_json("value", RAW_JSON_SCHEMA).alias("cells"), file_order().alias("ord"))
+    """Parsed-row JSON files -> RAW rows; order = (file name, position).
+
+    A file holds one array of objects, over any number of lines, or one object
+    per line; values are read as text. What is not an object comes back with
+    null ``cells`` and its text in ``_corrupt`` (see :func:`split_corrupt`)."""
+    whole = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("f"))
+    is_array = F.ltrim(F.regexp_replace(F.col("value"), r"^[\s\uFEFF]+", "")).startswith("[")
+    items = F.from_json("value", T.ArrayType(T.StringType()))
+    parts = F.when(is_array, F.coalesce(items, F.array("value"))).otherwise(
+        F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != ""))
+    rows = whole.select("f", F.posexplode(parts).alias("i", "text"))
+    cells = F.from_json("text", RAW_JSON_SCHEMA)
+    return rows.select(cells.alias("cells"), F.when(cells.isNull(), F.col("text")).alias("_corrupt"),
+                       F.struct("f", "i").alias("ord"))
+
+
+def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows with cells, texts that could not be read) of :func:`read_raw`."""
+    return raw.where("cells is not null").drop("_corrupt"), raw.where("cells is null").select("_corrupt", "ord")
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -112,8 +130,10 @@ def read_stage(spark: SparkSession, root: str, stage: str) -> DataFrame | None:
     p = os.path.join(root, stage)
     try:
         return spark.read.parquet(p)
-    except Exception:  # noqa: BLE001 - absent stage
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":  # absent; anything else is an error
+            return None
+        raise
 
 
 def with_seed_fallback(df: DataFrame, seed: DataFrame) -> DataFrame:
