@@ -3,13 +3,13 @@
 Split of work:
 
 * Python (``mapInPandas``, Arrow batches, stdlib ``html.parser``; no lxml or
-  bs4 in the image) only turns each page into cell grids: one output row
-  per table row, tagged with the strategy, the container index, its
-  ``<tr>`` count and whether it is a header row. A page is one document, so
+  bs4 in the image) only turns each page into its tables' cell grids, one
+  output row per page with its source and error. A page is one document, so
   the work per task is bounded by the page size.
-* Spark does the rest with built-in expressions and aggregates: table
-  scoring and choice (E2/E9), header cleaning (E3/E4), grid -> map (E5),
-  blank rows (E6), audit text (E7), lineage (E8) and the strategy chain (E10).
+* Spark does the rest inside that row with built-in array expressions: table
+  scoring and choice (E2/E9), header cleaning (E3/E4), blank rows (E6), audit
+  text (E7) and the strategy chain (E10); the chosen table's rows are then
+  exploded once into maps (E5) with their lineage (E8). Nothing is shuffled.
 
 Strategy 1 follows the ``read_html`` reading of tables (header = ``<thead>``
 rows, else leading all-``<th>`` rows; colspan/rowspan expanded; empty cells
@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 from ratebook.fixed import BLANK_HEADER, DIV_CLASS_PATTERN, RAW_TEXT_SEPARATOR, TABLE_KEYWORDS
 from ratebook.functions.fmt import render
 from ratebook.functions.text import snake
-from ratebook.session import cut_lineage
 
 # Python-worker code of this module travels with the task (pickled by value),
 # so executors need no installed copy of the package.
@@ -41,8 +40,7 @@ try:
 except Exception:  # noqa: BLE001 - older cloudpickle: fall back to by-reference pickling
     pass
 
-GRID_SCHEMA = ("page_id long, strategy int, table_idx int, n_tr int, row_idx int, "
-               "is_header boolean, cells array<string>, error string")
+_GRID = "array<struct<table_idx:int,n_tr:int,head:array<array<string>>,body:array<array<string>>>>"
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
          "source", "track", "wbr"}
@@ -195,10 +193,8 @@ def _strategy1(root: _Node):
             while body and body[0].kids({"td", "th"}) and not body[0].kids({"td"}):
                 head.append(body.pop(0))
         hrows, brows = _expand(head), _expand(body) + _expand(foot)
-        for ri, r in enumerate(hrows):
-            yield 1, ti, n_tr, ri, True, [t for t, _ in r]
-        for ri, r in enumerate(brows):
-            yield 1, ti, n_tr, ri, False, [t for t, _ in r]
+        yield {"table_idx": ti, "n_tr": n_tr, "head": [[t for t, _ in r] for r in hrows],
+               "body": [[t for t, _ in r] for r in brows]}
 
 
 def _strategy2(root: _Node):
@@ -221,38 +217,43 @@ def _strategy2(root: _Node):
         if header is None and not theads:
             header = trs[0]
         hcells = [_cell_text_2(c) for c in header.iter({"td", "th"})] if header is not None else []
-        yield 2, ti, len(trs), 0, True, hcells
         if theads:
             tb = t.kids({"tbody"})
             data = list(tb[0].iter({"tr"})) if tb else trs[1:]
         else:
             data = trs[1:]
-        for ri, tr in enumerate(data):
-            yield 2, ti, len(trs), ri, False, [_cell_text_2(c) for c in tr.iter({"td", "th"})]
+        yield {"table_idx": ti, "n_tr": len(trs), "head": [hcells],
+               "body": [[_cell_text_2(c) for c in tr.iter({"td", "th"})] for tr in data]}
 
 
-def _grid_batches(it, id_col: str, html_col: str):
-    for pdf in it:
-        out = []
-        for pid, html in zip(pdf[id_col], pdf[html_col]):
-            if html is None or not str(html).strip():
-                out.append((pid, 0, -1, 0, -1, False, [], "Empty HTML content"))
-                continue
-            try:
-                root = _parse(str(html))
-                for s, ti, ntr, ri, hdr, cells in list(_strategy1(root)) + list(_strategy2(root)):
-                    out.append((pid, s, ti, ntr, ri, hdr, cells, None))
-            except Exception as e:  # noqa: BLE001 - recorded per page, as a parse error
-                out.append((pid, 0, -1, 0, -1, False, [], f"{type(e).__name__}: {e}"))
-        yield pd.DataFrame(out, columns=["page_id", "strategy", "table_idx", "n_tr", "row_idx",
-                                         "is_header", "cells", "error"])
+def _parsed(html, first: bool) -> tuple[str | None, list, list]:
+    """(error, tables by the first strategy, containers by the fallback)."""
+    if html is None or not str(html).strip():
+        return "Empty HTML content", [], []
+    try:
+        root = _parse(str(html))
+        return None, list(_strategy1(root)) if first else [], list(_strategy2(root))
+    except Exception as e:  # noqa: BLE001 - recorded per page, as a parse error
+        return f"{type(e).__name__}: {e}", [], []
+
+
+def parse_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", has_selector: bool = True,
+                source_col: str | None = None) -> DataFrame:
+    """E1 (+ the container census of E9): one row per page: page_id,
+    source_name, error, first and fallback (arrays of tables). With a table
+    selector configured only the fallback is made (see :func:`extract`)."""
+    source = F.col(source_col).cast("string") if source_col else F.lit(None).cast("string")
+    src = pages.select(F.col(id_col).cast("long").alias("page_id"), source.alias("source_name"),
+                       F.col(html_col).cast("string").alias("html"))
 
+    def batches(it):
+        for pdf in it:
+            got = [_parsed(h, not has_selector) for h in pdf["html"]]
+            yield pd.DataFrame({"page_id": pdf["page_id"], "source_name": pdf["source_name"],
+                                "error": pd.Series([g[0] for g in got], dtype=object),
+                                "first": [g[1] for g in got], "fallback": [g[2] for g in got]})
 
-def page_grids(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """E1 (+ the container census of E9): pages -> cell-grid rows."""
-    src = pages.select(F.col(id_col).cast("long").alias(id_col), F.col(html_col).cast("string").alias(html_col))
-    return src.mapInPandas(lambda it: _grid_batches(it, id_col, html_col), GRID_SCHEMA) \
-              .withColumnRenamed(id_col, "page_id")
+    return src.mapInPandas(batches, f"page_id long, source_name string, error string, first {_GRID}, fallback {_GRID}")
 
 
 def clean_headers(cells: Column) -> Column:
@@ -277,78 +278,96 @@ def _keyword_score(text: Column, keywords=TABLE_KEYWORDS) -> Column:
     return s
 
 
-def pick_best_table(grids: DataFrame) -> DataFrame:
-    """E2 (strategy 1): per page, among tables with >= 2 data rows the best by
-    (keyword score desc, data rows desc, first table); none qualifies -> the
-    table with most data rows (first on ties). Returns (page_id, table_idx)."""
-    g = grids.filter(F.col("strategy") == 1)
-    nonempty = F.filter("cells", lambda x: x != "")
-    per_table = g.groupBy("page_id", "table_idx").agg(
-        F.count_if(~F.col("is_header")).alias("n"),
-        F.concat_ws(" ", F.collect_list(F.when(F.col("is_header"), F.lower(F.array_join("cells", " "))))).alias("hdr"),
-        F.concat_ws(" ", F.collect_list(F.when(~F.col("is_header") & (F.col("row_idx") < 3),
-                                               F.lower(F.array_join(nonempty, " "))))).alias("sample"),
-        F.max(F.when(F.col("is_header"), F.size("cells"))).alias("hw"),
-        F.max(F.when(~F.col("is_header"), F.size("cells"))).alias("bw"))
-    # Without a header row the column names are the positions 0..w-1.
-    width = F.coalesce("hw", "bw", F.lit(0))
-    hdr = F.when(F.col("hdr") != "", F.col("hdr")).otherwise(
-        F.array_join(F.transform(F.sequence(F.lit(0), width - 1), lambda x: x.cast("string")), " "))
-    scored = per_table.withColumn("score", F.when(F.col("n") >= 2, _keyword_score(F.concat_ws(" ", hdr, "sample"))))
-    rank = F.struct(F.col("score").isNotNull().alias("q"), F.coalesce("score", F.lit(-1)).alias("s"),
-                    F.col("n").alias("n"), (-F.col("table_idx")).alias("t"))
-    return scored.groupBy("page_id").agg(F.max_by("table_idx", rank).alias("table_idx"))
-
-
-def pick_best_container(grids: DataFrame) -> DataFrame:
-    """Per page the container with most <tr> (first on ties)."""
-    g = grids.filter(F.col("strategy") == 2)
-    return g.groupBy("page_id").agg(
-        F.max_by("table_idx", F.struct("n_tr", (-F.col("table_idx")).alias("t"))).alias("table_idx"))
-
-
-def _rows_from(grids: DataFrame, best: DataFrame, strategy: int) -> DataFrame:
-    g = grids.filter(F.col("strategy") == strategy).join(best, ["page_id", "table_idx"], "left_semi")
-    hdr = (g.filter("is_header").groupBy("page_id", "table_idx")
-             .agg(F.max_by("cells", F.col("row_idx")).alias("__last"),
-                  F.collect_list(F.struct("row_idx", "cells")).alias("__all")))
-    if strategy == 1:
-        # Several header rows: one name per column, the rows' texts joined by ' '.
-        joined = F.transform(F.sequence(F.lit(0), F.aggregate(F.transform("__all", lambda r: F.size(r["cells"])),
-                                                             F.lit(0), lambda a, b: F.greatest(a, b)) - 1),
-                             lambda i: F.array_join(F.transform(F.array_sort("__all"),
-                                                                lambda r: F.get(r["cells"], i)), " "))
-        hdr = hdr.select("page_id", "table_idx", joined.alias("__h"))
-    else:
-        hdr = hdr.select("page_id", "table_idx", F.col("__last").alias("__h"))
-    if strategy == 1:
-        # Widest body row per table (partial aggregate, joined back).
-        widths = (g.filter(~F.col("is_header")).groupBy("page_id", "table_idx")
-                   .agg(F.max(F.size("cells")).alias("__bw")))
-        hdr = hdr.join(widths, ["page_id", "table_idx"], "full")
-    body = g.filter(~F.col("is_header")).join(hdr, ["page_id", "table_idx"], "left")
-    width = F.coalesce(F.size("__h"), F.lit(0))
-    if strategy == 1:
-        # Columns: the header names, or positions 0..w-1 without a header;
-        # missing / empty cells are missing values; all-missing rows dropped.
-        w = F.greatest(width, F.coalesce(F.col("__bw"), F.lit(0)))
-        names = F.when(F.col("__h").isNotNull(), clean_headers(distinct_headers(F.col("__h")))).otherwise(
-            F.transform(F.sequence(F.lit(0), w - 1), lambda x: x.cast("string")))
-        vals = F.transform(F.sequence(F.lit(0), F.size(names) - 1),
-                           lambda i: F.nullif(F.get(F.col("cells"), i), F.lit("")))
-        body = (body.withColumn("__names", names).withColumn("__vals", vals)
-                    .filter(F.exists("__vals", lambda v: v.isNotNull())))
-        raw = F.array_join(F.filter("__vals", lambda v: v.isNotNull()), RAW_TEXT_SEPARATOR)
-    else:
-        names = clean_headers(F.coalesce(F.col("__h"), F.array().cast("array<string>")))
-        n = F.size("cells")
-        vals = F.when(n >= width, F.slice("cells", 1, width)).otherwise(
-            F.concat("cells", F.array_repeat(F.lit(""), width - n)))
-        body = (body.filter(F.size("cells") > 0)
-                    .withColumn("__names", names).withColumn("__vals", vals))
-        raw = F.array_join(F.filter("cells", lambda v: v != ""), RAW_TEXT_SEPARATOR)
-    return body.select("page_id", "table_idx", "row_idx", F.lit(strategy).alias("strategy"),
-                       F.map_from_arrays("__names", "__vals").alias("cells"), raw.alias("raw_text"))
+def _greatest_size(rows: Column) -> Column:
+    return F.aggregate(rows, F.lit(0), lambda w, r: F.greatest(w, F.size(r)))
+
+
+def _positions(n: Column) -> Column:
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def pick_best_table(tables: Column) -> Column:
+    """E2 (strategy 1): among tables with >= 2 data rows the best by (keyword
+    score desc, data rows desc, first table); none qualifies -> the table
+    with most data rows (first on ties)."""
+    def ranked(t: Column) -> Column:
+        width = F.when(F.size(t["head"]) > 0, _greatest_size(t["head"])).otherwise(_greatest_size(t["body"]))
+        hdr = F.array_join(F.transform(t["head"], lambda r: F.lower(F.array_join(r, " "))), " ")
+        # Without a header row the column names are the positions 0..w-1.
+        hdr = F.when(hdr != "", hdr).otherwise(F.array_join(F.transform(_positions(width), lambda x: x.cast("string")), " "))
+        sample = F.array_join(F.transform(F.slice(t["body"], 1, 3), lambda r: F.lower(
+            F.array_join(F.filter(r, lambda x: x != ""), " "))), " ")
+        n = F.size(t["body"])
+        score = F.when(n >= 2, _keyword_score(F.concat_ws(" ", hdr, sample)))
+        return F.struct(score.isNotNull().alias("q"), F.coalesce(score, F.lit(-1)).alias("s"), n.alias("n"),
+                        (-t["table_idx"]).alias("i"), t.alias("t"))
+    return F.array_max(F.transform(tables, ranked))["t"]
+
+
+def pick_best_container(tables: Column) -> Column:
+    """The container with most <tr> (first on ties)."""
+    return F.array_max(F.transform(tables, lambda t: F.struct(t["n_tr"].alias("n"), (-t["table_idx"]).alias("i"),
+                                                              t.alias("t"))))["t"]
+
+
+def _row(i: Column, names: Column, vals: Column, raw: Column) -> Column:
+    return F.struct(i.cast("int").alias("row_idx"), names.alias("names"), vals.alias("vals"), raw.alias("raw_text"))
+
+
+def _rows_first(t: Column) -> Column:
+    """Data rows of a table by strategy 1. Several header rows: one name per
+    column, the rows' texts joined by ' '; missing and empty cells are missing
+    values; all-missing rows are dropped."""
+    hw, bw = _greatest_size(t["head"]), _greatest_size(t["body"])
+    joined = F.transform(_positions(hw), lambda i: F.array_join(F.transform(t["head"], lambda r: F.get(r, i)), " "))
+    names = F.when(F.size(t["head"]) > 0, clean_headers(distinct_headers(joined))).otherwise(
+        F.transform(_positions(bw), lambda x: x.cast("string")))
+
+    def shaped(r: Column, i: Column) -> Column:
+        vals = F.transform(names, lambda n, k: F.nullif(F.get(r, k), F.lit("")))
+        return _row(i, names, vals, F.array_join(F.filter(vals, lambda v: v.isNotNull()), RAW_TEXT_SEPARATOR))
+    return F.filter(F.transform(t["body"], shaped), lambda r: F.exists(r["vals"], lambda v: v.isNotNull()))
+
+
+def _rows_fallback(t: Column) -> Column:
+    """Data rows by the fallback: short rows padded with '', long rows cut."""
+    names = clean_headers(F.element_at(t["head"], -1))
+
+    def shaped(r: Column, i: Column) -> Column:
+        vals = F.transform(names, lambda n, k: F.coalesce(F.get(r, k), F.lit("")))
+        return _row(i, names, vals, F.array_join(F.filter(r, lambda v: v != ""), RAW_TEXT_SEPARATOR))
+    cells = F.transform(t["body"], lambda r, i: F.struct(r.alias("r"), i.alias("i")))
+    return F.transform(F.filter(cells, lambda x: F.size(x["r"]) > 0), lambda x: shaped(x["r"], x["i"]))
+
+
+def _once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """Computed columns that later expressions read and never recompute (the
+    optimiser moves nothing through a generator)."""
+    return rows.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
+def raw_rows(parsed: DataFrame) -> DataFrame:
+    """E2-E10 on :func:`parse_pages` rows; see :func:`extract`."""
+    _last_value_wins(parsed)
+    best = _once(parsed.where("error is null").select("page_id", "source_name", "first", "fallback"),
+                 one=pick_best_table(F.col("first")), two=pick_best_container(F.col("fallback")))
+    best = best.select("page_id", "source_name", "one", "two")
+    none = F.array().cast("array<struct<row_idx:int,names:array<string>,vals:array<string>,raw_text:string>>")
+    made = _once(best, rows1=F.coalesce(F.when(F.col("one").isNotNull(), _rows_first(F.col("one"))), none),
+                 rows2=F.coalesce(F.when(F.col("two").isNotNull(), _rows_fallback(F.col("two"))), none))
+    strategy = F.when(F.size("rows1") > 0, 1).otherwise(2)
+    chosen = made.select("page_id", "source_name", strategy.alias("strategy"),
+                         F.when(strategy == 1, F.col("one.table_idx")).otherwise(F.col("two.table_idx")).alias("table_idx"),
+                         F.explode(F.when(strategy == 1, F.col("rows1")).otherwise(F.col("rows2"))).alias("r"))
+    rows = chosen.select("page_id", "table_idx", F.col("r.row_idx").alias("row_idx"), "strategy",
+                         F.map_from_arrays("r.names", "r.vals").alias("cells"), F.col("r.raw_text").alias("raw_text"),
+                         "source_name")
+    return rows.withColumn("ord", F.struct("page_id", "table_idx", "row_idx"))
+
+
+def page_errors(parsed: DataFrame) -> DataFrame:
+    """Pages of :func:`parse_pages` whose content was empty or unreadable."""
+    return parsed.where("error is not null").select("page_id", "error")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
@@ -357,26 +376,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
     selector configured the first strategy never runs (it fails on that
     configuration), so only the fallback applies — the default, as in the
     shipped configuration. Returns RAW rows: page_id, table_idx, row_idx,
-    strategy, cells MAP, raw_text, source_name, ord."""
-    # The HTML parse is the expensive step and three branches read its
-    # output: checkpoint it once into the shared checkpoint folder.
-    _last_value_wins(pages)
-    grids = cut_lineage(page_grids(pages, id_col, html_col))
-    parts = []
-    if not has_selector:
-        parts.append(_rows_from(grids, pick_best_table(grids), 1))
-    parts.append(_rows_from(grids, pick_best_container(grids), 2))
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
-    chosen = rows.groupBy("page_id").agg(F.min("strategy").alias("strategy"))
-    rows = rows.join(chosen, ["page_id", "strategy"], "left_semi")
-    if source_col:
-        src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(source_col).alias("source_name"))
-        rows = rows.join(src, "page_id", "left")
-    else:
-        rows = rows.withColumn("source_name", F.lit(None).cast("string"))
-    return rows.withColumn("ord", F.struct("page_id", "table_idx", "row_idx"))
+    strategy, cells MAP, raw_text, source_name, ord. For the errors beside the
+    rows write :func:`parse_pages` once and read both from it."""
+    return raw_rows(parse_pages(pages, id_col, html_col, has_selector, source_col))
 
 
 def _last_value_wins(df: DataFrame) -> None:
@@ -387,7 +389,7 @@ def _last_value_wins(df: DataFrame) -> None:
 
 def extract_errors(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Pages whose content is empty or could not be parsed (error per page)."""
-    return page_grids(pages, id_col, html_col).filter(F.col("error").isNotNull()).select("page_id", "error")
+    return page_errors(parse_pages(pages, id_col, html_col))
 
 
 def grid_to_rows(grid: DataFrame, header_first: bool = True) -> DataFrame:

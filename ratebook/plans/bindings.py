@@ -756,9 +756,28 @@ def q_extract_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("extract_pages")
 def q_extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E1-E10 on the crawled pages table (no tables there: zero rows)."""
-    raw = E.extract(table(spark, sf_dir, "pages"), has_selector=False)
-    return raw.select("page_id", "table_idx", "row_idx", "strategy", "raw_text")
+    """E1-E10 over the raw web pages, which hold no table: every page is
+    parsed without an error and yields no row."""
+    pages = table(spark, sf_dir, "pages")
+    parsed = E.parse_pages(pages, has_selector=False)
+    n = E.raw_rows(parsed).groupBy("page_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    return parsed.select("page_id", "error").join(n, "page_id", "left").select(
+        "page_id", "error", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
+@register("extract_layouts")
+def q_extract_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1-E9 on part-derived pages with unclosed paragraphs, a menu table
+    before the rates, a leading <th> row with a repeated header, and spans."""
+    p = table(spark, sf_dir, "part")
+    html = F.format_string(
+        "<p><p><div><table><tr><td>menu</td></tr></table><table><tr><th>HSN</th><th>Rate</th><th>Rate</th></tr>"
+        "<tr><td rowspan=2>%s</td><td>%s</td><td>9</td></tr><tr><td>%s</td><td>8</td></tr>"
+        "<tr><td colspan=2>%s</td><td></td></tr></table>",
+        *[F.col(c).cast("string") for c in ("p_partkey", "p_size", "p_retailprice", "p_partkey")])
+    raw = E.extract(p.select(F.col("p_partkey").alias("page_id"), html.alias("html")), has_selector=False)
+    return raw.select("page_id", "table_idx", "row_idx", "strategy", "raw_text",
+                      *[F.col("cells").getItem(h).alias(h) for h in ("hsn", "rate", "rate_1")])
 
 
 # ------------------------------------------------------------ pipelines

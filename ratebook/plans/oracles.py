@@ -655,10 +655,15 @@ FROM b
 
 ORACLES["extract_tables"] = _EXTRACTED
 ORACLES["extract_fallback"] = _EXTRACTED
-ORACLES["extract_pages"] = """
-SELECT page_id, CAST(NULL AS INTEGER) AS table_idx, CAST(NULL AS INTEGER) AS row_idx,
-       CAST(NULL AS INTEGER) AS strategy, CAST(NULL AS VARCHAR) AS raw_text
-FROM pages WHERE false
+ORACLES["extract_pages"] = "SELECT page_id, CAST(NULL AS VARCHAR) AS error, 0 AS n_rows FROM pages"
+ORACLES["extract_layouts"] = """
+WITH p AS (SELECT p_partkey AS page_id, CAST(p_partkey AS VARCHAR) AS k, CAST(p_size AS VARCHAR) AS a,
+                  CAST(p_retailprice AS VARCHAR) AS b FROM part),
+r AS (SELECT page_id, 0 AS row_idx, k AS hsn, a AS rate, '9' AS rate_1 FROM p
+      UNION ALL SELECT page_id, 1, k, b, '8' FROM p
+      UNION ALL SELECT page_id, 2, k, k, NULL FROM p)
+SELECT page_id, 1 AS table_idx, row_idx, 1 AS strategy, concat_ws(' | ', hsn, rate, rate_1) AS raw_text, hsn, rate, rate_1
+FROM r
 """
 
 ORACLES["classify_documents_automaton"] = ORACLES["classify_documents"]
