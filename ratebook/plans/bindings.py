@@ -383,14 +383,21 @@ def q_rate_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("envelope")
 def q_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q6: JSON envelope of the Q1 answer (one row)."""
-    return L.envelope(q_rate_by_product(spark, sf_dir), "RING")
+    """Q6: JSON envelope of the Q1 answer, read back: one row per item."""
+    items = q_rate_by_product(spark, sf_dir)
+    schema = f"query string, total_results long, products array<{items.schema.simpleString()}>"
+    back = L.envelope(items, "RING").select(F.from_json("json", schema).alias("e"))
+    return back.select("e.query", "e.total_results", F.posexplode("e.products").alias("place", "p")).select(
+        "query", "total_results", "place", "p.*")
 
 
 @register("categories_nested")
 def q_categories_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q4 nested form: per top category, total and sorted sub-category list."""
-    return L.categories_nested(part_products(spark, sf_dir))
+    """Q4 nested form: per top category, total and sorted sub-category list,
+    one row per list entry with its place."""
+    nested = L.categories_nested(part_products(spark, sf_dir))
+    return nested.select("top_category", "total_products", F.posexplode("sub_categories").alias("place", "s")).select(
+        "top_category", "total_products", "place", "s.*")
 
 
 @register("collection_size")

@@ -705,3 +705,19 @@ SELECT CAST(p_partkey AS VARCHAR) AS hsn_code,
        CASE WHEN p_partkey % 4 = 2 THEN 'rate_out_of_range' END AS error
 FROM part
 """
+
+ORACLES["envelope"] = f"""
+WITH hit AS (SELECT * FROM ({PART_PRODUCTS}) p WHERE regexp_matches(product_name, 'RING', 'i') ORDER BY ord LIMIT 5)
+SELECT 'RING' AS query, count(*) OVER () AS total_results,
+       CAST(row_number() OVER (ORDER BY ord) - 1 AS INTEGER) AS place, {_PICK} FROM hit
+"""
+
+ORACLES["categories_nested"] = f"""
+WITH p AS ({PART_PRODUCTS}),
+subs AS (SELECT top_category, sub_category, count(*) AS product_count, arg_min(hsn_code, ord) AS sample_hsn
+         FROM p GROUP BY top_category, sub_category ORDER BY top_category, product_count DESC, sub_category LIMIT 100)
+SELECT top_category, CAST(sum(product_count) OVER (PARTITION BY top_category) AS BIGINT) AS total_products,
+       CAST(row_number() OVER (PARTITION BY top_category ORDER BY product_count DESC, sub_category) - 1 AS INTEGER) AS place,
+       sub_category AS name, product_count, sample_hsn
+FROM subs
+"""
