@@ -198,9 +198,11 @@ def test_build_products_runs_and_export_view(spark, tmp_path):
                                 "sub_category string, brands array<string>, names array<string>, variants array<string>")
     res = runs.build_products(spark, raw, tpl, 50, out_dir=str(tmp_path / "synthetic"))
     assert res.products.count() == 50
-    # Stage reuse: a second call reads the written 'normalized' stage.
-    again = runs.build_products(spark, raw.filter(F.lit(False)), tpl, 50, out_dir=str(tmp_path / "synthetic"))
+    # A resumed run reads the written normalised stage; another run reads its own feed.
+    none = raw.filter(F.lit(False))
+    again = runs.build_products(spark, none, tpl, 50, out_dir=str(tmp_path / "synthetic"), resume=True)
     assert again.products.count() == 50
+    assert runs.build_products(spark, none, tpl, 50, out_dir=str(tmp_path / "synthetic")).products.count() == 0
     cat = spark.createDataFrame([(0, "SKU A", "85010000"), (1, "SKU B", "9999")],
                                 "ord int, product_name string, hsn_code string")
     res = runs.build_products(spark, raw, tpl, 50, catalog=cat, out_dir=str(tmp_path / "catalog"))
