@@ -21,7 +21,7 @@ than ``DIRECT`` tokens multiply the transfer matrices of their pieces, which
 is the same recursion.
 
 Scale. Broadcast are the model (states x classes) and the ``HOT`` most
-frequent words, both bounded by parameters; counts of all rarer words stay
+frequent words (fewer where counts tie), both bounded by parameters; counts of all rarer words stay
 distributed and meet their texts in a join from which the hot words are gone.
 """
 
@@ -98,7 +98,14 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 def vocabulary(words: DataFrame) -> Vocabulary:
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = words.orderBy(F.desc("c"), "token").limit(HOT).toPandas()
+    # All words with at least the smallest count that at most HOT words reach.
+    least, reached = None, 0
+    for c, n in words.groupBy("c").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).limit(HOT).collect():
+        reached += n
+        if reached > HOT:
+            break
+        least = c
+    top = words.where(F.col("c") >= F.lit(least)).toPandas().sort_values(["c", "token"], ascending=[False, True])
     ranked = top["token"].tolist()
     own = {w: i for i, w in enumerate([w for w in ranked if w != END][:OWN])}
 
