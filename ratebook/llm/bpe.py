@@ -25,6 +25,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -65,8 +66,7 @@ class Tokenizer:
         special = {t["content"]: t["id"] for t in spec.get("added_tokens") or []}
         ranks = {bytes(alphabet[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
         self.words = regex.compile(WORDS)
-        self.by_words = tiktoken.Encoding("words", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
-        self.unsplit = tiktoken.Encoding("unsplit", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+        self.ranks = ranks
         self.special = special
         self.bytes_of = {i: t for t, i in ranks.items()} | {i: t.encode() for t, i in special.items()}
         self.length = np.zeros(max(self.bytes_of) + 1, np.int64)
@@ -75,6 +75,14 @@ class Tokenizer:
         self.at_special = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") \
             if special else None
 
+    @cached_property
+    def by_words(self) -> tiktoken.Encoding:
+        return tiktoken.Encoding("words", pat_str=WORDS, mergeable_ranks=self.ranks, special_tokens={})
+
+    @cached_property
+    def unsplit(self) -> tiktoken.Encoding:
+        return tiktoken.Encoding("unsplit", pat_str=r"[\s\S]+", mergeable_ranks=self.ranks, special_tokens={})
+
     def parts(self, text: str) -> list[str]:
         """The text cut at special tokens: plain, special, plain, ..."""
         return self.at_special.split(text) if self.at_special and any(s in text for s in self.special) else [text]

@@ -30,7 +30,7 @@ STEM = 4
 SAMPLE = 20_000
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 3.0, 1.0
-CACHE = 500_000
+CACHE = 200_000
 PUNCTUATION = bytes.maketrans(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", b" " * 32)
 
 
@@ -117,7 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("o", kind="stable")
-        got = ftrl([x.astype(np.int64) for x in pdf["x"]], pdf["y"].to_numpy(np.float64))
+        got = ftrl(pdf["x"].tolist(), pdf["y"].to_numpy(np.float64))
         return pd.DataFrame({"i": np.r_[-1, got.ids], "w": np.r_[got.bias, got.values]})
 
     texts = docs.select(docs[id_col].cast("long").alias("__id"), docs[text_col].alias("text")).where("text is not null")
