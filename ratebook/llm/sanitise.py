@@ -41,7 +41,6 @@ REACH = 64
 CONTEXT = 3
 SUPPORT = 3
 THRESHOLD = 0.8
-BROADCAST_TERMS = 200_000
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -146,11 +145,9 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 .select("rid", F.concat_ws(":", F.col("b.kind").cast("string"), F.lower("b.value")).alias("entity"))
                 .distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("of_entity")))
     pairs = staged(pairs.join(entities, "entity"), "pairs")
-    terms = pairs.select("term").distinct()
-    if terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:
-        terms = F.broadcast(terms)
+    # Counted for every term of the corpus before they meet the pairs.
     held = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
-    spread = held.join(terms, "term").groupBy("term").agg(F.count(F.lit(1)).alias("of_term"))
+    spread = held.groupBy("term").agg(F.count(F.lit(1)).alias("of_term"))
     total = rows.count()
     information = F.log2(F.lit(float(total)) / F.col("of_entity"))
     disclosure = F.log2(F.col("both") * F.lit(float(total)) / (F.col("of_entity") * F.col("of_term")))
