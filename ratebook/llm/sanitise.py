@@ -13,7 +13,8 @@ c(e, t) that hold t in a context of e,
 A term whose disclosure is at least ``THRESHOLD`` of the entity's information
 (t nearly always points at e), seen with it in at least ``SUPPORT`` different
 contexts (copies of one passage are one context), is a span of kind ``term``
-wherever it stands in a context of e: it is to be generalised or removed.
+wherever it stands in any document, unless it overlaps a base span: it is to
+be generalised or removed.
 
 Built-in expressions only. Patterns equal the published ones in what they
 match; starts are anchored to the end of the last match or to the first
@@ -41,6 +42,9 @@ REACH = 64
 CONTEXT = 3
 SUPPORT = 3
 THRESHOLD = 0.8
+# Words walked at once when terms are marked, so that a text with many marks
+# is not copied once per mark.
+BLOCK = 1024
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -118,6 +122,35 @@ def _contexts(text: Column, spans: Column) -> Column:
     return F.flatten(F.transform(spans, around))
 
 
+def _terms(text: Column) -> Column:
+    """The distinct words of a text, lower-cased one by one."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.lower(w)))
+
+
+def _marked(rows: DataFrame) -> DataFrame:
+    """``rows`` (text, base, terms) with ``marks``: array of (start, kind, end)
+    of every word that is one of ``terms`` and overlaps no base span."""
+    empty = F.array().cast("array<struct<start:int,end:int>>")
+
+    def walk(words: Column) -> Column:
+        return F.aggregate(words, F.struct(F.lit(0).alias("at"), empty.alias("out")), lambda s, x: F.struct(
+            (s["at"] + F.length(x["gap"]) + F.coalesce(F.length(x["hit"]), F.lit(0))).alias("at"),
+            F.when(F.array_contains("terms", F.lower(x["hit"])), F.concat(s["out"], F.array(F.struct(
+                (s["at"] + F.length(x["gap"])).alias("start"),
+                (s["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("end"))))).otherwise(s["out"]).alias("out")))
+
+    held = computed(rows, laid=F.arrays_zip(F.split("text", WORD, -1).alias("gap"),
+                                            F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("hit"))).drop("text")
+    held = computed(held, blocks=F.transform(F.sequence(F.lit(1), F.size("laid"), F.lit(BLOCK)),
+                                             lambda b: walk(F.slice("laid", b, BLOCK)))).drop("laid")
+    joined = F.aggregate("blocks", F.struct(F.lit(0).alias("at"), empty.alias("out")), lambda s, x: F.struct(
+        (s["at"] + x["at"]).alias("at"), F.concat(s["out"], F.transform(x["out"], lambda w: F.struct(
+            (w["start"] + s["at"]).alias("start"), (w["end"] + s["at"]).alias("end")))).alias("out")))["out"]
+    free = F.filter(joined, lambda w: ~F.exists("base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
+    return held.withColumn("marks", F.transform(free, lambda w: F.struct(
+        w["start"].alias("start"), F.lit(len(KINDS)).alias("kind"), w["end"].alias("end")))).drop("blocks")
+
+
 def _text_of(spans: Column, kinds: tuple[str, ...]) -> Column:
     names = F.array(*[F.lit(k) for k in kinds])
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(
@@ -135,7 +168,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     prepare(docs.sparkSession)
     texts = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     made = computed(texts, base=base_spans(F.col("text")))
-    made = made.select("doc_id", "base", F.when(F.size("base") > 0, _contexts(F.col("text"), F.col("base"))).alias("near"))
+    made = made.select("doc_id", "text", "base", F.when(F.size("base") > 0, _contexts(F.col("text"), F.col("base"))).alias("near"))
     rows = staged(made.withColumn("rid", F.monotonically_increasing_id()), "spans")
 
     near = rows.select("rid", F.explode("near").alias("n")).select("rid", "n.*")
@@ -146,19 +179,19 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 .distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("of_entity")))
     pairs = staged(pairs.join(entities, "entity"), "pairs")
     # Counted for every term of the corpus before they meet the pairs.
-    held = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
+    held = rows.select("rid", F.explode(_terms(F.col("text"))).alias("term"))
     spread = held.groupBy("term").agg(F.count(F.lit(1)).alias("of_term"))
     total = rows.count()
     information = F.log2(F.lit(float(total)) / F.col("of_entity"))
     disclosure = F.log2(F.col("both") * F.lit(float(total)) / (F.col("of_entity") * F.col("of_term")))
-    revealing = (pairs.join(spread, "term").where((information > 0) & (disclosure >= threshold * information))
-                 .select("entity", "term"))
-    terms_of = (near.join(revealing, ["entity", "term"]).groupBy("rid")
-                .agg(F.collect_set(F.struct("start", F.lit(len(KINDS)).alias("kind"), "end")).alias("terms")))
+    revealing = staged(pairs.join(spread, "term").where((information > 0) & (disclosure >= threshold * information))
+                       .select("term").distinct(), "revealing")
+    terms_of = held.join(revealing, "term").groupBy("rid").agg(F.collect_set("term").alias("terms"))
+    marks = _marked(rows.select("rid", "text", "base").join(terms_of, "rid")).select("rid", "marks")
     base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
-    return (rows.select("rid", "doc_id", base.alias("base")).join(terms_of, "rid", "left")
-            .select("doc_id", "base", F.when(F.col("terms").isNull(), F.col("base"))
-                    .otherwise(F.array_sort(F.concat("base", "terms"))).alias("spans")))
+    return (rows.select("rid", "doc_id", base.alias("base")).join(marks, "rid", "left")
+            .select("doc_id", "base", F.when(F.col("marks").isNull(), F.col("base"))
+                    .otherwise(F.array_sort(F.concat("base", "marks"))).alias("spans")))
 
 
 def span_text(spans: Column) -> Column:

@@ -235,6 +235,18 @@ def test_revealing_terms(docs):
     assert frame.select(sanitise.sanitised(frame.text, frame.s)).first()[0].startswith("common <term> filler0")
 
 
+def test_revealing_term_is_marked_wherever_it_stands(docs):
+    rows = [(i, f"common zorblatt filler{i} boss@corp.com other{i} common words{i}") for i in range(6)]
+    rows += [(100 + i, "common words and more text") for i in range(60)]
+    rows += [(200, "Nobody else is here but 😀 Zorblatt, and zorblatts; zorblatt@other.org"),
+             (201, "boss@corp.com stands far away from the one word that gives it away, zorblatt"),
+             (202, "zorblatt " * 3000)]
+    got = {r.doc_id: r for r in sanitise.personal_data(docs(rows)).collect()}
+    for i, text in rows:
+        spans = [(m.start(), m.end()) for m in re.finditer(r"\bzorblatt\b(?!@)", text, re.I)]
+        assert [(s.start, s.end) for s in got[i].spans if s.kind == 4] == spans
+
+
 def test_personal_data_messy(messy, docs):
     assert sanitise.personal_data(messy).count() == messy.count()
     assert sanitise.personal_data(docs([])).count() == 0
