@@ -1,20 +1,23 @@
 """Personal data by patterns, and terms that reveal it by co-occurrence.
 
 Base spans are the leftmost non-overlapping matches, per kind, of e-mail
-addresses, ip addresses, card numbers (Luhn) and phone numbers. Around each
-span stand up to ``CONTEXT`` words on either side. A protected entity is a
-span's text; a context word is a term. Over the whole corpus, with D
-documents, n(t) documents that hold term t, c(e) that hold entity e and
-c(e, t) that hold t in a context of e,
+addresses, ip addresses, card numbers (Luhn) and phone numbers. A protected
+entity is a span's text; a word outside the e-mail addresses of its document
+is a term. Over the whole corpus, with D documents, n(t) documents that hold
+term t, c(e) that hold entity e and c(e, t) that hold both, however far apart,
 
     information of e   IC(e)    = log2 (D / c(e))
     disclosure         PMI(e,t) = log2 (c(e, t) D / (c(e) n(t)))
 
 A term whose disclosure is at least ``THRESHOLD`` of the entity's information
-(t nearly always points at e), seen with it in at least ``SUPPORT`` different
-contexts (copies of one passage are one context), is a span of kind ``term``
-wherever it stands in any document, unless it overlaps a base span: it is to
-be generalised or removed.
+(t nearly always points at e), seen with it in at least ``SUPPORT`` documents
+of different words (copies of one text are one; both documents of an entity
+that only two hold; a single document says nothing of what goes together), is
+a span of kind ``term`` wherever it stands in any document, unless it overlaps
+a base span: it is to be generalised or removed.
+
+As c(e, t) is at most c(e), such a term has n(t) <= c(e) (D / c(e))^(1 -
+``THRESHOLD``): rarer terms alone meet the entities of their documents.
 
 Built-in expressions only. Patterns equal the published ones in what they
 match; starts are anchored to the end of the last match or to the first
@@ -38,8 +41,6 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 WORD = r"\p{L}[\p{L}\p{N}]++"
-REACH = 64
-CONTEXT = 3
 SUPPORT = 3
 THRESHOLD = 0.8
 # Words walked at once when terms are marked, so that a text with many marks
@@ -100,28 +101,6 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*[of(order, kind) for order, kind in enumerate(KINDS)]))
 
 
-def _contexts(text: Column, spans: Column) -> Column:
-    """Array of (entity, context, term, start, end) around the spans."""
-    def around(m: Column) -> Column:
-        low = F.greatest(m["start"] - REACH, F.lit(0))
-        before, after = F.substring(text, low + 1, m["start"] - low), F.substring(text, m["end"] + 1, F.lit(REACH))
-        # A word cut by the edge of the reach is left out.
-        left = F.filter(matches(before, WORD), lambda w: (w["start"] > 0) | (low == 0))
-        right = F.filter(matches(after, WORD), lambda w: (w["end"] < REACH))
-        left = F.slice(left, F.greatest(F.size(left) - (CONTEXT - 1), F.lit(1)), CONTEXT)
-        words = F.concat(F.transform(left, lambda w: F.struct(F.lower(w["value"]).alias("term"), (w["start"] + low).alias("start"),
-                                                              (w["end"] + low).alias("end"))),
-                         F.transform(F.slice(right, 1, CONTEXT), lambda w: F.struct(
-                             F.lower(w["value"]).alias("term"), (w["start"] + m["end"]).alias("start"),
-                             (w["end"] + m["end"]).alias("end"))))
-        free = F.filter(words, lambda w: ~F.exists(spans, lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])))
-        return F.transform(free, lambda w: F.struct(
-            F.concat_ws(":", m["kind"].cast("string"), F.lower(m["value"])).alias("entity"),
-            F.xxhash64(F.transform(words, lambda x: x["term"])).alias("context"), w["term"].alias("term"),
-            w["start"].alias("start"), w["end"].alias("end")))
-    return F.flatten(F.transform(spans, around))
-
-
 def _terms(text: Column) -> Column:
     """The distinct words of a text, lower-cased one by one."""
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.lower(w)))
@@ -167,27 +146,36 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     columns are ignored."""
     prepare(docs.sparkSession)
     texts = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    made = computed(texts, base=base_spans(F.col("text")))
-    made = made.select("doc_id", "text", "base", F.when(F.size("base") > 0, _contexts(F.col("text"), F.col("base"))).alias("near"))
+    made = computed(texts, base=base_spans(F.col("text"))).select("doc_id", "text", "base")
     rows = staged(made.withColumn("rid", F.monotonically_increasing_id()), "spans")
 
-    near = rows.select("rid", F.explode("near").alias("n")).select("rid", "n.*")
-    pairs = (near.groupBy("entity", "term").agg(F.countDistinct("rid").alias("both"), F.countDistinct("context").alias("contexts"))
-             .where(F.col("contexts") >= support))
-    entities = (rows.select("rid", F.explode("base").alias("b"))
-                .select("rid", F.concat_ws(":", F.col("b.kind").cast("string"), F.lower("b.value")).alias("entity"))
-                .distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("of_entity")))
-    pairs = staged(pairs.join(entities, "entity"), "pairs")
-    # Counted for every term of the corpus before they meet the pairs.
-    held = rows.select("rid", F.explode(_terms(F.col("text"))).alias("term"))
-    spread = held.groupBy("term").agg(F.count(F.lit(1)).alias("of_term"))
     total = rows.count()
+    holds = (rows.where(F.size("base") > 0).select("rid", F.explode("base").alias("b"))
+             .select("rid", F.concat_ws(":", F.col("b.kind").cast("string"), F.lower("b.value")).alias("entity")).distinct())
     information = F.log2(F.lit(float(total)) / F.col("of_entity"))
+    # The bound on n(t) is widened a little: the exact test follows.
+    entities = (holds.groupBy("entity").agg(F.count(F.lit(1)).alias("of_entity"))
+                .where((F.col("of_entity") >= 2) & (information > 0))
+                .withColumn("bound", F.col("of_entity") * F.pow(F.lit(2.0), (1 - threshold) * information) * 1.001))
+    holds = staged(holds.join(entities, "entity"), "entities")
+    bound = holds.agg(F.coalesce(F.max("bound"), F.lit(0.0))).first()[0]
+    held = rows.select("rid", F.explode(_terms(F.col("text"))).alias("term"))
+    spread = (held.groupBy("term").agg(F.count(F.lit(1)).alias("of_term"))
+              .where(F.col("of_term").between(2, bound)))
+    words = F.transform(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), lambda w: F.lower(w))
+    outside = F.when(F.contains("text", F.lit("@")), F.regexp_replace("text", PATTERNS["email"], " ")).otherwise(F.col("text"))
+    near = computed(rows.where(F.size("base") > 0).join(holds.select("rid").distinct(), "rid", "left_semi").select("rid", "text"),
+                    context=F.xxhash64(words), terms=_terms(outside))
+    near = near.select("rid", "context", F.explode("terms").alias("term")).join(spread, "term")
+    pairs = (near.join(holds, "rid").where(F.col("of_term") <= F.col("bound"))
+             .groupBy("entity", "term", "of_entity", "of_term")
+             .agg(F.count(F.lit(1)).alias("both"), F.countDistinct("context").alias("contexts"))
+             .where(F.col("contexts") >= F.greatest(F.lit(2), F.least(F.lit(support), F.col("of_entity")))))
     disclosure = F.log2(F.col("both") * F.lit(float(total)) / (F.col("of_entity") * F.col("of_term")))
-    revealing = staged(pairs.join(spread, "term").where((information > 0) & (disclosure >= threshold * information))
-                       .select("term").distinct(), "revealing")
-    terms_of = held.join(revealing, "term").groupBy("rid").agg(F.collect_set("term").alias("terms"))
-    marks = _marked(rows.select("rid", "text", "base").join(terms_of, "rid")).select("rid", "marks")
+    revealing = staged(pairs.where(disclosure >= threshold * information).select("term").distinct(), "revealing")
+    terms_of = staged(held.join(revealing, "term").groupBy("rid").agg(F.collect_set("term").alias("terms")), "terms")
+    # A merge join whatever the size: its cost grows in proportion to the texts.
+    marks = _marked(rows.select("rid", "text", "base").join(terms_of.hint("merge"), "rid")).select("rid", "marks")
     base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     return (rows.select("rid", "doc_id", base.alias("base")).join(marks, "rid", "left")
             .select("doc_id", "base", F.when(F.col("marks").isNull(), F.col("base"))

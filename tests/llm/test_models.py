@@ -247,6 +247,17 @@ def test_revealing_term_is_marked_wherever_it_stands(docs):
         assert [(s.start, s.end) for s in got[i].spans if s.kind == 4] == spans
 
 
+def test_terms_far_from_the_entity_and_entities_of_two_documents(docs):
+    far = " ".join(f"common{k}" for k in range(40))
+    rows = [(i, f"Zorblatt opens {far} note{i} boss@corp.com") for i in range(4)]
+    rows += [(10 + i, f"Quixel opens {far} item{i} pair@corp.com") for i in range(2)]
+    rows += [(20 + i, f"copied opens {far} same@corp.com") for i in range(3)]     # one text three times
+    rows += [(100 + i, f"opens {far} more corp com text") for i in range(60)]
+    got = {r.doc_id: r for r in sanitise.personal_data(docs(rows)).collect()}
+    marked = {i: [t[s.start:s.end] for s in got[i].spans if s.kind == 4] for i, t in rows}
+    assert {i: m for i, m in marked.items() if m} == {**{i: ["Zorblatt"] for i in range(4)}, 10: ["Quixel"], 11: ["Quixel"]}
+
+
 def test_personal_data_messy(messy, docs):
     assert sanitise.personal_data(messy).count() == messy.count()
     assert sanitise.personal_data(docs([])).count() == 0
