@@ -55,9 +55,10 @@ def kinds_of(words: Column) -> Column:
                              & _numeric(F.get(words, i - 1)), 3).otherwise(0))
 
 
-def windows_of(rows: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
+def windows_of(rows: DataFrame, id_col: str, text_col: str, window: int, literal: bool = False) -> DataFrame:
     """(id, first, words, kinds, hashes): a text's template words in pieces of
-    at most ``PIECE`` windows from window ``first`` on, and the windows' hashes.
+    at most ``PIECE`` windows from window ``first`` on, and the windows' hashes
+    (``literal``: of the words as they stand, slots and name marks aside).
     A piece is what the exploded windows carry, however long the text."""
     words = computed(rows.select(rows[id_col].cast("long").alias("id"), rows[text_col].alias("text")),
                      words=words_of(F.col("text"))).drop("text")
@@ -66,7 +67,9 @@ def windows_of(rows: DataFrame, id_col: str, text_col: str, window: int) -> Data
     pieces = whole.select("id", F.inline(F.transform(starts, lambda s: F.struct(
         (s - 1).alias("first"), F.slice("words", s, PIECE + window - 1).alias("words"),
         F.slice("kinds", s, PIECE + window - 1).alias("kinds")))))
-    made = computed(pieces, t=F.zip_with("words", "kinds", lambda w, k: F.when(k == 0, F.xxhash64(w)).otherwise(k)))
+    template = (F.transform("words", lambda w: F.xxhash64(F.ltrim(w, F.lit(NAME_MARK)))) if literal else
+                F.zip_with("words", "kinds", lambda w, k: F.when(k == 0, F.xxhash64(w)).otherwise(k)))
+    made = computed(pieces, t=template)
     return computed(made, hashes=F.transform(F.sequence(F.lit(1), F.size("t") - (window - 1)),
                                              lambda i: F.xxhash64(F.slice("t", i, window)))).drop("t")
 
@@ -78,20 +81,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     least ``min_windows`` item windows (all of a shorter item's) on one
     alignment with consistent slots; the best alignment's figures.
 
-    A window needs at least half its words literal. Texts shorter than a
-    window, null and empty texts match nothing; rows with null ids are left
+    A window needs at least half its words literal; the minimum is asked of
+    an item's windows of that kind. An item without any (a list of numbers, a
+    title, all capitals) is matched word for word, slot values too. Texts
+    shorter than a window, null and empty texts match nothing; rows with null ids are left
     out; repeated rows and items change nothing; other columns are ignored."""
     prepare(docs.sparkSession)
-    items = windows_of(benchmark.where(benchmark[item_col].isNotNull()), item_col, item_text_col, window)
-    items = items.select(F.col("id").alias("item_id"), "first", "words", "kinds", F.posexplode("hashes").alias("p", "h"))
-    items = items.select("item_id", (F.col("first") + F.col("p")).alias("j"), "h",
-                         F.slice("words", F.col("p") + 1, window).alias("bw"),
-                         F.slice("kinds", F.col("p") + 1, window).alias("bk")).distinct()
-    of = items.groupBy("item_id").agg((F.max("j") + 1).alias("of"))
-    small = items.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
-    items = items.where(F.size(F.filter("bk", lambda k: k == 0)) * 2 >= window)
-    if small:  # both tables have at most as many rows as were counted
+    known = benchmark.where(benchmark[item_col].isNotNull())
+
+    def items_of(literal: bool) -> DataFrame:
+        made = windows_of(known, item_col, item_text_col, window, literal)
+        made = made.select(F.col("id").alias("item_id"), "first", "words", "kinds", F.posexplode("hashes").alias("p", "h"))
+        return made.select("item_id", (F.col("first") + F.col("p")).alias("j"), "h",
+                           F.slice("words", F.col("p") + 1, window).alias("bw"),
+                           F.slice("kinds", F.col("p") + 1, window).alias("bk")).distinct()
+
+    every = items_of(False)
+    fits = F.size(F.filter("bk", lambda k: k == 0)) * 2 >= window
+    small = every.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
+    items = every.where(fits)
+    of = items.groupBy("item_id").agg(F.countDistinct("j").alias("of"))
+    dense = every.groupBy("item_id").agg(F.max(fits).alias("any"), F.countDistinct("j").alias("of")).where("not any").drop("any")
+    words_too = not dense.isEmpty()
+    verbatim = items_of(True).join(dense, "item_id") if words_too else None
+    if small:  # all have at most as many rows as were counted
         items, of = F.broadcast(items), F.broadcast(of)
+        verbatim = F.broadcast(verbatim) if words_too else None
     rows = windows_of(docs.where(docs[id_col].isNotNull()), id_col, text_col, window)
     met = rows.select(F.col("id").alias("doc_id"), "first", "words", F.posexplode("hashes").alias("p", "h")).join(items, "h")
     # Computed behind the join: the exploded windows run straight into it.
@@ -105,6 +120,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   F.array_distinct(F.flatten(F.collect_set("s"))).alias("s")))
     one_to_one = ((F.size("s") == F.size(F.array_distinct(F.transform("s", lambda x: x["b"]))))
                   & (F.size("s") == F.size(F.array_distinct(F.transform("s", lambda x: x["d"])))))
-    return (found.where(one_to_one).join(of, "item_id").where(F.col("n") >= F.least(F.lit(min_windows), F.col("of")))
-            .groupBy("doc_id", "item_id")
-            .agg(F.max("n").alias("n_windows"), F.max(F.size("s").cast("long")).alias("n_slots")))
+    hits = (found.where(one_to_one).join(of, "item_id").where(F.col("n") >= F.least(F.lit(min_windows), F.col("of")))
+            .select("doc_id", "item_id", "n", F.size("s").cast("long").alias("slots")))
+    if words_too:
+        plain = windows_of(docs.where(docs[id_col].isNotNull()), id_col, text_col, window, literal=True)
+        met = (plain.select(F.col("id").alias("doc_id"), "first", "words", F.posexplode("hashes").alias("p", "h"))
+               .join(verbatim, "h"))
+        met = computed(met, dw=F.slice("words", F.col("p") + 1, window), i=F.col("first") + F.col("p")).drop("words")
+        same = F.forall(F.arrays_zip("bw", "dw"), lambda x: F.ltrim(x["bw"], F.lit(NAME_MARK)) == F.ltrim(x["dw"], F.lit(NAME_MARK)))
+        filled = F.transform(F.filter(F.arrays_zip("bw", "bk"), lambda x: x["bk"] != 0), lambda x: x["bw"])
+        copied = (met.where(same).groupBy("doc_id", "item_id", (F.col("i") - F.col("j")).alias("shift"))
+                  .agg(F.size(F.collect_set("j")).cast("long").alias("n"), F.max("of").alias("of"),
+                       F.size(F.array_distinct(F.flatten(F.collect_set(filled)))).cast("long").alias("slots")))
+        hits = hits.union(copied.where(F.col("n") >= F.least(F.lit(min_windows), F.col("of")))
+                          .select("doc_id", "item_id", "n", "slots"))
+    return hits.groupBy("doc_id", "item_id").agg(F.max("n").alias("n_windows"), F.max("slots").alias("n_slots"))

@@ -283,6 +283,17 @@ def test_reparameterised_questions(docs, spark):
     assert got[1, 1].n_windows == len(QUESTION.split()) - 7 and got[2, 1].n_slots == 6
 
 
+def test_items_dense_in_slots(docs, spark):
+    sums, title = "12 45 7 is 64 and 9 3 4 is 16 then 8 8", "How The North Wind And The Bright Sun Once Quarrelled"
+    few = "11 22 33 44 55 66 add these up now"
+    items = spark.createDataFrame([(1, sums), (2, title), (3, few)], "item_id long, text string")
+    rows = [(1, "as in " + sums + " of the book"), (2, sums.replace("64", "65").replace("16", "17")),
+            (3, "we read: " + title + ", they said"), (4, "before it " + few.replace("66", "67")),
+            (5, "nothing of this stands in the list 12 45 7")]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs(rows), items).collect()}
+    assert got == {(1, 1), (3, 2), (4, 3)}
+
+
 def test_decontamination_messy(messy, docs, spark):
     items = spark.createDataFrame([(1, "two three four five six seven eight nine ten eleven")], "item_id long, text string")
     got = decontaminate.contaminated(messy, items)
