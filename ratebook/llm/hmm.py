@@ -12,13 +12,12 @@ The ``OWN`` most frequent words are classes of their own (P = 1), all others
 share a class by their last three bytes, the end is a class.
 
 Training. Every training text counts: word counts are summed over all of
-them, and Baum-Welch's expected counts are made per partition and summed by
-Spark, first on a share of the texts (``WARM`` rounds over one in
-``WARM_SHARE``, to separate the states), then on all of them. Training
-sequences are pieces of at most ``PIECE`` tokens; each token is in one piece.
-Scoring uses the scaled forward recursion over the whole text; texts longer
-than ``DIRECT`` tokens multiply the transfer matrices of their pieces, which
-is the same recursion.
+them, and in each of the ``ROUNDS`` rounds Baum-Welch's expected counts are
+made per partition over all of them and summed by Spark.
+Counting and scoring use the scaled recursions over the whole text; texts
+longer than ``DIRECT`` tokens multiply the transfer matrices of their pieces
+of ``PIECE`` tokens, which is the same recursion: counting carries the forward
+and backward vectors over the piece edges.
 
 Scale. Broadcast are the model (states x classes) and the ``HOT`` most
 frequent words (fewer where counts tie), both bounded by parameters; counts of all rarer words stay
@@ -43,7 +42,7 @@ STATES = 8
 OWN = 4_096
 SUFFIXES = 1_024
 HOT = 65_536
-WARM, WARM_SHARE, FULL = 8, 8, 2
+ROUNDS = 10
 PIECE, DIRECT = 512, 4_096
 CHUNK_TOKENS = 1_000_000
 FLUSH = 300_000
@@ -157,10 +156,13 @@ def _padded(seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return obs, length
 
 
-def expected_counts(seqs: list[np.ndarray], model: Model) -> dict:
-    """Baum-Welch counts of a batch of class sequences."""
-    seqs = sorted(seqs, key=len, reverse=True)
-    obs, length = _padded(seqs)
+def expected_counts(seqs: list[np.ndarray], model: Model, ahead_of: np.ndarray | None = None,
+                    behind: np.ndarray | None = None) -> dict:
+    """Baum-Welch counts of a batch of class sequences. For pieces inside a
+    text, ``ahead_of`` has the forward vector of the token before and
+    ``behind`` the backward vector at the last token, up to a factor."""
+    order = sorted(range(len(seqs)), key=lambda i: -len(seqs[i]))
+    obs, length = _padded([seqs[i] for i in order])
     steps, n = obs.shape
     k = len(model.start)
     move, emit = model.move.astype(np.float32), model.emit.astype(np.float32)
@@ -168,11 +170,18 @@ def expected_counts(seqs: list[np.ndarray], model: Model) -> dict:
     live = [int((length > t).sum()) for t in range(steps)]
     for t in range(steps):
         m = live[t]
-        a = (model.start.astype(np.float32) if t == 0 else alpha[t - 1, :m] @ move) * emit[obs[t, :m]]
+        if t:
+            a = alpha[t - 1, :m] @ move
+        else:
+            a = model.start.astype(np.float32) if ahead_of is None else ahead_of[order].astype(np.float32) @ move
+        a = a * emit[obs[t, :m]]
         s = a.sum(1)
         alpha[t, :m], scale[t, :m] = a / s[:, None], s
     start, moves = np.zeros(k), np.zeros((k, k))
     beta = np.ones((n, k), np.float32)
+    if behind is not None:
+        beta = behind[order].astype(np.float32)
+        beta /= (alpha[length - 1, np.arange(n)] * beta).sum(1, keepdims=True)
     for t in range(steps - 1, -1, -1):
         m = live[t]
         ahead = emit[obs[t, :m]] * beta[:m] / scale[t, :m, None]
@@ -182,13 +191,74 @@ def expected_counts(seqs: list[np.ndarray], model: Model) -> dict:
             beta[:m] = ahead @ move.T
         else:
             alpha[0, :m] *= beta[:m]
-            start += alpha[0, :m].sum(0)
+            if ahead_of is None:
+                start += alpha[0, :m].sum(0)
+            else:
+                moves += ahead_of[order].astype(np.float32).T @ ahead
     there = np.arange(steps)[:, None] < length[None, :]
     flat, gamma = obs[there], alpha[there]
     emits = np.stack([np.bincount(flat, weights=gamma[:, j], minlength=N_CLASSES) for j in range(k)], 1)
     return {"start": start, "move": moves * model.move, "emit": emits}
 
 
+def all_counts(seqs: list[np.ndarray], model: Model) -> dict:
+    """Baum-Welch counts of class sequences of any length."""
+    sums = {"start": np.zeros(len(model.start)), "move": np.zeros(model.move.shape), "emit": np.zeros(model.emit.shape)}
+
+    def add(*batch) -> None:
+        for key, x in expected_counts(*batch).items():
+            sums[key] += x
+
+    short = sorted((s for s in seqs if len(s) <= DIRECT), key=len, reverse=True)
+    for lo, hi in _chunks([len(s) for s in short]):
+        add(short[lo:hi], model)
+    for seq in seqs:
+        if len(seq) > DIRECT:
+            pieces, first, ahead_of, behind, at_first = _edges(seq, model)
+            add([first], model, None, at_first)
+            for lo, hi in _chunks([len(p) for p in pieces]):
+                add(pieces[lo:hi], model, ahead_of[lo:hi], behind[lo:hi])
+    return sums
+
+
+def _edges(seq: np.ndarray, model: Model) -> tuple:
+    """A long text as its first token and pieces of the rest, with the forward
+    vector before and the backward vector at the end of each piece."""
+    k = len(model.start)
+    pieces = [seq[i:i + PIECE] for i in range(1, len(seq), PIECE)]
+    ahead_of, behind = np.empty((len(pieces), k)), np.ones((len(pieces), k))
+    through, logs = [np.concatenate(x) for x in zip(*[
+        _transfer(pieces[lo:lo + 256], model) for lo in range(0, len(pieces), 256)])]
+    factor = 10 ** (logs - logs.max(1, keepdims=True))
+    a = model.start * model.emit[seq[0]]
+    for p in range(len(pieces)):
+        ahead_of[p] = a = a / a.sum()
+        a = (a * factor[p]) @ through[p]
+    b = np.ones(k)
+    for p in range(len(pieces) - 1, -1, -1):
+        behind[p] = b
+        b = factor[p] * (through[p] @ b)
+        b = b / b.max()
+    return pieces, seq[:1], ahead_of, behind, b[None, :]
+
+
+def _transfer(pieces: list[np.ndarray], model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Transfer matrix of each piece (all full but the last), its rows scaled
+    to one, and the log10 of each row's scale."""
+    k = len(model.start)
+    obs, length = _padded(pieces)
+    n = obs.shape[1]
+    through = np.broadcast_to(np.eye(k), (n, k, k)).copy()
+    logs = np.zeros((n, k))
+    for t in range(len(obs)):
+        m = int((length > t).sum())
+        x = (through[:m].reshape(-1, k) @ model.move).reshape(m, k, k) * model.emit[obs[t, :m]][:, None, :]
+        s = x.sum(2)
+        logs[:m] += np.log10(s)
+        through[:m] = x / s[:, :, None]
+    return through, logs
+
+
 def log_likelihoods(seqs: list[np.ndarray], model: Model) -> np.ndarray:
     """log10 P(class sequence), by the scaled forward recursion."""
     out = np.zeros(len(seqs))
@@ -220,17 +290,8 @@ def _by_transfer(seq: np.ndarray, model: Model) -> float:
     total = np.log10(a.sum())
     a = a / a.sum()
     for lo in range(0, len(pieces), 256):
-        obs, length = _padded(pieces[lo:lo + 256])  # all full but the last
-        n = obs.shape[1]
-        through = np.broadcast_to(np.eye(k), (n, k, k)).copy()
-        logs = np.zeros((n, k))
-        for t in range(len(obs)):
-            m = int((length > t).sum())
-            x = (through[:m].reshape(-1, k) @ model.move).reshape(m, k, k) * model.emit[obs[t, :m]][:, None, :]
-            s = x.sum(2)
-            logs[:m] += np.log10(s)
-            through[:m] = x / s[:, :, None]
-        for j in range(n):
+        through, logs = _transfer(pieces[lo:lo + 256], model)
+        for j in range(len(through)):
             top = logs[j].max()
             a = (a * 10 ** (logs[j] - top)) @ through[j]
             total += top + np.log10(a.sum())
@@ -287,16 +348,14 @@ def _round(train: DataFrame, model: Model, vocab: Vocabulary) -> Model:
 
         def add():
             nonlocal sums, held, size
-            held.sort(key=len, reverse=True)
-            for lo, hi in _chunks([len(s) for s in held]):
-                got = expected_counts(held[lo:hi], model)
-                sums = got if sums is None else {key: sums[key] + got[key] for key in got}
+            got = all_counts(held, model)
+            sums = got if sums is None else {key: sums[key] + got[key] for key in got}
             held, size = [], 0
 
         for pdf in it:
             for raw in pdf["seq"]:
                 seq = np.frombuffer(raw, "<u2").astype(np.int64)
-                held += [seq[i:i + PIECE] for i in range(0, len(seq), PIECE)]
+                held.append(seq)
                 size += len(seq)
                 if size > 2 * CHUNK_TOKENS:
                     add()
@@ -334,11 +393,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     rows = staged(_encoded(texts, vocab), "sequences")
 
     train = rows.where("not held_out")
-    share = train.where(F.pmod(F.xxhash64("rid"), F.lit(WARM_SHARE)) == 0)
     model = initial(vocab, states)
-    for _ in range(WARM):
-        model = _round(share, model, vocab)
-    for _ in range(FULL):
+    for _ in range(ROUNDS):
         model = _round(train, model, vocab)
 
     floor = vocab.total + vocab.distinct + 1

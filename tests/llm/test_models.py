@@ -67,6 +67,27 @@ def test_baum_welch_raises_the_likelihood(monkeypatch):
         last, model = now, hmm.maximise(hmm.expected_counts(seqs, model), vocab)
 
 
+def test_counts_carry_over_piece_edges():
+    rnd = np.random.default_rng(5)
+    k = 3
+    emit = rnd.random((hmm.N_CLASSES, k))
+    model = hmm.Model(rnd.dirichlet(np.ones(k)), rnd.dirichlet(np.ones(k), k), emit / emit.sum(0))
+    seqs = [rnd.integers(0, 50, n) for n in (1, 900, hmm.DIRECT + 1, hmm.DIRECT + 777)]
+    got, want = hmm.all_counts(seqs, model), [hmm.expected_counts([s], model) for s in seqs]
+    for key in got:
+        assert got[key] == pytest.approx(sum(w[key] for w in want), rel=2e-3, abs=2e-3)
+    assert got["start"].sum() == pytest.approx(4, abs=1e-3)
+    assert got["move"].sum() == pytest.approx(sum(len(s) - 1 for s in seqs), rel=1e-4)
+
+
+def test_every_round_learns_from_all_training_texts(docs, monkeypatch):
+    seen, plain = [], hmm._round
+    monkeypatch.setattr(hmm, "_round", lambda train, *rest: seen.append(train.count()) or plain(train, *rest))
+    rows = some_docs(40)
+    hmm.lm_scores(docs(rows)).collect()
+    assert seen == [sum(zlib.crc32(str(d).encode()) % 7 != 2 for d, _ in rows)] * hmm.ROUNDS
+
+
 def test_lm_messy_and_empty(messy, docs):
     got = hmm.lm_scores(messy).collect()
     assert len(got) == messy.count() and all(math.isfinite(r.score) for r in got)
