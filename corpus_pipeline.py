@@ -49,9 +49,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share no template passage with a benchmark item."""
+    """Documents that share no template passage with a benchmark item, not
+    even beside a slot that conflicts elsewhere."""
     prepare(spark)
-    hit = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    hit = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"), per_window=True).select("doc_id").distinct()
     return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
 
 

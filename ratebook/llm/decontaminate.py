@@ -76,11 +76,14 @@ def windows_of(rows: DataFrame, id_col: str, text_col: str, window: int, literal
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
-                 min_windows: int = MIN_WINDOWS) -> DataFrame:
+                 min_windows: int = MIN_WINDOWS, per_window: bool = False) -> DataFrame:
     """(doc_id, item_id, n_windows, n_slots): document and item that share at
     least ``min_windows`` item windows (all of a shorter item's) on one
     alignment with consistent slots; the best alignment's figures.
 
+    With ``per_window`` slots are asked to be consistent inside each window
+    only: a window that conflicts goes, the rest of its alignment counts.
+
     A window needs at least half its words literal; the minimum is asked of
     an item's windows of that kind. An item without any (a list of numbers, a
     title, all capitals) is matched word for word, slot values too. Texts
@@ -114,13 +117,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     agrees = F.forall(F.arrays_zip("bw", "bk", "dw"), lambda x: (x["bk"] != 0) | (x["bw"] == x["dw"]))
     slots = F.transform(F.filter(F.arrays_zip("bw", "bk", "dw"), lambda x: x["bk"] != 0),
                         lambda x: F.struct(x["bw"].alias("b"), x["dw"].alias("d")))
-    found = (met.where(agrees).select("doc_id", "item_id", "j", (F.col("i") - F.col("j")).alias("shift"), slots.alias("s"))
+    met = met.where(agrees).select("doc_id", "item_id", "j", (F.col("i") - F.col("j")).alias("shift"),
+                                   F.array_distinct(slots).alias("s"))
+    one_to_one = ((F.size("s") == F.size(F.array_distinct(F.transform("s", lambda x: x["b"]))))
+                  & (F.size("s") == F.size(F.array_distinct(F.transform("s", lambda x: x["d"])))))
+    found = ((met.where(one_to_one) if per_window else met)
              .groupBy("doc_id", "item_id", "shift")
              .agg(F.size(F.collect_set("j")).cast("long").alias("n"),
                   F.array_distinct(F.flatten(F.collect_set("s"))).alias("s")))
-    one_to_one = ((F.size("s") == F.size(F.array_distinct(F.transform("s", lambda x: x["b"]))))
-                  & (F.size("s") == F.size(F.array_distinct(F.transform("s", lambda x: x["d"])))))
-    hits = (found.where(one_to_one).join(of, "item_id").where(F.col("n") >= F.least(F.lit(min_windows), F.col("of")))
+    hits = ((found if per_window else found.where(one_to_one)).join(of, "item_id").where(F.col("n") >= F.least(F.lit(min_windows), F.col("of")))
             .select("doc_id", "item_id", "n", F.size("s").cast("long").alias("slots")))
     if words_too:
         plain = windows_of(docs.where(docs[id_col].isNotNull()), id_col, text_col, window, literal=True)

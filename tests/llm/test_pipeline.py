@@ -43,3 +43,11 @@ def test_messy_documents(messy, docs, spark, stage):
     if stage is not P.toxic:  # which depends on the few labels of these ids
         assert ids.count(None) == 2
     assert stage(spark, docs([]).drop("ids"), SF).count() == 0
+
+
+def test_benchmark_free_drops_copies_with_one_changed_name(docs, spark, tmp_path):
+    question = ("a train leaves with Anna Smith aboard and travels 120 km in 3 hours, so how fast does Anna ride "
+                "the train today")
+    spark.createDataFrame([(1, question)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(1, question.replace("does Anna", "does Berta")), (2, "nothing of it stands here " * 4)]
+    assert [r.doc_id for r in P.benchmark_free(spark, docs(rows), str(tmp_path)).collect()] == [2]
