@@ -28,10 +28,10 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that repeat an earlier one; a document of
-    which nothing is left goes."""
+    """Documents without the lines that repeat an earlier one, however short
+    if it is equal; a document of which nothing is left goes."""
     prepare(spark)
-    out = line_dedup.without_lines(docs, staged(line_dedup.dropped_lines(docs), "dropped")).where("not __emptied")
+    out = line_dedup.without_lines(docs, staged(line_dedup.dropped_lines(docs, short=True), "dropped")).where("not __emptied")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

@@ -3,7 +3,8 @@
 A line (text between line feeds) of at least ``min_chars`` code points is
 dropped when an equal line, or one within one edit (insert, delete or replace
 one code point), occurs earlier in (doc_id, line_no) order, judged on the
-input; the earliest stays. Shorter lines are left alone.
+input; the earliest stays. Shorter lines are left alone, or (``short``)
+dropped when they aren't blank and equal an earlier line.
 
 How. Equal lines collapse by a 128-bit key with their first occurrence. Two
 lines within one edit have the same first or the same last half (for the
@@ -75,13 +76,16 @@ def _cuts(base: int) -> np.ndarray:
     return np.arange(PIECES + 1) * base // PIECES
 
 
-def lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """(doc_id, line_no, line) of the lines long enough; null ids and null
-    texts have none."""
+def lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int, short: bool = False) -> DataFrame:
+    """(doc_id, line_no, line) of the lines long enough, with ``short`` also of
+    the shorter ones that aren't blank; null ids and null texts have none."""
+    wanted = F.length("line") >= min_chars
+    if short:
+        wanted = wanted | (F.trim(F.translate("line", "\r\t", "  ")) != "")
     return (docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
             .where("doc_id is not null and text is not null")
             .select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-            .where(F.length("line") >= min_chars))
+            .where(wanted))
 
 
 def _key(line="line"):
@@ -142,7 +146,7 @@ def _neighbourhood(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  min_chars: int = MIN_CHARS) -> DataFrame:
+                  min_chars: int = MIN_CHARS, short: bool = False) -> DataFrame:
     """(doc_id, line_no, keep_doc_id, keep_line_no, distance): each dropped
     line, the earliest line it repeats and their edit distance (0 or 1).
 
@@ -150,8 +154,10 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     empty table gives no rows; other columns are ignored."""
     spark = docs.sparkSession
     prepare(spark)
-    every = lines(docs, id_col, text_col, min_chars)
-    first = staged(every.select("doc_id", "line_no", *_key(), F.array(*_halves()).alias("halves"))
+    every = lines(docs, id_col, text_col, min_chars, short)
+    # Lines under the floor have no halves: equal ones alone meet.
+    halves = F.when(F.length("line") >= min_chars, F.array(*_halves())).otherwise(F.array().cast("array<bigint>"))
+    first = staged(every.select("doc_id", "line_no", *_key(), halves.alias("halves"))
                    .groupBy("h1", "h2", "halves")
                    .agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
                    .select("h1", "h2", "first.doc_id", "first.line_no", "halves"), "lines")

@@ -51,3 +51,9 @@ def test_benchmark_free_drops_copies_with_one_changed_name(docs, spark, tmp_path
     spark.createDataFrame([(1, question)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     rows = [(1, question.replace("does Anna", "does Berta")), (2, "nothing of it stands here " * 4)]
     assert [r.doc_id for r in P.benchmark_free(spark, docs(rows), str(tmp_path)).collect()] == [2]
+
+
+def test_lines_drops_equal_short_lines(docs, spark):
+    rows = [(1, "Les.\n\nthis line is long enough\n \nAnd"), (2, "a line of its own here\nLes.\n\nLess.\n \nAnd")]
+    got = {r.doc_id: r.text for r in P.lines(spark, docs(rows), SF).collect()}
+    assert got == {1: rows[0][1], 2: "a line of its own here\n\nLess.\n "}
