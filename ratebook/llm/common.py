@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from ratebook.session import apply_scale_conf, stage_path
 
-# Rows per Arrow batch: whole documents travel in these batches, so a batch
-# of long texts has to stay small beside an executor's memory.
+# Rows and bytes of an Arrow batch: whole documents travel in these batches,
+# so a batch of long texts has to stay small beside an executor's memory.
 ARROW_ROWS = "1000"
+ARROW_BYTES = "4m"
 
 
 def prepare(spark: SparkSession) -> None:
@@ -21,6 +22,7 @@ def prepare(spark: SparkSession) -> None:
     executors need no installed copy of this package)."""
     apply_scale_conf(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     # A written stage needs its shuffles no longer: free their files at once.
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     for name in [m for m in list(sys.modules) if m.startswith("ratebook.llm")]:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ratebook.llm import bpe as BP
 from ratebook.llm import decontaminate as DC
+from ratebook.llm import fill_in_middle as FM
 from ratebook.llm import hmm as HM
 from ratebook.llm import line_dedup as LD
 from ratebook.llm import sanitise as SA
@@ -201,3 +202,31 @@ kept AS (SELECT doc_id, count(*) AS n, string_agg(w, ' ' ORDER BY p) AS t
 SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM doc LEFT JOIN kept USING (doc_id)
 """
+
+
+@register("op12_fill_in_middle")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = FM.fill_in_middle(table(spark, sf_dir, "documents"))
+    back = FM.restored(F.col("output"), F.col("form"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2(F.encode("output", "UTF-8"), 256).alias("output_sha256"),
+                      F.sha2(F.encode(back, "UTF-8"), 256).alias("restored_sha256"))
+
+
+ORACLES["op12_fill_in_middle"] = """
+WITH doc AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x
+             FROM documents),
+cut AS (SELECT doc_id, t, length(t) AS n,
+          CAST('0x' || substr(x, 1, 8) AS BIGINT) % (length(t) + 1) AS c1,
+          CAST('0x' || substr(x, 9, 8) AS BIGINT) % (length(t) + 1) AS c2,
+          CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                 OR CAST('0x' || substr(x, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+               WHEN CAST('0x' || substr(x, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM doc),
+piece AS (SELECT *, least(c1, c2) AS a, greatest(c1, c2) AS b, substr(t, 1, least(c1, c2)) AS p,
+            substr(t, least(c1, c2) + 1, abs(c1 - c2)) AS m, substr(t, greatest(c1, c2) + 1) AS s FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256 FROM piece
+"""
