@@ -15,6 +15,7 @@ from ratebook.llm import bpe as BP
 from ratebook.llm import decontaminate as DC
 from ratebook.llm import fill_in_middle as FM
 from ratebook.llm import hmm as HM
+from ratebook.llm import language_id as LI
 from ratebook.llm import line_dedup as LD
 from ratebook.llm import sanitise as SA
 from ratebook.llm import simhash as SH
@@ -230,3 +231,13 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
                         ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
        sha256(t) AS restored_sha256 FROM piece
 """
+
+
+@register("op13_language_id")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = LI.fit(docs.where(crc_class("doc_id", 4) != 2))
+    held = F.coalesce(crc_class("doc_id", 4) == 2, F.lit(True))
+    out = LI.identify(docs.select("doc_id", "text", held.alias("held_out")), model)
+    return out.select("doc_id", "held_out", F.col("language.lang").alias("lang_pred"),
+                      F.col("language.score").alias("score"), F.col("language.rejected").alias("rejected"))
