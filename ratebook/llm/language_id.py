@@ -69,10 +69,15 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(LANGUAGES + 1).collect()
     if len(counts) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages: is {lang_col} a language column?")
-    # The rank limit is taken in every input partition first, so a language
-    # that holds most rows sends ``sample`` pieces of each.
+    # Four times the share of hashes that holds ``sample`` rows, so few rows
+    # of a common language travel; the rank limit, taken in every input
+    # partition first, makes it at most ``sample``.
+    spark = docs.sparkSession
+    below = [(r.lang, 2 ** 64 * min(4 * sample, r.n) // r.n - 2 ** 63 - 1) for r in counts]
+    bound = spark.createDataFrame(below, "lang string, below long")
     first = Window.partitionBy("lang").orderBy("o", "piece")
-    chosen = rows.withColumn("at", F.row_number().over(first)).where(F.col("at") <= sample)
+    chosen = (rows.join(F.broadcast(bound), "lang").where(F.col("o") <= F.col("below"))
+              .withColumn("at", F.row_number().over(first)).where(F.col("at") <= sample))
     # At most LANGUAGES * sample pieces of bounded length.
     pieces = chosen.select("lang", "at", F.substr(letters(F.col("piece")), F.lit(1), F.lit(PIECE)).alias("piece")).collect()
     said: dict[str, list[tuple[int, str]]] = {r.lang: [] for r in counts}
