@@ -17,6 +17,7 @@ from ratebook.llm import fill_in_middle as FM
 from ratebook.llm import hmm as HM
 from ratebook.llm import language_id as LI
 from ratebook.llm import line_dedup as LD
+from ratebook.llm import prefix_trie as PT
 from ratebook.llm import sanitise as SA
 from ratebook.llm import simhash as SH
 from ratebook.llm import substring_dedup as SD
@@ -241,3 +242,36 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = LI.identify(docs.select("doc_id", "text", held.alias("held_out")), model)
     return out.select("doc_id", "held_out", F.col("language.lang").alias("lang_pred"),
                       F.col("language.score").alias("score"), F.col("language.rejected").alias("rejected"))
+
+
+@register("op11_prefix_trie")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PT.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op11_prefix_trie"] = """
+WITH src AS (SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS t
+                       FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, r, t, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST,
+          left(sha256(CAST(octet_length(encode(r)) AS VARCHAR) || ':' || r || t), 32)) AS p FROM src),
+conv AS (SELECT c, c - c % 100 AS b, xor(list_reduce(list_concat([4294967295::UBIGINT],
+             list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: ascii(x)::UBIGINT)),
+           lambda acc, byte: list_reduce(list_concat([xor(acc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+             lambda y, z: CASE WHEN y % 2 = 1 THEN xor(y >> 1, 3988292384::UBIGINT) ELSE y >> 1 END)),
+           4294967295::UBIGINT) % 6 AS h FROM (SELECT DISTINCT c FROM src)),
+turn AS (SELECT conv.c, 0 AS part, p, r, t FROM conv JOIN own ON own.c = conv.b WHERE p <= h
+         UNION ALL SELECT conv.c, 1, p, r, t FROM conv JOIN own ON own.c = conv.c WHERE p > h),
+path AS (SELECT conv.c, coalesce(list({'r': r, 't': t} ORDER BY part, p) FILTER (t IS NOT NULL), []) AS s
+         FROM conv LEFT JOIN turn ON turn.c = conv.c GROUP BY conv.c),
+step AS (SELECT c, len(s) AS n, d, s[:d] AS s FROM (SELECT c, s, unnest(range(len(s) + 1)) AS d FROM path)),
+id AS (SELECT s, min(c) AS c, d, count(*) AS n_convs, coalesce(length(last(s)[d].t), 0) AS chars,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (n = d), '')) AS ends_sha256
+       FROM step GROUP BY s, d),
+kid AS (SELECT s[:d - 1] AS s, count(*) AS n FROM id WHERE d > 0 GROUP BY ALL),
+node AS (SELECT id.*, coalesce(kid.n, 0) AS n_children FROM id LEFT JOIN kid ON kid.s = id.s),
+below AS (SELECT s[:u] AS s, sum((n_convs - 1) * chars) AS saved, count(*) FILTER (n_children = 0) AS leaves
+          FROM (SELECT s, n_convs, chars, n_children, unnest(range(d + 1)) AS u FROM node) GROUP BY ALL)
+SELECT node.c AS conv_id, node.d AS depth, up.c AS parent_conv_id, node.n_convs, node.n_children,
+       leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, node.ends_sha256
+FROM node JOIN below ON below.s = node.s LEFT JOIN node up ON up.s = node.s[:node.d - 1] AND up.d = node.d - 1
+"""
