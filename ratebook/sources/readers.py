@@ -3,7 +3,10 @@ so codes keep their leading zeros and no type inference runs on the data."""
 
 from __future__ import annotations
 
+import functools
 import os
+import re
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +16,7 @@ from pyspark.sql import types as T
 from ratebook.fixed import SEED_SOURCE_NAME, SEED_SOURCE_URL
 from ratebook.functions.rates import RATE_TYPE
 from ratebook.session import is_local
+from ratebook.sources import json_arrays
 
 
 def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -83,21 +87,39 @@ def file_order() -> "F.Column":
                     F.monotonically_increasing_id().alias("i"))
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Parsed-row JSON files -> RAW rows; order = (file name, position).
+def read_raw(spark: SparkSession, path: str, form: str = "auto") -> DataFrame:
+    """Parsed-row JSON files -> RAW rows; ``ord`` is their stored order.
 
     A file holds one array of objects, over any number of lines, or one object
-    per line; values are read as text. What is not an object comes back with
-    null ``cells`` and its text in ``_corrupt`` (see :func:`split_corrupt`)."""
-    whole = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("f"))
-    is_array = F.ltrim(F.regexp_replace(F.col("value"), r"^[\s\uFEFF]+", "")).startswith("[")
-    items = F.from_json("value", T.ArrayType(T.StringType()))
-    parts = F.when(is_array, F.coalesce(items, F.array("value"))).otherwise(
-        F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != ""))
-    rows = whole.select("f", F.posexplode(parts).alias("i", "text"))
-    cells = F.from_json("text", RAW_JSON_SCHEMA)
-    return rows.select(cells.alias("cells"), F.when(cells.isNull(), F.col("text")).alias("_corrupt"),
-                       F.struct("f", "i").alias("ord"))
+    per line (``form`` names it where all files have one form; "auto" looks at
+    the first character of each). Both are read in parallel splits; values are
+    read as text. What is not an object comes back with null ``cells`` and its
+    text in ``_corrupt`` (see :func:`split_corrupt`). No file, or only empty
+    ones, give no rows."""
+    files, splits = {form: [path]}, None
+    if form == "auto":
+        splits = json_arrays.split_table(spark, [path])
+        # One row per file, and the driver has listed the files anyway.
+        kinds = splits.where("b = 0").select("f", F.coalesce(F.col("head") == "[", F.lit(False)).alias("array")).collect()
+        files = {"array": [_literal(r.f) for r in kinds if r.array], "lines": [_literal(r.f) for r in kinds if not r.array]}
+    parts = []
+    if files.get("lines"):
+        lines = spark.read.text(files["lines"]).where(F.trim("value") != "")
+        parts.append(lines.select(F.struct(*[F.col("_metadata." + c).alias(n) for c, n in
+                                             (("file_path", "f"), ("file_block_start", "b"))],
+                                           F.monotonically_increasing_id().alias("i"), F.lit(0).alias("place")).alias("ord"),
+                                  F.col("value").alias("text"), F.lit(False).alias("broken")))
+    if files.get("array"):
+        parts.append(json_arrays.array_records(spark, files["array"], splits))
+    empty = spark.createDataFrame([], "ord struct<f:string,b:bigint,i:bigint,place:int>, text string, broken boolean")
+    rows = functools.reduce(DataFrame.unionByName, parts) if parts else empty
+    cells = F.when(~F.col("broken"), F.from_json("text", RAW_JSON_SCHEMA))
+    return rows.select(cells.alias("cells"), F.when(cells.isNull(), F.col("text")).alias("_corrupt"), "ord")
+
+
+def _literal(path: str) -> str:
+    """A listed path (an encoded URI) as one that no character makes a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(path))
 
 
 def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
