@@ -39,3 +39,22 @@ def rank_within(df: DataFrame, group_cols: list[str], order_cols: list[str],
                         ["__pid", *group_cols])
     return (out.withColumn(out_col, F.col("__off") + F.col("__mid") - F.col("__first_mid"))
                .drop("__pid", "__mid", "__off", "__first_mid"))
+
+
+def first_by_hash(df: DataFrame, hash_col: str, tie_cols: list[str], n: int, digits: int = 4) -> DataFrame:
+    """The ``n`` rows that come first by (``hash_col``, ``tie_cols``), all if
+    there are fewer. ``hash_col`` holds evenly spread hexadecimal text of a
+    fixed length (a digest); equal hashes are told apart by ``tie_cols``.
+
+    No sort of all rows: a histogram of the first ``digits`` digits (at most
+    16 ** digits rows) tells the prefix in which the cut lies; rows below it
+    stay, and only the rows that share it, one in 16 ** digits, are ranked."""
+    prefix = F.substring(hash_col, 1, digits)
+    counts = df.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("c"))
+    up_to = F.sum("c").over(Window.orderBy("p"))
+    cut = (counts.select("p", "c", up_to.alias("up_to")).where(F.col("up_to") >= n).orderBy("p")
+                 .select("p", (F.lit(n) - F.col("up_to") + F.col("c")).alias("left")).first())
+    if cut is None:
+        return df
+    edge = rank_within(df.where(prefix == cut.p), [], [hash_col, *tie_cols], out_col="__at")
+    return df.where(prefix < cut.p).unionByName(edge.where(F.col("__at") < cut.left).select(*df.columns))

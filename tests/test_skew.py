@@ -44,3 +44,33 @@ def test_hot_key_results_and_partial_aggregation(spark):
     assert dups == df.count() - len(keys)
     plan = V.resolve_conflicts(df)._jdf.queryExecution().executedPlan().toString()
     assert "partial_min_by" in plan or "partial_min" in plan
+
+
+def test_first_by_hash_equals_a_sort(spark):
+    from ratebook.operators.order import first_by_hash
+    df = spark.range(3000).select((F.col("id") % 1500).alias("k"), F.col("id"), F.md5((F.col("id") % 1500).cast("string")).alias("h"))
+    for n, digits in ((0, 4), (1, 4), (777, 1), (778, 2), (2999, 4), (3000, 4), (5000, 4)):
+        want = sorted(df.orderBy("h", "k", "id").limit(n).collect())
+        assert sorted(first_by_hash(df, "h", ["k", "id"], n, digits).collect()) == want
+    assert first_by_hash(df.limit(0), "h", ["k", "id"], 5).count() == 0
+
+
+def test_one_code_holds_a_third_and_conflicts(spark):
+    df = skewed(spark, 900)
+    rows = {r.ord: r for r in df.collect()}
+    firsts = {}
+    for o in sorted(rows):
+        firsts.setdefault((rows[o].hsn_code, rows[o].source_name), rows[o].igst_rate)
+    primary = {h: rate for (h, s), rate in firsts.items() if s == V.DEFAULT_PRIMARY}
+    bad = {h for h in primary if len({r for (c, _), r in firsts.items() if c == h}) > 1}
+    want = sorted(o for o, r in rows.items() if r.hsn_code in bad and r.source_name != V.DEFAULT_PRIMARY
+                  and r.igst_rate != primary[r.hsn_code])
+    assert "0" in bad and want
+    assert sorted(r.row_ord for r in V.check_conflicts(df).collect()) == want
+    table = V.conflict_table(df)
+    assert {r.hsn_code for r in table.collect()} == bad
+    # The list of sources is made for the codes that may conflict, and a small
+    # conflict table is broadcast when the join is planned: no row is shuffled.
+    plan = V.apply_primary_rate(df, conflicts=table)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert {r.ord for r in V.apply_primary_rate(df).collect() if r.confidence_flag == "review_required"} == set(want)
