@@ -166,23 +166,75 @@ def test_envelope_and_nested_categories(spark):
         assert {(r.top_category, s.name): s.product_count for s in r.sub_categories}.items() <= flat.items()
 
 
-def test_full_run_small(spark):
-    """The full run on a small raw fixture against a brute-force count."""
+def test_full_run_against_brute_force(spark, tmp_path):
+    """Issues and report are made on the rates as they are, the export after
+    the override; counts and summary against plain loops over the rows."""
+    import json
     from ratebook.operators import normalize as N
+    from ratebook.operators import quality as V
     from ratebook.plans import runs
-    raw_rows = [(i, [("HSN", str(1000 + i % 7)), ("Description", f"item {i % 5}"), ("Rate", f"{(i % 3) * 6}%")])
-                for i in range(40)]
+    feeds = ["official", "shop", "blog"]
+    raw_rows = [(i, [("HSN", str(1000 + i % 7)), ("Description", f"item {i % 5}" if i % 11 else ""),
+                     ("Rate", "9" * 30 if i == 13 else f"{(i % 3) * 6}%"), ("_source_name", feeds[i % 4 % 3])])
+                for i in range(60)] + [(60, [("HSN", ""), ("Description", "")])]
     raw = (spark.createDataFrame(raw_rows, "ord int, kv array<struct<k:string,v:string>>")
                 .select("ord", F.map_from_entries("kv").alias("cells")))
     tpl = spark.createDataFrame([("furniture_misc", ["B"], ["N1", "N2"], ["V"])],
                                 "sub_category string, brands array<string>, names array<string>, variants array<string>")
     good = N.split_errors(N.normalize(raw))[0]
-    res = runs.full_run(spark, raw, good.filter(F.lit(False)), tpl, 123, primary="none")
+    sources = [{"name": n, "url": f"https://{n}.example/", "status": "completed", "error": ""} for n in feeds]
+    sources.append({"name": "gone", "url": "https://gone.example/", "status": "failed", "error": "timeout"})
+    res = runs.full_run(spark, raw, good.filter(F.lit(False)), tpl, 200, primary="official", out_dir=str(tmp_path),
+                        sources=sources)
+    rows = spark.read.parquet(str(tmp_path / "expanded")).collect()
+    rows.sort(key=lambda r: r.ord)
+    seen, firsts, dups, codes = {}, {}, 0, {}
+    for r in rows:
+        k = (r.hsn_code, r.gst_description.strip().lower(), r.igst_rate)
+        dups += k in seen
+        seen.setdefault(k, r.product_id)
+        firsts.setdefault((r.hsn_code, r.source_name), r.igst_rate)
+    for (h, s), rate in firsts.items():
+        codes.setdefault(h, {})[s] = rate
+    clash = {h: v["official"] for h, v in codes.items() if "official" in v and len(set(v.values())) > 1}
+    hit = {r.product_id for r in rows if r.hsn_code in clash and r.source_name != "official" and r.igst_rate != clash[r.hsn_code]}
     rep = res.report.first()
-    assert rep.total_records == 123 and res.products.count() == 123
-    # resolved base = distinct (code, description) pairs of the fixture
-    keys = {(str(1000 + i % 7), f"item {i % 5}") for i in range(40)}
-    assert len({(r.hsn_code, r.gst_description) for r in res.products.collect()}) == len(keys)
+    assert hit and dups
+    assert (rep.total_records, rep.duplicates_found, rep.conflicts_found, rep.passed) == (200, dups, len(hit), True)
+    assert V.validation_report(spark.read.parquet(str(tmp_path / "expanded")), "official").first() == rep
+    assert {r.record_id for r in res.issues.where("issue_type = 'conflict'").collect()} == hit
+    changed = {r.product_id for r in res.products.where("confidence_flag = 'review_required'").collect()}
+    assert hit <= changed
+    for r in res.products.collect():
+        if r.product_id in hit:
+            assert r.igst_rate == clash[r.hsn_code] and r.confidence_flag == "review_required"
+    # resolved base = distinct (code, description) pairs of the kept rows
+    keys = {(str(1000 + i % 7), f"item {i % 5}" if i % 11 else "") for i in range(60) if i != 13}
+    assert {(r.hsn_code, r.gst_description) for r in rows} == keys
+    run = res.run.first()
+    assert (run.sources_attempted, run.sources_succeeded, run.sources_failed, run.errors) == (4, 3, 1, ["timeout"])
+    assert run.parse_counts == {n: sum(feeds[i % 4 % 3] == n for i in range(60)) for n in feeds}
+    assert (run.normalization_count, run.skipped_count, run.quarantined_count) == (59, 1, 1)
+    assert (run.expansion_count, run.final_row_count, run.validation_passed) == (200, 200, True)
+    assert sum(run.classification_distribution.values()) == len(keys)
+    assert [(s.name, s.rows_extracted) for s in run.sources][-1] == ("gone", 0)
+    with open(next((tmp_path / "run_summary").glob("*.json"))) as f:
+        assert json.load(f)["normalization_count"] == 59
+    assert res.quarantine.count() == 1
+
+
+def test_full_run_falls_back_to_the_seed(spark):
+    from ratebook.plans import runs
+    from ratebook.sources.readers import seed_records
+    seed = seed_records(spark.createDataFrame([("0401", "Milk", 0, 0, "I", 0), ("8703", "Cars", 28, 15, "IV", 1)],
+                                              "hsn_code string, gst_description string, igst_rate int, cess_rate int, "
+                                              "schedule string, ord int"))
+    raw = spark.createDataFrame([], "ord int, cells map<string,string>")
+    tpl = spark.createDataFrame([("furniture_misc", ["B"], ["N"], ["V"])],
+                                "sub_category string, brands array<string>, names array<string>, variants array<string>")
+    res = runs.full_run(spark, raw, seed, tpl, 9)
+    assert res.products.count() == 9 and {r.hsn_code for r in res.products.collect()} == {"0401", "8703"}
+    assert res.run.first().normalization_count == 2
 
 
 def test_build_products_runs_and_export_view(spark, tmp_path):
@@ -198,11 +250,18 @@ def test_build_products_runs_and_export_view(spark, tmp_path):
                                 "sub_category string, brands array<string>, names array<string>, variants array<string>")
     res = runs.build_products(spark, raw, tpl, 50, out_dir=str(tmp_path / "synthetic"))
     assert res.products.count() == 50
-    # A resumed run reads the written normalised stage; another run reads its own feed.
-    none = raw.filter(F.lit(False))
-    again = runs.build_products(spark, none, tpl, 50, out_dir=str(tmp_path / "synthetic"), resume=True)
-    assert again.products.count() == 50
-    assert runs.build_products(spark, none, tpl, 50, out_dir=str(tmp_path / "synthetic")).products.count() == 0
+    # A resumed run takes the normalised stage of the same feed, in any order;
+    # a changed feed is read anew.
+    out, none = str(tmp_path / "synthetic"), raw.filter(F.lit(False))
+    assert not runs.build_products(spark, raw, tpl, 50, out_dir=out, resume=True).resumed
+    again = runs.build_products(spark, raw.repartition(7), tpl, 50, out_dir=out, resume=True)
+    assert again.resumed and again.products.count() == 50
+    assert again.run.first().normalization_count == 30
+    changed = runs.build_products(spark, raw.filter("ord > 0"), tpl, 50, out_dir=out, resume=True)
+    assert not changed.resumed and changed.run.first().normalization_count == 29
+    assert runs.build_products(spark, none, tpl, 50, out_dir=out).products.count() == 0
+    lost = runs.build_products(spark, raw, tpl, 50, catalog=str(tmp_path / "no such file.csv"))
+    assert lost.products.count() == 50 and lost.run.first().sources[0].error == "PATH_NOT_FOUND"
     cat = spark.createDataFrame([(0, "SKU A", "85010000"), (1, "SKU B", "9999")],
                                 "ord int, product_name string, hsn_code string")
     res = runs.build_products(spark, raw, tpl, 50, catalog=cat, out_dir=str(tmp_path / "catalog"))
