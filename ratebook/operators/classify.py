@@ -3,7 +3,8 @@
 Rule tables are small configuration. Given as Python lists they compile into
 one CASE expression (no join, no shuffle, codegen'd); given as DataFrames the
 range rules expand to at most 109 chapter keys (-9..99: all two-character
-integers) and join by broadcast hash join, a proven size bound.
+integers) and join by broadcast hash join, a proven size bound, and keyword
+rules of any number meet the texts by q-gram joins (``keyword_matches``).
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from ratebook.fixed import (DEFAULT_SUB, DEFAULT_TOP, HSN_RANGE_RULES,
                             KEYWORD_RULES, KEYWORD_SUB)
 from ratebook.functions.text import chapter_of, col_of
+from ratebook.session import write_stage_table
 
 # Python-worker code of this module travels with the task (pickled by value),
 # so executors need no installed copy of the package.
@@ -130,6 +132,66 @@ def classify_ranges_join(df: DataFrame, rules: DataFrame, code_col: str = "hsn_c
                .drop("__ch", "chapter", "__rt", "__rs"))
 
 
+GRAM = 3
+PIECE = 256
+
+
+def keyword_matches(texts: DataFrame, rules: DataFrame, text_col: str = "text", gram: int = GRAM) -> DataFrame:
+    """C1 for rule tables of any size: (text_key, rule_ord) with the first rule
+    whose keyword is a substring of the lower-cased text, for every distinct
+    text that has one; ``text_key`` is :func:`text_key` of the text.
+
+    ``rules``: (rule_ord, keyword, ...); empty and null keywords match nothing.
+    A text is cut into pieces that overlap by the longest keyword, a piece into
+    its q-grams; q-grams meet the keywords that begin with them in an equi-join
+    and are verified in place. Keywords shorter than a q-gram meet q-grams of
+    their own length. The work per character does not grow with the rules."""
+    low = F.lower(F.col("keyword"))
+    first = write_stage_table(
+        rules.where(F.length("keyword") > 0).groupBy(low.alias("kw")).agg(F.min("rule_ord").alias("rule_ord"))
+             .select("kw", "rule_ord", F.substring("kw", 1, gram).alias("gram"), F.length("kw").alias("n")))
+    longest, shorter = first.agg(F.max("n"), F.array_sort(F.collect_set(F.when(F.col("n") < gram, F.col("n"))))).first()
+    if longest is None:
+        return texts.sparkSession.createDataFrame([], "text_key binary, rule_ord int")
+    size = max(PIECE, longest)
+    cut = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    pieces = texts.select(text_key(text_col).alias("text_key"), cut.alias("p")).select(
+        "text_key", F.explode(F.transform("p", lambda x, i: F.struct(
+            F.concat(x, F.substring(F.coalesce(F.get(F.col("p"), i + 1), F.lit("")), 1, longest - 1)).alias("piece"),
+            F.length(x).alias("own")))).alias("q")).select("text_key", "q.*")
+    grams = F.transform(F.sequence(F.lit(1), F.col("own")), lambda i: F.struct(
+        i.alias("at"), F.substr(F.col("piece"), i, F.lit(gram)).alias("gram")))
+    found = pieces.select("text_key", "piece", F.inline(grams))
+    if shorter:
+        found = found.select("text_key", "piece", "at", F.explode(F.array_distinct(F.array(
+            "gram", *[F.substring("gram", 1, n) for n in shorter]))).alias("gram"))
+    hit = found.join(first, "gram").where(F.substr("piece", F.col("at"), F.col("n")) == F.col("kw"))
+    return hit.groupBy("text_key").agg(F.min("rule_ord").alias("rule_ord"))
+
+
+def text_key(text: Column | str) -> Column:
+    """16-byte key of a text as the rules see it: null for null."""
+    return F.unhex(F.substring(F.sha2(F.lower(col_of(text)), 256), 1, 32))
+
+
+def classify_rule_table(df: DataFrame, rules: DataFrame, text_col: str = "gst_description", code_col: str = "hsn_code",
+                        range_rules: Sequence[tuple[int, int, str, str]] | None = None,
+                        top_col: str = "top_category", sub_col: str = "sub_category") -> DataFrame:
+    """C5 with keyword rules held as a DataFrame of any size (rule_ord,
+    keyword, top_category, sub_category; rule_ord unique): first matching
+    keyword rule, then chapter ranges, then other/uncategorized."""
+    chosen = keyword_matches(df.select(text_col), rules, text_col).join(
+        rules.select("rule_ord", F.struct("top_category", F.coalesce("sub_category", F.lit(DEFAULT_SUB)).alias("sub_category"))
+                     .cast(CAT_TYPE).alias("__kw")), "rule_ord").select("text_key", "__kw")
+    # Written, so the join with the rows knows its size; no match is no key.
+    chosen = write_stage_table(chosen).withColumnRenamed("text_key", "__tk")
+    ranges = (range_category(code_col, range_rules or HSN_RANGE_RULES) if code_col in df.columns else _null_cat())
+    cat = F.coalesce("__kw", ranges, default_category())
+    out = df.withColumn("__tk", text_key(text_col)).join(chosen, "__tk", "left").withColumn("__cat", cat)
+    return (out.withColumn(top_col, F.col("__cat.top_category")).withColumn(sub_col, F.col("__cat.sub_category"))
+               .drop("__tk", "__kw", "__cat"))
+
+
 def category_counts(df: DataFrame, top_col: str = "top_category") -> DataFrame:
     """Rows per top category."""
     return df.groupBy(top_col).agg(F.count(F.lit(1)).alias("n"))
