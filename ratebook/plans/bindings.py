@@ -816,17 +816,6 @@ def q_full_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return res.report
 
 
-@register("classify_documents_automaton")
-def q_classify_documents_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C1 + C2 + C4 with the keyword rules taken from a rule table; must equal
-    the built-in rules' result."""
-    d = table(spark, sf_dir, "documents")
-    rules, sub_map = C.keyword_rules_from_frame(C.keyword_rules_frame(spark))
-    cat = F.coalesce(C.keyword_category("text", rules, sub_map), C.default_category())
-    return d.select("doc_id", cat.top_category.alias("top_category"),
-                    cat.sub_category.alias("sub_category"))
-
-
 @register("export_view")
 def q_export_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O1: canonical 17-column view of the customer records."""

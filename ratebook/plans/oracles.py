@@ -666,7 +666,6 @@ SELECT page_id, 1 AS table_idx, row_idx, 1 AS strategy, concat_ws(' | ', hsn, ra
 FROM r
 """
 
-ORACLES["classify_documents_automaton"] = ORACLES["classify_documents"]
 
 ORACLES["export_view"] = f"""
 WITH r AS ({CUST_RECORDS})

@@ -52,7 +52,7 @@ def read_seed(spark: SparkSession, path: str, source_name: str = SEED_SOURCE_NAM
     """Seed CSV (hsn_code, gst_description, igst_rate, cess_rate,
     schedule) -> records. cgst = sgst = igst / 2 when igst > 0 else 0;
     confidence high; file order kept in ``ord``."""
-    raw = spark.read.schema(SEED_SCHEMA).option("header", True).csv(path).withColumn("ord", file_order())
+    raw = spark.read.schema(SEED_SCHEMA).option("header", True).option("escape", '"').csv(path).withColumn("ord", file_order())
     return seed_records(raw, source_name, source_url)
 
 
@@ -135,7 +135,7 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     """SKU catalog CSV, every column as text; a missing hsn_code or
     product_name column reads as ''."""
-    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    df = spark.read.option("header", True).option("escape", '"').option("inferSchema", False).csv(path)
     for c in ("hsn_code", "product_name"):
         if c not in df.columns:
             df = df.withColumn(c, F.lit(""))
