@@ -392,20 +392,37 @@ def extract_errors(pages: DataFrame, id_col: str = "page_id", html_col: str = "h
     return page_errors(parse_pages(pages, id_col, html_col))
 
 
-def grid_to_rows(grid: DataFrame, header_first: bool = True) -> DataFrame:
-    """E4-E7 on a single-document cell grid (page_id, row_idx, cells) such as
-    a PDF table: row 0 = header; grids with < 2 rows and all-empty rows are
-    dropped; short rows padded, long rows cut; duplicate headers: last wins."""
+def grid_to_rows(grid: DataFrame, header_first: bool = True, keys: tuple[str, ...] = ("page_id",),
+                 carry: tuple[str, ...] = ()) -> DataFrame:
+    """E4-E7 on cell grids (``keys``, row_idx, cells) such as PDF tables, one
+    grid per value of ``keys``: row 0 = header; grids with < 2 rows and
+    all-empty rows are dropped; short rows padded, long rows cut; duplicate
+    headers: last wins; the raw text is that of the cells kept. ``carry``
+    columns come along."""
     _last_value_wins(grid)
-    sizes = grid.groupBy("page_id").agg(F.count(F.lit(1)).alias("__n"))
-    g = grid.join(sizes, "page_id").filter(F.col("__n") >= 2)
-    hdr = g.filter(F.col("row_idx") == 0).select("page_id", clean_headers(
+    keys = list(keys)
+    sizes = grid.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    g = grid.join(sizes, keys).filter(F.col("__n") >= 2)
+    hdr = g.filter(F.col("row_idx") == 0).select(*keys, clean_headers(
         F.transform("cells", lambda x: F.coalesce(x, F.lit("")))).alias("__h"))
-    body = g.filter(F.col("row_idx") > 0).join(hdr, "page_id")
+    body = g.filter(F.col("row_idx") > 0).join(hdr, keys)
     cells = F.transform("cells", lambda x: F.trim(F.coalesce(x, F.lit(""))))
     w = F.size("__h")
     n = F.size(cells)
     vals = F.when(n >= w, F.slice(cells, 1, w)).otherwise(F.concat(cells, F.array_repeat(F.lit(""), w - n)))
     body = body.withColumn("__c", cells).filter(F.exists("__c", lambda x: x != ""))
-    return body.select("page_id", "row_idx", F.map_from_arrays("__h", vals).alias("cells"),
-                       F.array_join(F.filter("__c", lambda x: x != ""), RAW_TEXT_SEPARATOR).alias("raw_text"))
+    return body.select(*keys, "row_idx", F.map_from_arrays("__h", vals).alias("cells"),
+                       F.array_join(F.filter(F.slice("__c", F.lit(1), w), lambda x: x != ""), RAW_TEXT_SEPARATOR).alias("raw_text"),
+                       *carry)
+
+
+def document_rows(grid: DataFrame) -> DataFrame:
+    """E4-E8 on the tables of paged documents: (doc_id, page, table_idx,
+    row_idx, cells, source_name) with 1-based pages and any number of tables on
+    a page -> RAW rows whose cells carry the lineage keys ``_raw_text``,
+    ``_source_name`` and ``_page``, in document order."""
+    rows = grid_to_rows(grid, keys=("doc_id", "page", "table_idx"), carry=("source_name",))
+    lineage = F.create_map(F.lit("_raw_text"), F.col("raw_text"), F.lit("_source_name"), F.coalesce("source_name", F.lit("")),
+                           F.lit("_page"), F.col("page").cast("string"))
+    return rows.select("doc_id", "page", "table_idx", "row_idx", F.map_concat("cells", lineage).alias("cells"), "raw_text",
+                       "source_name", F.struct("doc_id", "page", "table_idx", "row_idx").alias("ord"))

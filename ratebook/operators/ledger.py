@@ -2,8 +2,9 @@
 
 The ledger is derived from an append-only transition log (job_id, ts, seq,
 transition, detail) instead of updated in place, so every operator is a
-filter, an anti join or a per-job aggregate (partial ``max_by``: a job with a
-third of all events is combined map-side).
+filter, an anti join or a per-job aggregate (partial maxima and sums: a job with
+a third of all events is combined map-side). The folded state merges, so a
+snapshot takes up new events without the old log.
 """
 
 from __future__ import annotations
@@ -18,37 +19,62 @@ LEDGER_COLS = ["job_id", "source_name", "url", "source_type", "priority", "is_pr
                "retries", "max_retries", "content_path", "error", "created_at", "updated_at"]
 
 
-def fold_transitions(jobs: DataFrame, events: DataFrame, max_retries: int = 3) -> DataFrame:
-    """Ledger rows from the first enqueue of each job plus its
-    transitions. ``jobs``: (job_id, source_name, url, source_type, priority,
-    is_primary, created_at); ``events``: (job_id, ts, seq, transition in
-    {'in_progress', 'completed', 'failed'}, detail). Status = last
-    transition (else 'pending'); retries = failures; error = detail of the
-    last failure unless a completion came after it; content_path = detail
-    of the last completion. Transitions update their job by id, whatever
-    their time; those of ids that were never enqueued change nothing."""
-    # Aggregated before the join: a job with many events is one row there.
-    e = events
-    o = F.struct("ts", "seq")
+def fold_state(events: DataFrame) -> DataFrame:
+    """J4 state of a part of the transition log, one row per job: ordered
+    structs of the last transition, the last failure and the last completion,
+    the number of failures and the last time. Everything in it can be merged
+    (:func:`merge_states`), so a log may be folded in parts, in any order.
+    ``events``: (job_id, ts, seq, transition in {'in_progress', 'completed',
+    'failed'}, detail), each event in one part."""
+    o = [F.col("ts"), F.col("seq")]
     t = F.col("transition")
-    agg = e.groupBy("job_id").agg(
-        F.max_by(t, o).alias("__last"),
-        F.count_if(t == "failed").alias("retries"),
-        F.max(F.when(t == "failed", o)).alias("__lf"),
-        F.max(F.when(t == "completed", o)).alias("__lc"),
-        F.max_by(F.col("detail"), F.when(t == "failed", o)).alias("__err"),
-        F.max_by(F.col("detail"), F.when(t == "completed", o)).alias("content_path"),
-        F.max("ts").alias("__upd"))
-    j = jobs.join(agg, "job_id", "left")
-    err = F.when(F.col("__lf").isNotNull() & (F.col("__lc").isNull() | (F.col("__lf") > F.col("__lc"))),
-                 F.col("__err"))
-    return j.select(
+    each = events.select("job_id", F.struct(*o, t.alias("transition")).alias("last"),
+                         F.when(t == "failed", F.struct(*o, "detail")).alias("failed"),
+                         F.when(t == "completed", F.struct(*o, "detail")).alias("completed"),
+                         (t == "failed").cast("long").alias("retries"), F.col("ts").alias("updated"))
+    return _merged(each)
+
+
+def _merged(states: DataFrame) -> DataFrame:
+    return states.groupBy("job_id").agg(
+        F.max("last").alias("last"), F.max("failed").alias("failed"), F.max("completed").alias("completed"),
+        F.coalesce(F.sum("retries"), F.lit(0)).alias("retries"), F.max("updated").alias("updated"))
+
+
+def merge_states(*states: DataFrame) -> DataFrame:
+    """One state from the states of parts of a log: maxima and sums, combined
+    before the shuffle; merging in any order gives the fold of the whole log."""
+    every = states[0]
+    for s in states[1:]:
+        every = every.unionByName(s)
+    return _merged(every)
+
+
+def ledger_of(jobs: DataFrame, state: DataFrame, max_retries: int = 3) -> DataFrame:
+    """Ledger rows from the first enqueue of each job and the folded
+    state. ``jobs``: (job_id, source_name, url, source_type, priority,
+    is_primary, created_at). Status = last transition (else 'pending'); retries
+    = failures; error = detail of the last failure unless a completion came
+    after it; content_path = detail of the last completion. Transitions update
+    their job by id, whatever their time; those of ids that were never enqueued
+    change nothing."""
+    def at(c: str) -> Column:
+        return F.struct(F.col(f"{c}.ts"), F.col(f"{c}.seq"))
+    err = F.when(F.col("failed").isNotNull() & (F.col("completed").isNull() | (at("failed") > at("completed"))),
+                 F.col("failed.detail"))
+    return jobs.join(state, "job_id", "left").select(
         "job_id", "source_name", "url", "source_type", "priority", "is_primary",
-        F.coalesce("__last", F.lit("pending")).alias("status"),
+        F.coalesce("last.transition", F.lit("pending")).alias("status"),
         F.coalesce("retries", F.lit(0)).cast("long").alias("retries"),
         F.lit(max_retries).cast("long").alias("max_retries"),
-        "content_path", err.alias("error"), "created_at",
-        F.coalesce("__upd", "created_at").alias("updated_at"))
+        F.col("completed.detail").alias("content_path"), err.alias("error"), "created_at",
+        F.coalesce("updated", "created_at").alias("updated_at"))
+
+
+def fold_transitions(jobs: DataFrame, events: DataFrame, max_retries: int = 3) -> DataFrame:
+    """J4 in one go: the ledger of a whole log. Aggregated before the join: a
+    job with many events is one row there."""
+    return ledger_of(jobs, fold_state(events), max_retries)
 
 
 def enqueue(ledger: DataFrame, sources: DataFrame, now: Column, ord_col: str = "ord",
@@ -110,11 +136,28 @@ def record_parse(results: DataFrame) -> DataFrame:
         F.count_if(F.col("status") != "completed").alias("failed_results"))
 
 
+def checkpoint_state(saves: DataFrame) -> DataFrame:
+    """J7 state: the last save per stage as one ordered struct; the maximum of
+    the states of parts is the state of the whole registry."""
+    return saves.groupBy("stage").agg(F.max(F.struct("created_at", "seq", "data_path", "row_count")).alias("last"))
+
+
+def merge_checkpoints(*states: DataFrame) -> DataFrame:
+    """One state from the states of parts of the registry."""
+    every = states[0]
+    for s in states[1:]:
+        every = every.unionByName(s)
+    return every.groupBy("stage").agg(F.max("last").alias("last"))
+
+
+def latest_of(state: DataFrame) -> DataFrame:
+    """J7 rows (stage, data_path, row_count, created_at) of a state."""
+    return state.select("stage", "last.data_path", "last.row_count", "last.created_at")
+
+
 def latest_checkpoint(saves: DataFrame) -> DataFrame:
     """Checkpoint registry upserted by stage: the last save per stage."""
-    return saves.groupBy("stage").agg(
-        F.max_by(F.struct("data_path", "row_count", "created_at"), F.struct("created_at", "seq")).alias("c")) \
-        .select("stage", "c.data_path", "c.row_count", "c.created_at")
+    return latest_of(checkpoint_state(saves))
 
 
 def job_stats(ledger: DataFrame) -> DataFrame:

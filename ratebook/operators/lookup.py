@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,12 +27,15 @@ def clamp(limit: int | None, default_max: tuple[int, int]) -> int:
     return min(max(1, default if limit is None else int(limit)), hi)
 
 
-def _check_pattern(p: str) -> str:
-    """A bad user pattern fails here, with a clear message, before any job."""
+def _check_pattern(p: str, df: DataFrame) -> str:
+    """A pattern that Spark can't compile fails here, with a clear message,
+    before any job over the table."""
     try:
-        re.compile(p)
-    except re.error as e:
-        raise ValueError(f"invalid search pattern {p!r}: {e}") from None
+        df.sparkSession.range(1).select(F.lit("").rlike(p)).collect()
+    except SparkRuntimeException as e:
+        if e.getCondition() != "INVALID_PARAMETER_VALUE.PATTERN":
+            raise
+        raise ValueError(f"invalid search pattern {p!r}") from e
     return p
 
 
@@ -49,7 +53,7 @@ def rate_by_product(df: DataFrame, pattern: str, limit: int | None = None,
     """Q1: case-insensitive regex on the product name, first ``limit`` rows in
     store order (limit clamped to 1..20, default 5)."""
     n = clamp(limit, LIMIT_PRODUCT)
-    hit = df.filter(F.col(name_col).rlike("(?i)" + _check_pattern(pattern)))
+    hit = df.filter(F.col(name_col).rlike("(?i)" + _check_pattern(pattern, df)))
     top = hit.orderBy(F.col(ord_col)).limit(n)
     return pick_product(top)
 
@@ -66,7 +70,7 @@ def search_description(df: DataFrame, term: str, limit: int | None = None,
     n = clamp(limit, LIMIT_DESCRIPTION)
     fields = ["hsn_code", "igst_rate", "cgst_rate", "sgst_rate", "cess_rate",
               "top_category", "sub_category", "schedule"]
-    g = (df.filter(F.col(desc_col).rlike("(?i)" + _check_pattern(term)))
+    g = (df.filter(F.col(desc_col).rlike("(?i)" + _check_pattern(term, df)))
            .groupBy(F.col(desc_col).alias("gst_description"))
            .agg(F.min_by(F.struct(*fields), F.col(ord_col)).alias("f"),
                 F.count(F.lit(1)).alias("product_count")))
@@ -76,12 +80,12 @@ def search_description(df: DataFrame, term: str, limit: int | None = None,
                      "product_count"))
 
 
-def _prefix_filter(code_col: str, code: str) -> Column:
+def _prefix_filter(df: DataFrame, code_col: str, code: str) -> Column:
     # A plain code becomes startswith (pushed to the Parquet scan as
     # StringStartsWith); a code with regex syntax keeps regex semantics.
     if re.fullmatch(r"[0-9A-Za-z]*", code):
         return F.col(code_col).startswith(code)
-    return F.col(code_col).rlike("^" + _check_pattern(code))
+    return F.col(code_col).rlike("^" + _check_pattern(code, df))
 
 
 def rate_by_code(df: DataFrame, code: str, limit: int | None = None,
@@ -90,7 +94,7 @@ def rate_by_code(df: DataFrame, code: str, limit: int | None = None,
     **then** keep the first row per description, so fewer than ``limit`` rows
     may come back (limit clamped to 1..20, default 10)."""
     n = clamp(limit, LIMIT_CODE)
-    top = df.filter(_prefix_filter(code_col, code)).orderBy(F.col(ord_col)).limit(n)
+    top = df.filter(_prefix_filter(df, code_col, code)).orderBy(F.col(ord_col)).limit(n)
     w = Window.partitionBy(F.coalesce(F.col("gst_description"), F.lit(""))).orderBy(ord_col)
     first = top.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").orderBy(ord_col)
     return pick_product(first)

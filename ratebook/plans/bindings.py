@@ -674,23 +674,30 @@ def q_ledger_reset_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("parse_results")
 def q_parse_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchase events as parse results, counted per job."""
-    e = table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
+    """All events as parse results, counted per job; errors and every
+    tenth event failed."""
+    e = table(spark, sf_dir, "events")
+    failed = (F.col("event_type") == "error") | (F.col("event_id") % 10 == 0)
     res = e.select(F.col("user_id").alias("job_id"),
                    F.round(F.col("value")).cast("long").alias("record_count"),
-                   F.when(F.col("event_id") % 10 == 0, "failed").otherwise("completed").alias("status"))
+                   F.when(failed, "failed").otherwise("completed").alias("status"))
     return J.record_parse(res)
 
 
+def event_saves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as checkpoint saves: the stage is the event type and the
+    last digit of the user."""
+    e = table(spark, sf_dir, "events")
+    return e.select(F.concat_ws("-", "event_type", (F.col("user_id") % 10).cast("string")).alias("stage"),
+                    F.concat(F.lit("ckpt/"), F.col("event_id").cast("string")).alias("data_path"),
+                    F.col("user_id").alias("row_count"), F.col("ts").alias("created_at"),
+                    F.col("event_id").alias("seq"))
+
+
 @register("latest_checkpoint")
 def q_latest_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Click events as checkpoint saves; the last save per stage."""
-    e = table(spark, sf_dir, "events").filter(F.col("event_type") == "click")
-    saves = e.select(F.concat(F.lit("stage"), (F.col("event_id") % 4).cast("string")).alias("stage"),
-                     F.concat(F.lit("ckpt/"), F.col("event_id").cast("string")).alias("data_path"),
-                     F.col("user_id").alias("row_count"), F.col("ts").alias("created_at"),
-                     F.col("event_id").alias("seq"))
-    out = J.latest_checkpoint(saves)
+    """The last save per stage."""
+    out = J.latest_checkpoint(event_saves(spark, sf_dir))
     return out.select("stage", "data_path", "row_count", _ts("created_at"))
 
 

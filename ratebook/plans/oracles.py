@@ -613,16 +613,16 @@ WHERE status IN ('pending', 'failed') AND retries < max_retries
 
 ORACLES["parse_results"] = """
 SELECT user_id AS job_id, count(*) AS results, CAST(sum(CAST(round(value) AS BIGINT)) AS BIGINT) AS records,
-       count(*) FILTER (WHERE event_id % 10 = 0) AS failed_results
-FROM events WHERE event_type = 'purchase' GROUP BY user_id
+       count(*) FILTER (WHERE event_type = 'error' OR event_id % 10 = 0) AS failed_results
+FROM events GROUP BY user_id
 """
 
 ORACLES["latest_checkpoint"] = """
-SELECT 'stage' || CAST(event_id % 4 AS VARCHAR) AS stage,
+SELECT event_type || '-' || CAST(user_id % 10 AS VARCHAR) AS stage,
        arg_max('ckpt/' || CAST(event_id AS VARCHAR), {'a': ts, 'b': event_id}) AS data_path,
        arg_max(user_id, {'a': ts, 'b': event_id}) AS row_count,
        strftime(arg_max(ts, {'a': ts, 'b': event_id}), '%Y-%m-%d %H:%M:%S.%f') AS created_at
-FROM events WHERE event_type = 'click' GROUP BY 1
+FROM events GROUP BY 1
 """
 
 ORACLES["cache_key"] = """
