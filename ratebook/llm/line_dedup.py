@@ -1,10 +1,10 @@
 """Line deduplication by a deletion-neighbourhood join (edit bound: one).
 
-A line (text between line feeds) of at least ``min_chars`` code points is
-dropped when an equal line, or one within one edit (insert, delete or replace
-one code point), occurs earlier in (doc_id, line_no) order, judged on the
-input; the earliest stays. Shorter lines are left alone, or (``short``)
-dropped when they aren't blank and equal an earlier line.
+A line (text between line feeds) that isn't blank is dropped when an equal
+line, or one within one edit (insert, delete or replace one code point), occurs
+earlier in (doc_id, line_no) order, judged on the input; the earliest stays.
+Lines of fewer than ``min_chars`` code points are too short for an edit to mean
+anything: they meet equal lines alone.
 
 How. Equal lines collapse by a 128-bit key with their first occurrence. Two
 lines within one edit have the same first or the same last half (for the
@@ -76,16 +76,13 @@ def _cuts(base: int) -> np.ndarray:
     return np.arange(PIECES + 1) * base // PIECES
 
 
-def lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int, short: bool = False) -> DataFrame:
-    """(doc_id, line_no, line) of the lines long enough, with ``short`` also of
-    the shorter ones that aren't blank; null ids and null texts have none."""
-    wanted = F.length("line") >= min_chars
-    if short:
-        wanted = wanted | (F.trim(F.translate("line", "\r\t", "  ")) != "")
+def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, line_no, line) of the lines that aren't blank (blanks: space,
+    tab, carriage return); null ids and null texts have none."""
     return (docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
             .where("doc_id is not null and text is not null")
             .select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-            .where(wanted))
+            .where(F.trim(F.translate("line", "\r\t", "  ")) != ""))
 
 
 def _key(line="line"):
@@ -146,7 +143,7 @@ def _neighbourhood(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  min_chars: int = MIN_CHARS, short: bool = False) -> DataFrame:
+                  min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, line_no, keep_doc_id, keep_line_no, distance): each dropped
     line, the earliest line it repeats and their edit distance (0 or 1).
 
@@ -154,7 +151,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     empty table gives no rows; other columns are ignored."""
     spark = docs.sparkSession
     prepare(spark)
-    every = lines(docs, id_col, text_col, min_chars, short)
+    every = lines(docs, id_col, text_col)
     # Lines under the floor have no halves: equal ones alone meet.
     halves = F.when(F.length("line") >= min_chars, F.array(*_halves())).otherwise(F.array().cast("array<bigint>"))
     first = staged(every.select("doc_id", "line_no", *_key(), halves.alias("halves"))
@@ -205,8 +202,10 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                .join(a, (F.col("h1") == F.col("a1")) & (F.col("h2") == F.col("a2"))).join(b, ["b1", "b2"])
                .where(F.levenshtein("a", "b", 1) == 1)
                .select("h1", "h2", "to_doc", "to_line"))
-    rule = (first.select("h1", "h2", F.col("doc_id").alias("f_doc"), F.col("line_no").alias("f_line"))
-            .join(follows, ["h1", "h2"], "left"))
+    # Written, so that the join of all lines with it is one that AQE may split
+    # where a line is very common.
+    rule = staged(first.select("h1", "h2", F.col("doc_id").alias("f_doc"), F.col("line_no").alias("f_line"))
+                  .join(follows, ["h1", "h2"], "left"), "rules")
     hit = every.select("doc_id", "line_no", *_key()).join(rule, ["h1", "h2"])
     is_first = (F.col("doc_id") == F.col("f_doc")) & (F.col("line_no") == F.col("f_line"))
     return (hit.where(~is_first | F.col("to_doc").isNotNull())

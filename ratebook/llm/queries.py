@@ -78,28 +78,40 @@ ORACLES["op6_benchmark_decontamination"] = rf"""
 WITH raw AS (SELECT 'd' AS side, doc_id AS id, text FROM documents
              UNION ALL SELECT 'b', item_id, text FROM benchmark),
 ws AS (SELECT side, id, list_filter(list_transform(string_split_regex(lower(regexp_replace(coalesce(text, ''),
-         '([\p{{L}}\p{{N}},;] )(\p{{Lu}})', '' || chr(1) || '', 'g')), '[\x20\x09-\x0D]+'),
+         '([\p{{L}}\p{{N}},;] )(\p{{Lu}})', '\1' || chr(1) || '\2', 'g')), '[\x20\x09-\x0D]+'),
          lambda w: trim(w, '{_EDGES}')), lambda w: w <> '') AS w FROM raw),
 word AS (SELECT side, id, p, w, lag(w) OVER (PARTITION BY side, id ORDER BY p) AS before
          FROM (SELECT side, id, unnest(range(len(w))) AS p, unnest(w) AS w FROM ws)),
-kind AS (SELECT side, id, p, w, CASE WHEN starts_with(w, chr(1)) THEN 1
+kind AS (SELECT side, id, p, w, ltrim(w, chr(1)) AS plain, CASE WHEN starts_with(w, chr(1)) THEN 1
            WHEN regexp_matches(w, '^[0-9][0-9.,:/]*%?$') THEN 2
            WHEN w IN ({_UNITS}) AND regexp_matches(before, '^[0-9][0-9.,:/]*%?$') THEN 3 ELSE 0 END AS k FROM word),
-arr AS (SELECT side, id, list(w ORDER BY p) AS w, list(k ORDER BY p) AS k,
+arr AS (SELECT side, id, list(w ORDER BY p) AS w, list(k ORDER BY p) AS k, list(plain ORDER BY p) AS v,
           list(CASE k WHEN 0 THEN w ELSE '<' || k || '>' END ORDER BY p) AS t FROM kind GROUP BY side, id),
-win AS (SELECT side, id, i, w[i:i + 7] AS w, k[i:i + 7] AS k, array_to_string(t[i:i + 7], ' ') AS t, len(w) - 7 AS n_of
+win AS (SELECT side, id, i, w[i:i + 7] AS w, k[i:i + 7] AS k, array_to_string(t[i:i + 7], ' ') AS t,
+          array_to_string(v[i:i + 7], ' ') AS v, len(list_filter(k[i:i + 7], lambda x: x = 0)) * 2 >= 8 AS fits
         FROM (SELECT *, unnest(range(1, len(w) - 6)) AS i FROM arr)),
-met AS (SELECT d.id AS doc_id, b.id AS item_id, d.i - b.i AS shift, b.i AS j, b.n_of, b.k,
-          list_filter(list_transform(range(1, 9), lambda x: CASE WHEN b.k[x] <> 0 THEN {{'b': b.w[x], 'd': d.w[x]}} END),
-                      lambda x: x IS NOT NULL) AS s
-        FROM win d JOIN win b ON d.t = b.t WHERE d.side = 'd' AND b.side = 'b'
-          AND len(list_filter(b.k, lambda x: x = 0)) * 2 >= 8),
-found AS (SELECT doc_id, item_id, shift, max(n_of) AS n_of, count(DISTINCT j) AS n,
-            list_distinct(flatten(list(s))) AS s FROM met GROUP BY doc_id, item_id, shift)
-SELECT doc_id, item_id, max(n) AS n_windows, max(len(s)) AS n_slots FROM found
-WHERE len(s) = len(list_distinct(list_transform(s, lambda x: x.b)))
-  AND len(s) = len(list_distinct(list_transform(s, lambda x: x.d))) AND n >= least(3, n_of)
-GROUP BY doc_id, item_id
+item AS (SELECT id, count(DISTINCT i) FILTER (fits) AS n_fit, count(DISTINCT i) AS n_all FROM win WHERE side = 'b' GROUP BY id),
+met AS (SELECT d.id AS doc_id, b.id AS item_id, d.i - b.i AS shift, b.i AS j,
+          list_distinct(list_filter(list_transform(range(1, 9), lambda x: CASE WHEN b.k[x] <> 0 THEN {{'b': b.w[x], 'd': d.w[x]}} END),
+                                    lambda x: x IS NOT NULL)) AS s
+        FROM win d JOIN win b ON d.t = b.t WHERE d.side = 'd' AND b.side = 'b' AND b.fits),
+agreed AS (SELECT doc_id, item_id, shift, count(DISTINCT j) AS n, len(list_distinct(flatten(list(s)))) AS slots FROM met
+           WHERE len(s) = len(list_distinct(list_transform(s, lambda x: x.b)))
+             AND len(s) = len(list_distinct(list_transform(s, lambda x: x.d))) GROUP BY doc_id, item_id, shift),
+dense AS (SELECT d.id AS doc_id, b.id AS item_id, d.i - b.i AS shift, count(DISTINCT b.i) AS n, max(n_all) AS n_all,
+            len(list_distinct(flatten(list(list_filter(list_transform(range(1, 9), lambda x: CASE WHEN b.k[x] <> 0 THEN b.w[x] END),
+                                                       lambda x: x IS NOT NULL))))) AS slots
+          FROM win d JOIN win b ON d.v = b.v JOIN item ON item.id = b.id
+          WHERE d.side = 'd' AND b.side = 'b' AND n_fit = 0 GROUP BY d.id, b.id, d.i - b.i),
+brief AS (SELECT d.id AS doc_id, b.id AS item_id, 1 AS n,
+            len(list_distinct(list_filter(list_transform(range(1, len(b.w) + 1), lambda x: CASE WHEN b.k[x] <> 0 THEN b.w[x] END),
+                                          lambda x: x IS NOT NULL))) AS slots
+          FROM arr d JOIN arr b ON contains(' ' || array_to_string(d.v, ' ') || ' ', ' ' || array_to_string(b.v, ' ') || ' ')
+          WHERE d.side = 'd' AND b.side = 'b' AND len(b.w) BETWEEN {DC.SHORTEST} AND 7),
+hit AS (SELECT doc_id, item_id, n, slots FROM agreed JOIN item ON item.id = item_id WHERE n >= least(3, n_fit)
+        UNION ALL SELECT doc_id, item_id, n, slots FROM dense WHERE n >= least(3, n_all)
+        UNION ALL SELECT doc_id, item_id, n, slots FROM brief)
+SELECT doc_id, item_id, max(n) AS n_windows, max(slots) AS n_slots FROM hit GROUP BY doc_id, item_id
 """
 
 
@@ -131,15 +143,15 @@ ORACLES["op10_line_dedup"] = """
 WITH doc AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
 occ AS (SELECT doc_id, line_no, line FROM (
           SELECT doc_id, unnest(range(len(ls))) AS line_no, unnest(ls) AS line FROM doc)
-        WHERE length(line) >= 10),
+        WHERE trim(translate(line, chr(9) || chr(13), '  ')) <> ''),
 one AS (SELECT line, min({'d': doc_id, 'l': line_no}) AS f FROM occ GROUP BY line),
 var AS (SELECT line, f, length(line) AS n, i, left(line, i - 1) || substr(line, i + 1) AS rest
-        FROM (SELECT line, f, unnest(range(1, length(line) + 1)) AS i FROM one)),
+        FROM (SELECT line, f, unnest(range(1, length(line) + 1)) AS i FROM one WHERE length(line) >= 10)),
 same AS (SELECT rest, i, min(f) AS f FROM var GROUP BY rest, i HAVING count(*) > 1),
 near AS (
   SELECT v.line, s.f FROM var v JOIN same s ON v.rest = s.rest AND v.i = s.i
-  UNION ALL SELECT v.line, o.f FROM var v JOIN one o ON v.rest = o.line
-  UNION ALL SELECT o.line, v.f FROM var v JOIN one o ON v.rest = o.line),
+  UNION ALL SELECT v.line, o.f FROM var v JOIN one o ON v.rest = o.line AND length(o.line) >= 10
+  UNION ALL SELECT o.line, v.f FROM var v JOIN one o ON v.rest = o.line AND length(o.line) >= 10),
 best AS (SELECT line, min(f) AS f FROM near GROUP BY line)
 SELECT o.doc_id, o.line_no, k.d AS keep_doc_id, k.l AS keep_line_no,
        CASE WHEN k < f THEN 1 ELSE 0 END AS distance

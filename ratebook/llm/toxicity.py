@@ -30,7 +30,7 @@ STEM = 4
 SAMPLE = 20_000
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 3.0, 1.0
-CACHE = 200_000
+CACHE = 50_000
 PUNCTUATION = bytes.maketrans(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", b" " * 32)
 
 
@@ -115,16 +115,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for pdf in it:
             yield pd.DataFrame({"o": pdf["o"], "y": pdf["y"], "x": [np.unique(make(t)).astype(np.int32) for t in pdf["text"]]})
 
-    def train(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("o", kind="stable")
-        got = ftrl(pdf["x"].tolist(), pdf["y"].to_numpy(np.float64))
-        return pd.DataFrame({"i": np.r_[-1, got.ids], "w": np.r_[got.bias, got.values]})
+    def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        x, y = [], []
+        for pdf in batches:
+            x += [np.array(v, np.int32) for v in pdf["x"]]
+            y += pdf["y"].tolist()
+        if x:
+            got = ftrl(x, np.array(y, np.float64))
+            yield pd.DataFrame({"i": np.r_[-1, got.ids], "w": np.r_[got.bias, got.values]})
 
     texts = docs.select(docs[id_col].cast("long").alias("__id"), docs[text_col].alias("text")).where("text is not null")
     # At most ``sample`` ids: a fixed bound.
     rows = (texts.join(F.broadcast(chosen), "__id").select(F.xxhash64("__id").alias("o"), "y", "text")
             .mapInPandas(features, "o long, y int, x array<int>"))
-    found = rows.groupBy(F.lit(1).alias("all")).applyInPandas(train, "i long, w double").toPandas()
+    # The passes are sequential, over at most ``sample`` rows, read as a stream.
+    found = rows.repartition(1).sortWithinPartitions("o").mapInPandas(train, "i long, w double").toPandas()
     if found.empty:
         return Weights(np.zeros(0, np.int64), np.zeros(0), log_odds(0, 0))
     bias = float(found.loc[found["i"] < 0, "w"].iloc[0])

@@ -294,14 +294,26 @@ def test_reparameterised_questions(docs, spark):
     rows = [
         (1, "noise before it " + QUESTION + " noise after"),
         (2, QUESTION.replace("Anna Smith", "Carl Weber").replace("Anna", "Carl").replace("120 km", "75 miles").replace("3", "9")),
-        (3, QUESTION.replace("does Anna", "does Berta")),      # one name met by two: inconsistent
+        (3, QUESTION.replace("does Anna", "does Berta")),      # one name met by two in the windows that hold both
         (4, "a bus stops with nobody aboard and nothing else happens in this text about travels"),
         (5, " ".join(QUESTION.split()[:9])),                   # two windows: below the minimum
         (6, "short item"),
+        # every number doubled inside each window of its own: no window is consistent
+        (7, QUESTION.replace("Anna Smith", "Smith Smith").replace("does Anna", "does Smith").replace("120 km in 3", "3 km in 3")[:80]),
     ]
     got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs(rows), items).collect()}
-    assert got.keys() == {(1, 1), (2, 1)}
-    assert got[1, 1].n_windows == len(QUESTION.split()) - 7 and got[2, 1].n_slots == 6
+    assert got.keys() == {(1, 1), (2, 1), (3, 1)}
+    windows = len(QUESTION.split()) - 7
+    assert got[1, 1].n_windows == windows and got[2, 1].n_slots == 6 and 3 <= got[3, 1].n_windows <= windows
+
+
+def test_short_items_match_whole(docs, spark):
+    items = spark.createDataFrame([(1, "Who wrote War and Peace?"), (2, "a b c"), (3, "one two three four"), (4, "5 km in 2 h"),
+                                   (1, "Who wrote War and Peace?")], "item_id long, text string")
+    rows = [(1, "he asked: who wrote war and peace, and when"), (2, "a b c d"), (3, "one two three"), (4, "zero one two three four five"),
+            (5, "run 5 km in 2 h daily"), (6, "run 6 km in 2 h daily"), (7, "who wrote war and (Peace)!"), (8, None), (9, "")]
+    got = {(r.doc_id, r.item_id): (r.n_windows, r.n_slots) for r in decontaminate.contaminated(docs(rows), items).collect()}
+    assert got == {(1, 1): (1, 2), (7, 1): (1, 2), (4, 3): (1, 0), (5, 4): (1, 4)}
 
 
 def test_items_dense_in_slots(docs, spark):
