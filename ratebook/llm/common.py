@@ -29,12 +29,13 @@ def prepare(spark: SparkSession) -> None:
         cloudpickle.register_pickle_by_value(sys.modules[name])
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back:
-    lineage ends here, and a lost executor costs a re-read."""
+def staged(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder (in folders per value
+    of the columns ``by``) and read it back: lineage ends here, and a lost
+    executor costs a re-read."""
     spark = df.sparkSession
     path = stage_path(spark, "llm-stages", f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.partitionBy(*by or []).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

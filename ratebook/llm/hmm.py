@@ -12,8 +12,12 @@ The ``OWN`` most frequent words are classes of their own (P = 1), all others
 share a class by their last three bytes, the end is a class.
 
 Training. Every training text counts: word counts are summed over all of
-them, and in each of the ``ROUNDS`` rounds Baum-Welch's expected counts are
-made per partition over all of them and summed by Spark.
+them, and in each of the ``PASSES`` passes Baum-Welch's expected counts are
+made over all of them, per partition, and summed by Spark. A pass takes the
+texts in ``BLOCKS`` blocks (by hash of the id) and improves the model after
+each: the counts of a block replace those that it gave in the pass before, and
+the model follows the sum over all blocks (incremental EM), so two passes
+improve the model as often as ten rounds over all texts would.
 Counting and scoring use the scaled recursions over the whole text; texts
 longer than ``DIRECT`` tokens multiply the transfer matrices of their pieces
 of ``PIECE`` tokens, which is the same recursion: counting carries the forward
@@ -29,6 +33,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -42,7 +47,7 @@ STATES = 8
 OWN = 4_096
 SUFFIXES = 1_024
 HOT = 65_536
-ROUNDS = 10
+PASSES, BLOCKS = 2, 5
 PIECE, DIRECT = 512, 4_096
 CHUNK_TOKENS = 1_000_000
 FLUSH = 300_000
@@ -50,12 +55,20 @@ PRIOR = 50.0
 END = ""
 
 
+def split_words(text: str) -> list[bytes]:
+    """A text's words as UTF-8 bytes, A-Z lower-cased, and the end."""
+    words = text.encode().lower().split()
+    words.append(b"")
+    return words
+
+
 def tokens(text: str) -> list[str]:
-    return [w.decode() for w in text.encode().lower().split()] + [END]
+    return [w.decode() for w in split_words(text)]
 
 
-def suffix_class(word: str) -> int:
-    return OWN + xxhash.xxh64_intdigest(word.encode()[-3:], 0) % SUFFIXES
+def suffix_class(word: str | bytes) -> int:
+    raw = word.encode() if isinstance(word, str) else word
+    return OWN + xxhash.xxh64_intdigest(raw[-3:], 0) % SUFFIXES
 
 
 N_CLASSES = OWN + SUFFIXES + 1
@@ -314,23 +327,26 @@ def _encoded(texts: DataFrame, vocab: Vocabulary) -> DataFrame:
     """(rid, doc_id, held_out, n_tokens, known, base, words, seq, rare): per
     text what its hot words contribute, its class sequence, its rare words."""
     def encode(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rank = vocab.hot
+        rank = {w.encode(): i for w, i in vocab.hot.items()}
         base_hot = np.log10((vocab.hot_count + 1.0) / (vocab.total + vocab.distinct + 1))
         word_hot = np.log10((vocab.hot_count + 1.0) / vocab.denominator(vocab.hot_class)) if len(rank) else np.zeros(0)
+        hot_class = vocab.hot_class.astype("<u2")
         for pdf in it:
             out = []
             for text in pdf["text"]:
-                words = tokens(text)
-                at = np.array([rank.get(w, -1) for w in words], np.int64)
-                known = at >= 0
-                rare = [w for w, i in zip(words, known.tolist()) if not i]
+                words = split_words(text)
+                at = np.fromiter(map(rank.get, words, repeat(-1)), np.int64, len(words))
+                hot = at >= 0
+                missing = np.flatnonzero(~hot).tolist()
+                at = at[hot]
                 seq = np.empty(len(words), "<u2")
-                seq[known] = vocab.hot_class[at[known]] if len(rank) else 0
-                if rare:
-                    seq[~known] = [OWN + SUFFIXES if w == END else suffix_class(w) for w in rare]
-                cls = dict(zip(rare, seq[~known].tolist()))
-                out.append((len(words), int(known.sum()), float(base_hot[at[known]].sum()), float(word_hot[at[known]].sum()),
-                            seq.tobytes(), [{"token": w, "tf": n, "cls": cls[w]} for w, n in Counter(rare).items()]))
+                seq[hot] = hot_class[at]
+                rare = Counter([words[i] for i in missing])
+                cls = {w: OWN + SUFFIXES if not w else suffix_class(w) for w in rare}
+                if missing:
+                    seq[missing] = [cls[words[i]] for i in missing]
+                out.append((len(words), len(at), float(base_hot[at].sum()), float(word_hot[at].sum()), seq.tobytes(),
+                            [{"token": w.decode(), "tf": n, "cls": cls[w]} for w, n in rare.items()]))
             got = pd.DataFrame(out, columns=["n_tokens", "known", "base", "words", "seq", "rare"])
             got.insert(0, "held_out", pdf["held_out"])
             got.insert(0, "doc_id", pdf["doc_id"].astype("Int64").to_numpy())
@@ -341,8 +357,8 @@ def _encoded(texts: DataFrame, vocab: Vocabulary) -> DataFrame:
                              ).withColumn("rid", F.monotonically_increasing_id())
 
 
-def _round(train: DataFrame, model: Model, vocab: Vocabulary) -> Model:
-    """One Baum-Welch round: counts per partition, summed by Spark."""
+def _block_counts(train: DataFrame, model: Model) -> dict:
+    """Baum-Welch counts of the texts of a block: per partition, summed by Spark."""
     def expect(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums, held, size = None, [], 0
 
@@ -371,8 +387,18 @@ def _round(train: DataFrame, model: Model, vocab: Vocabulary) -> Model:
     rows = train.select("seq").mapInPandas(expect, "kind string, i long, x double").groupBy("kind", "i").agg(F.sum("x").alias("x"))
     for kind, part in rows.toPandas().groupby("kind"):
         counts[kind][part["i"]] = part["x"]
-    return maximise({"start": counts["start"], "move": counts["move"].reshape(model.move.shape),
-                     "emit": counts["emit"].reshape(model.emit.shape)}, vocab)
+    return {"start": counts["start"], "move": counts["move"].reshape(model.move.shape),
+            "emit": counts["emit"].reshape(model.emit.shape)}
+
+
+def trained(train: DataFrame, vocab: Vocabulary, states: int) -> Model:
+    """The model after ``PASSES`` passes over the blocks of ``train`` (seq, block)."""
+    model, held = initial(vocab, states), {}
+    for _ in range(PASSES):
+        for block in range(BLOCKS):
+            held[block] = _block_counts(train.where(F.col("block") == block), model)
+            model = maximise({key: sum(c[key] for c in held.values()) for key in held[block]}, vocab)
+    return model
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES,
@@ -390,12 +416,9 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
                         held.alias("held_out"))
     words = staged(count_words(texts.where("not held_out")), "words")
     vocab = vocabulary(words)
-    rows = staged(_encoded(texts, vocab), "sequences")
-
-    train = rows.where("not held_out")
-    model = initial(vocab, states)
-    for _ in range(ROUNDS):
-        model = _round(train, model, vocab)
+    block = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(BLOCKS)), F.lit(0)).cast("int")
+    rows = staged(_encoded(texts, vocab).withColumn("block", block), "sequences", by=["held_out", "block"])
+    model = trained(rows.where("not held_out"), vocab, states)
 
     floor = vocab.total + vocab.distinct + 1
     below = F.array(*[F.lit(float(x)) for x in vocab.denominator(np.arange(OWN, N_CLASSES))])
@@ -411,7 +434,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
             seqs = [np.frombuffer(s, "<u2").astype(np.int64) for s in pdf["seq"]]
             yield pdf.drop(columns="seq").assign(path=log_likelihoods(seqs, model))
 
-    scored = rows.drop("rare").mapInPandas(forward, "doc_id long, held_out boolean, n_tokens long, known long, "
+    scored = rows.drop("rare", "block").mapInPandas(forward, "doc_id long, held_out boolean, n_tokens long, known long, "
                                                     "base double, words double, rid long, path double")
     zero = F.lit(0.0)
     return scored.join(sums, "rid", "left").select(

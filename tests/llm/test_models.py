@@ -80,12 +80,30 @@ def test_counts_carry_over_piece_edges():
     assert got["move"].sum() == pytest.approx(sum(len(s) - 1 for s in seqs), rel=1e-4)
 
 
-def test_every_round_learns_from_all_training_texts(docs, monkeypatch):
-    seen, plain = [], hmm._round
-    monkeypatch.setattr(hmm, "_round", lambda train, *rest: seen.append(train.count()) or plain(train, *rest))
+def test_every_pass_learns_from_all_training_texts(docs, monkeypatch):
+    seen, plain = [], hmm._block_counts
+    monkeypatch.setattr(hmm, "_block_counts", lambda train, *rest: seen.append(train.count()) or plain(train, *rest))
     rows = some_docs(40)
     hmm.lm_scores(docs(rows)).collect()
-    assert seen == [sum(zlib.crc32(str(d).encode()) % 7 != 2 for d, _ in rows)] * hmm.ROUNDS
+    learns = sum(zlib.crc32(str(d).encode()) % 7 != 2 for d, _ in rows)
+    passes = [seen[i:i + hmm.BLOCKS] for i in range(0, len(seen), hmm.BLOCKS)]
+    assert len(passes) == hmm.PASSES and all(sum(p) == learns and p == passes[0] for p in passes)
+
+
+def test_incremental_training_in_plain_steps(spark):
+    """Blocks replace their own counts; with one block it is Baum-Welch."""
+    rnd = np.random.default_rng(6)
+    vocab = hmm.Vocabulary({}, np.zeros(0, int), np.zeros(0, int), np.zeros(hmm.N_CLASSES), np.zeros(hmm.N_CLASSES), 0, 0)
+    seqs = [rnd.integers(0, 30, 40) + 40 * (i % 2) for i in range(30)]
+    frame = spark.createDataFrame([(bytearray(s.astype("<u2").tobytes()), i % hmm.BLOCKS) for i, s in enumerate(seqs)],
+                                  "seq binary, block int")
+    model, held = hmm.initial(vocab, 2), {}
+    for step in range(hmm.PASSES * hmm.BLOCKS):
+        b = step % hmm.BLOCKS
+        held[b] = hmm.all_counts([s for i, s in enumerate(seqs) if i % hmm.BLOCKS == b], model)
+        model = hmm.maximise({k: sum(c[k] for c in held.values()) for k in held[b]}, vocab)
+    got = hmm.trained(frame, vocab, 2)
+    assert got.move == pytest.approx(model.move, rel=1e-3, abs=1e-4) and got.emit == pytest.approx(model.emit, rel=1e-2, abs=1e-5)
 
 
 def test_lm_messy_and_empty(messy, docs):
