@@ -24,7 +24,8 @@ of ``PIECE`` tokens, which is the same recursion: counting carries the forward
 and backward vectors over the piece edges.
 
 Scale. Broadcast are the model (states x classes) and the ``HOT`` most
-frequent words (fewer where counts tie), both bounded by parameters; counts of all rarer words stay
+frequent words of at most ``HOT_BYTES`` bytes (fewer where counts tie), both
+bounded by parameters; counts of all rarer words stay
 distributed and meet their texts in a join from which the hot words are gone.
 """
 
@@ -46,7 +47,7 @@ from ratebook.llm.common import crc_class, prepare, staged
 STATES = 8
 OWN = 4_096
 SUFFIXES = 1_024
-HOT = 65_536
+HOT, HOT_BYTES = 131_072, 64
 PASSES, BLOCKS = 2, 5
 PIECE, DIRECT = 512, 4_096
 CHUNK_TOKENS = 1_000_000
@@ -112,12 +113,13 @@ def vocabulary(words: DataFrame) -> Vocabulary:
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     # All words with at least the smallest count that at most HOT words reach.
     least, reached = None, 0
-    for c, n in words.groupBy("c").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).limit(HOT).collect():
+    brief = words.where(F.octet_length("token") <= HOT_BYTES)
+    for c, n in brief.groupBy("c").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).limit(HOT).collect():
         reached += n
         if reached > HOT:
             break
         least = c
-    top = words.where(F.col("c") >= F.lit(least)).toPandas().sort_values(["c", "token"], ascending=[False, True])
+    top = brief.where(F.col("c") >= F.lit(least)).toPandas().sort_values(["c", "token"], ascending=[False, True])
     ranked = top["token"].tolist()
     own = {w: i for i, w in enumerate([w for w in ranked if w != END][:OWN])}
 
@@ -324,8 +326,9 @@ def _chunks(lengths: list[int]) -> Iterator[tuple[int, int]]:
 # ------------------------------------------------------------ Spark
 
 def _encoded(texts: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """(rid, doc_id, held_out, n_tokens, known, base, words, seq, rare): per
-    text what its hot words contribute, its class sequence, its rare words."""
+    """(rid, doc_id, held_out, n_tokens, known, base, words, seq, rare, tf,
+    cls): per text what its hot words contribute, its class sequence, its rare
+    words (null: none) with their counts and classes."""
     def encode(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rank = {w.encode(): i for w, i in vocab.hot.items()}
         base_hot = np.log10((vocab.hot_count + 1.0) / (vocab.total + vocab.distinct + 1))
@@ -345,15 +348,17 @@ def _encoded(texts: DataFrame, vocab: Vocabulary) -> DataFrame:
                 cls = {w: OWN + SUFFIXES if not w else suffix_class(w) for w in rare}
                 if missing:
                     seq[missing] = [cls[words[i]] for i in missing]
+                # Words hold no blank, so one text carries them all.
                 out.append((len(words), len(at), float(base_hot[at].sum()), float(word_hot[at].sum()), seq.tobytes(),
-                            [{"token": w.decode(), "tf": n, "cls": cls[w]} for w, n in rare.items()]))
-            got = pd.DataFrame(out, columns=["n_tokens", "known", "base", "words", "seq", "rare"])
+                            b" ".join(rare).decode() if rare else None, np.fromiter(rare.values(), np.int32, len(rare)),
+                            np.fromiter(cls.values(), np.int32, len(rare))))
+            got = pd.DataFrame(out, columns=["n_tokens", "known", "base", "words", "seq", "rare", "tf", "cls"])
             got.insert(0, "held_out", pdf["held_out"])
             got.insert(0, "doc_id", pdf["doc_id"].astype("Int64").to_numpy())
             yield got
 
     return texts.mapInPandas(encode, "doc_id long, held_out boolean, n_tokens long, known long, base double, "
-                                     "words double, seq binary, rare array<struct<token:string,tf:int,cls:int>>"
+                                     "words double, seq binary, rare string, tf array<int>, cls array<int>"
                              ).withColumn("rid", F.monotonically_increasing_id())
 
 
@@ -422,7 +427,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
     floor = vocab.total + vocab.distinct + 1
     below = F.array(*[F.lit(float(x)) for x in vocab.denominator(np.arange(OWN, N_CLASSES))])
-    rare = rows.select("rid", F.explode("rare").alias("r")).select("rid", "r.token", "r.tf", "r.cls")
+    listed = F.arrays_zip(F.split("rare", " ", -1).alias("token"), "tf", "cls")
+    rare = rows.where("rare is not null").select("rid", F.inline(listed))
     met = rare.join(words, "token", "left").withColumn("c1", F.coalesce("c", F.lit(0)) + 1)
     sums = met.groupBy("rid").agg(
         F.sum(F.when(F.col("c").isNotNull(), F.col("tf")).otherwise(0)).alias("rare_known"),
@@ -434,7 +440,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
             seqs = [np.frombuffer(s, "<u2").astype(np.int64) for s in pdf["seq"]]
             yield pdf.drop(columns="seq").assign(path=log_likelihoods(seqs, model))
 
-    scored = rows.drop("rare", "block").mapInPandas(forward, "doc_id long, held_out boolean, n_tokens long, known long, "
+    scored = rows.drop("rare", "tf", "cls", "block").mapInPandas(forward, "doc_id long, held_out boolean, n_tokens long, known long, "
                                                     "base double, words double, rid long, path double")
     zero = F.lit(0.0)
     return scored.join(sums, "rid", "left").select(
