@@ -2,9 +2,12 @@
 
 Base spans are the leftmost non-overlapping matches, per kind, of e-mail
 addresses, ip addresses, card numbers (Luhn) and phone numbers. A protected
-entity is a span's text; a word outside the e-mail addresses of its document
-is a term. Over the whole corpus, with D documents, n(t) documents that hold
-term t, c(e) that hold entity e and c(e, t) that hold both, however far apart,
+entity is a span's text, and also what it shares with others of its owner: the
+domain of an e-mail address, the first three parts of an ip address, the first
+six digits of a card, the first seven of a phone number (``protected``). A word
+outside the e-mail addresses of its document is a term. Over the whole corpus,
+with D documents, n(t) documents that hold term t, c(e) that hold entity e and
+c(e, t) that hold both, however far apart,
 
     information of e   IC(e)    = log2 (D / c(e))
     disclosure         PMI(e,t) = log2 (c(e, t) D / (c(e) n(t)))
@@ -46,21 +49,29 @@ THRESHOLD = 0.8
 # Words walked at once when terms are marked, so that a text with many marks
 # is not copied once per mark.
 BLOCK = 1024
+# Matches put into one array before it is set aside.
+RUN = 256
 
 
 def matches(text: Column, pattern: str) -> Column:
     """Array of (start, end, value) of the pattern's matches, in code points:
-    the pieces between matches and the matches, laid end to end."""
+    the pieces between matches and the matches, laid end to end. Matches are
+    gathered ``RUN`` at a time, so that many in one text cost in proportion."""
     laid = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"))
-    empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    walked = F.aggregate(
-        laid, F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda s, x: F.struct(
-            (s["at"] + F.length(x["gap"]) + F.coalesce(F.length(x["hit"]), F.lit(0))).alias("at"),
-            F.when(x["hit"].isNull(), s["out"]).otherwise(F.concat(s["out"], F.array(F.struct(
-                (s["at"] + F.length(x["gap"])).alias("start"),
-                (s["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("end"), x["hit"].alias("value"))))).alias("out")))
-    return walked["out"]
+    found = "array<struct<start:int,end:int,value:string>>"
+
+    def step(s: Column, x: Column) -> Column:
+        start = s["at"] + F.length(x["gap"])
+        end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
+        hit = F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("value"))
+        run = F.when(x["hit"].isNull(), s["run"]).otherwise(F.concat(s["run"], F.array(hit)))
+        full = F.size(s["run"]) >= RUN
+        return F.struct(end.alias("at"),
+                        F.when(full & x["hit"].isNotNull(), F.array(hit)).otherwise(run).alias("run"),
+                        F.when(full & x["hit"].isNotNull(), F.concat(s["runs"], F.array(s["run"]))).otherwise(s["runs"]).alias("runs"))
+
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(found).alias("run"), F.array().cast(f"array<{found}>").alias("runs"))
+    return F.aggregate(laid, begin, step, lambda s: F.flatten(F.concat(s["runs"], F.array(s["run"]))))
 
 
 def luhn(digits: Column) -> Column:
@@ -101,6 +112,17 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*[of(order, kind) for order, kind in enumerate(KINDS)]))
 
 
+def protected(kind: Column, value: Column) -> Column:
+    """What a span of a kind (its order) protects: its own text, lower-cased,
+    and the part it shares with others, each marked with the kind."""
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    shared = (F.when(kind == KINDS.index("email"), F.regexp_replace(F.lower(value), "^.*@", "@"))
+              .when(kind == KINDS.index("ip"), F.concat(F.substring_index(value, ".", 3), F.lit(".")))
+              .when(kind == KINDS.index("card"), F.substring(digits, 1, 6)).otherwise(F.concat(F.lit("+"), F.substring(digits, 1, 7))))
+    name = kind.cast("string")
+    return F.array(F.concat_ws(":", name, F.lower(value)), F.concat_ws("/", name, shared))
+
+
 def _terms(text: Column) -> Column:
     """The distinct words of a text, lower-cased one by one."""
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.lower(w)))
@@ -151,7 +173,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     total = rows.count()
     holds = (rows.where(F.size("base") > 0).select("rid", F.explode("base").alias("b"))
-             .select("rid", F.concat_ws(":", F.col("b.kind").cast("string"), F.lower("b.value")).alias("entity")).distinct())
+             .select("rid", F.explode(protected(F.col("b.kind"), F.col("b.value"))).alias("entity")).distinct())
     information = F.log2(F.lit(float(total)) / F.col("of_entity"))
     # The bound on n(t) is widened a little: the exact test follows.
     entities = (holds.groupBy("entity").agg(F.count(F.lit(1)).alias("of_entity"))

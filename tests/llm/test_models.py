@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pytest
+import regex
 
 from ratebook.llm import bpe, decontaminate, hmm, sanitise, topk_search, toxicity, url_filter
 from ratebook.llm.queries import RULES, default_tokenizer
@@ -297,6 +298,64 @@ def test_terms_far_from_the_entity_and_entities_of_two_documents(docs):
     assert {i: m for i, m in marked.items() if m} == {**{i: ["Zorblatt"] for i in range(4)}, 10: ["Quixel"], 11: ["Quixel"]}
 
 
+def brute_terms(rows, support=3, threshold=0.8):
+    """Revealing terms by counting every pair of entity and term."""
+    docs = []
+    for _, t in rows:
+        t = t or ""
+        mine = set()
+        for start, kind, end in brute_spans(t):
+            v, d = t[start:end].lower(), re.sub("[^0-9]", "", t[start:end])
+            mine |= {(kind, v), (kind, "/", {0: v[v.rfind("@"):], 1: v.rsplit(".", 1)[0], 2: d[:6], 3: d[:7]}[kind])}
+        words = [w.lower() for w in regex.findall(r"\p{L}[\p{L}\p{N}]+", t)]
+        outside = {w.lower() for w in regex.findall(r"\p{L}[\p{L}\p{N}]+", re.sub(BASE["email"], " ", t))}
+        docs.append((mine, set(words), outside, tuple(words)))
+    held, out = collections.Counter(w for _, ws, _, _ in docs for w in ws), set()
+    for e in {e for mine, *_ in docs for e in mine}:
+        inside = [x for x in docs if e in x[0]]
+        if len(inside) < 2 or len(inside) == len(docs):
+            continue
+        information = math.log2(len(docs) / len(inside))
+        for t in {t for x in inside for t in x[2]}:
+            both = [x for x in inside if t in x[2]]
+            if len({x[3] for x in both}) < max(2, min(support, len(inside))):
+                continue
+            if math.log2(len(both) * len(docs) / (len(inside) * held[t])) >= threshold * information - 1e-9:
+                out.add(t)
+    return out
+
+
+def test_terms_equal_counting_every_pair(docs):
+    rnd = random.Random(8)
+    vocab = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
+    rows = []
+    for d in range(260):
+        words = [rnd.choice(vocab) for _ in range(rnd.randint(3, 25))]
+        if d % 5 == 0:
+            words += [f"p{d}@firm{d % 4}.org"] + (["Firmword" + "abcd"[d % 4]] if rnd.random() < .8 else [])
+        if d % 13 == 1:
+            words += [f"10.0.{d % 2}.{d}", "Rackname" if d % 2 else "Other"]
+        if d % 11 == 2:
+            words.insert(0, f"+1 (555) 123{d % 3}-{1000 + d} Callsign{d % 3}x")
+        if d % 40 == 3:
+            words += [rnd.choice(["Firmworda", "rackname"])]
+        rows.append((d, " ".join(words)))
+    want = brute_terms(rows)
+    got = set()
+    for r in sanitise.personal_data(docs(rows)).collect():
+        text = rows[r.doc_id][1]
+        assert [(s.start, s.kind, s.end) for s in r.base] == brute_spans(text)
+        got |= {text[s.start:s.end].lower() for s in r.spans if s.kind == 4}
+    assert got == want and {"firmwordb", "firmwordc", "callsign1x"} <= want
+
+
+def test_many_matches_of_one_text(docs):
+    n = 4 * sanitise.RUN + 3
+    text = " ".join(f"a{i}@b.c" for i in range(n))
+    got = sanitise.personal_data(docs([(1, text)])).first()
+    assert [(s.start, s.kind, s.end) for s in got.base] == brute_spans(text) and len(got.base) == n
+
+
 def test_personal_data_messy(messy, docs):
     assert sanitise.personal_data(messy).count() == messy.count()
     assert sanitise.personal_data(docs([])).count() == 0
