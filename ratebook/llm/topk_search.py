@@ -24,10 +24,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratebook.llm.common import prepare, staged
+from ratebook.llm.common import prepare, shuffle_partitions, staged
 
 BLOCK = 16_384
-QUERY_BLOCK = 1_024
+QUERY_BLOCK, LEAST_QUERIES = 1_024, 64
 
 
 def sign_codes(vectors: DataFrame, id_col: str, vector_col: str, dims: int) -> DataFrame:
@@ -92,7 +92,12 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     few = Window.partitionBy("code").orderBy("id")
     kept = codes.withColumn("n", F.row_number().over(few)).where(F.col("n") <= k).drop("n")
     n, nq = kept.count(), queries.select("code").distinct().count()
-    blocks, query_blocks = max(1, -(-n // BLOCK)), max(1, -(-nq // QUERY_BLOCK))
+    blocks = max(1, -(-n // BLOCK))
+    # Blocks of queries bounded by size, and as many as give every task a unit
+    # while the blocks of codes alone are fewer than the tasks.
+    tasks = shuffle_partitions(codes.sparkSession)
+    query_blocks = max(1, -(-nq // QUERY_BLOCK), min(-(-nq // LEAST_QUERIES), -(-tasks // blocks)))
+    units = min(blocks * query_blocks, max(tasks, blocks))
     rows = (kept.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
             .withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))))
     asks = (queries.select("code").distinct().withColumn("q", F.pmod(F.xxhash64("code"), F.lit(query_blocks)).cast("int"))
@@ -109,6 +114,8 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
                 out.append(pd.DataFrame({"code": code, "id": ids[best], "distance": distance}))
         return pd.concat(out) if out else pd.DataFrame({"code": [], "id": [], "distance": []})
 
+    # A stated number of partitions: units are work, however few bytes they have.
+    rows, asks = rows.repartition(units, "b", "q"), asks.repartition(units, "b", "q")
     found = rows.groupBy("b", "q").cogroup(asks.groupBy("b", "q")).applyInPandas(search, "code binary, id long, distance int")
     place = Window.partitionBy("code").orderBy("distance", "id")
     best = found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
