@@ -22,13 +22,19 @@ SCALE_CONF = {
 }
 
 
+def _half_of_memory(most: int = 16) -> int:
+    """Gigabytes of heap for a local session: half the machine's, at most ``most``."""
+    total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    return max(1, min(most, (total >> 30) // 2))
+
+
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
                   app: str = "ratebook") -> SparkSession:
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", "16g"))
+         .config("spark.driver.memory", f"{_half_of_memory()}g"))
     for k, v in SCALE_CONF.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
