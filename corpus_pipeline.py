@@ -70,7 +70,9 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     the digest of the decoded text."""
     prepare(spark)
     path = default_tokenizer()
-    out = bpe.decode(bpe.encode(docs, path), path)
+    # Written in between: encoding and decoding in one task would hold two
+    # Python workers, each with its tokenizer, beside every core.
+    out = bpe.decode(staged(bpe.encode(docs, path), "ids"), path)
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
                       F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))

@@ -132,3 +132,11 @@ def test_run_against_plain_rules(spark, tmp_path):
     got = {r.doc_id: r.ids_sha256 for r in P.run(spark, str(tmp_path)).collect()}
     assert got == want
     assert 90 < len(want) < 120 and not {d for d, _ in rows if d % 23 == 5} & want.keys()
+
+
+def test_encoding_and_decoding_do_not_share_a_task(spark):
+    """The last stage holds one Python worker a task, not two."""
+    docs = spark.createDataFrame([(1, "one two"), (2, None), (None, "")], "doc_id long, text string")
+    out = corpus_pipeline.encoded(spark, docs, "")
+    assert "MapInPandas" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 3
