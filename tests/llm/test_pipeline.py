@@ -137,6 +137,6 @@ def test_run_against_plain_rules(spark, tmp_path):
 def test_encoding_and_decoding_do_not_share_a_task(spark):
     """The last stage holds one Python worker a task, not two."""
     docs = spark.createDataFrame([(1, "one two"), (2, None), (None, "")], "doc_id long, text string")
-    out = corpus_pipeline.encoded(spark, docs, "")
+    out = P.encoded(spark, docs, "")
     assert "MapInPandas" not in out._jdf.queryExecution().executedPlan().toString()
     assert out.count() == 3
