@@ -18,10 +18,11 @@ texts in ``BLOCKS`` blocks (by hash of the id) and improves the model after
 each: the counts of a block replace those that it gave in the pass before, and
 the model follows the sum over all blocks (incremental EM), so two passes
 improve the model as often as ten rounds over all texts would.
-Counting and scoring use the scaled recursions over the whole text; texts
-longer than ``DIRECT`` tokens multiply the transfer matrices of their pieces
-of ``PIECE`` tokens, which is the same recursion: counting carries the forward
-and backward vectors over the piece edges.
+Counting and scoring use the scaled recursions over the whole text, many texts
+abreast, token by token. A text longer than ``DIRECT`` tokens in a batch of
+fewer than ``ABREAST`` times its tokens multiplies the transfer matrices of its
+pieces of ``PIECE`` tokens, which is the same recursion with more work: counting
+carries the forward and backward vectors over the piece edges.
 
 Scale. Broadcast are the model (states x classes) and the ``HOT`` most
 frequent words of at most ``HOT_BYTES`` bytes (fewer where counts tie), both
@@ -49,8 +50,9 @@ OWN = 4_096
 SUFFIXES = 1_024
 HOT, HOT_BYTES = 131_072, 64
 PASSES, BLOCKS = 2, 5
-PIECE, DIRECT = 512, 4_096
-CHUNK_TOKENS = 1_000_000
+PIECE, DIRECT, ABREAST = 512, 4_096, 8
+CHUNK_TOKENS, SPAN = 1_000_000, 16_384
+EVERY = 8
 FLUSH = 300_000
 PRIOR = 50.0
 END = ""
@@ -171,49 +173,94 @@ def _padded(seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return obs, length
 
 
+def _by_time(seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Class ids of all first tokens, then of all second ones and so on (no
+    padding), lengths, sequences per time and where each time begins.
+    Sequences sorted, longest first."""
+    length = np.array([len(s) for s in seqs])
+    live = len(seqs) - np.searchsorted(length[::-1], np.arange(length[0]), side="right")
+    off = np.concatenate([[0], np.cumsum(live)])
+    time = np.arange(off[-1]) - np.repeat(np.cumsum(length) - length, length)
+    obs = np.empty(off[-1], np.int64)
+    obs[off[time] + np.repeat(np.arange(len(seqs)), length)] = np.concatenate(seqs)
+    return obs, length, live, off
+
+
+def _spans(off: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of times of about SPAN tokens."""
+    edges = [0]
+    for t, end in enumerate(off[1:].tolist()):
+        if t > edges[-1] and end - off[edges[-1]] > SPAN:
+            edges.append(t)
+    return list(zip(edges, [*edges[1:], len(off) - 1]))
+
+
 def expected_counts(seqs: list[np.ndarray], model: Model, ahead_of: np.ndarray | None = None,
                     behind: np.ndarray | None = None) -> dict:
     """Baum-Welch counts of a batch of class sequences. For pieces inside a
     text, ``ahead_of`` has the forward vector of the token before and
-    ``behind`` the backward vector at the last token, up to a factor."""
+    ``behind`` the backward vector at the last token, up to a factor.
+
+    A class's emissions count up to a factor, so each has one as its largest;
+    vectors are scaled every ``EVERY`` tokens."""
     order = sorted(range(len(seqs)), key=lambda i: -len(seqs[i]))
-    obs, length = _padded([seqs[i] for i in order])
-    steps, n = obs.shape
-    k = len(model.start)
-    move, emit = model.move.astype(np.float32), model.emit.astype(np.float32)
-    alpha, scale = np.zeros((steps, n, k), np.float32), np.ones((steps, n), np.float32)
-    live = [int((length > t).sum()) for t in range(steps)]
-    for t in range(steps):
-        m = live[t]
-        if t:
-            a = alpha[t - 1, :m] @ move
-        else:
-            a = model.start.astype(np.float32) if ahead_of is None else ahead_of[order].astype(np.float32) @ move
-        a = a * emit[obs[t, :m]]
-        s = a.sum(1)
-        alpha[t, :m], scale[t, :m] = a / s[:, None], s
-    start, moves = np.zeros(k), np.zeros((k, k))
-    beta = np.ones((n, k), np.float32)
-    if behind is not None:
-        beta = behind[order].astype(np.float32)
-        beta /= (alpha[length - 1, np.arange(n)] * beta).sum(1, keepdims=True)
-    for t in range(steps - 1, -1, -1):
-        m = live[t]
-        ahead = emit[obs[t, :m]] * beta[:m] / scale[t, :m, None]
-        if t:
-            moves += alpha[t - 1, :m].T @ ahead
-            alpha[t, :m] *= beta[:m]
-            beta[:m] = ahead @ move.T
-        else:
-            alpha[0, :m] *= beta[:m]
-            if ahead_of is None:
-                start += alpha[0, :m].sum(0)
+    obs, length, live_at, off_at = _by_time([seqs[i] for i in order])
+    live, off, spans = live_at.tolist(), off_at.tolist(), _spans(off_at)
+    n, k = len(seqs), len(model.start)
+    emit = model.emit / model.emit.max(1, keepdims=True)
+    before = None if ahead_of is None else ahead_of[order]
+    alpha, ones, scale = np.empty((len(obs), k)), np.ones(k), {}
+    for lo, hi in spans:
+        base = off[lo]
+        e = np.take(emit, obs[base:off[hi]], axis=0, mode="clip")
+        for t in range(lo, hi):
+            m, at = live[t], off[t]
+            a = alpha[at:at + m]
+            if t:
+                np.matmul(alpha[off[t - 1]:off[t - 1] + m], model.move, out=a)
+                a *= e[at - base:at - base + m]
             else:
-                moves += ahead_of[order].astype(np.float32).T @ ahead
-    there = np.arange(steps)[:, None] < length[None, :]
-    flat, gamma = obs[there], alpha[there]
-    emits = np.stack([np.bincount(flat, weights=gamma[:, j], minlength=N_CLASSES) for j in range(k)], 1)
-    return {"start": start, "move": moves * model.move, "emit": emits}
+                np.multiply(model.start if before is None else before @ model.move, e[:m], out=a)
+            if t % EVERY == 0:
+                scale[t] = s = (a @ ones)[:, None]
+                a /= s
+
+    ends = off_at[length - 1] + np.arange(n)
+    last = np.ones((n, k)) if behind is None else behind[order]
+    last = last / (alpha[ends] * last).sum(1, keepdims=True)
+    ranked = np.argsort(ends)
+    ends, last = ends[ranked], last[ranked]
+    start, moves, emits = np.zeros(k), np.zeros((k, k)), np.zeros(N_CLASSES * k)
+    back, states, carried = np.ascontiguousarray(model.move.T), np.arange(k), None
+    for lo, hi in reversed(spans):
+        base, stop = off[lo], off[hi]
+        seen = obs[base:stop]
+        ahead = np.take(emit, seen, axis=0, mode="clip")
+        beta = np.empty((stop - base, k))
+        x, y = np.searchsorted(ends, [base, stop])
+        beta[ends[x:y] - base] = last[x:y]
+        if carried is not None:
+            beta[off[hi - 1] - base:off[hi - 1] - base + len(carried)] = carried
+        for t in range(hi - 1, lo - 1, -1):
+            at = off[t] - base
+            h = ahead[at:at + live[t]]
+            h *= beta[at:at + live[t]]
+            if t % EVERY == 0:
+                h /= scale[t]
+            if t > lo:
+                np.matmul(h, back, out=beta[off[t - 1] - base:off[t - 1] - base + live[t]])
+            else:
+                carried = h @ back
+        inner = max(lo, 1)
+        prev = np.arange(off[inner], stop) - np.repeat(live_at[inner - 1:hi - 1], live_at[inner:hi])
+        moves += np.take(alpha, prev, axis=0, mode="clip").T @ ahead[off[inner] - base:]
+        gamma = np.multiply(alpha[base:stop], beta, out=beta)
+        emits += np.bincount(((seen * k)[:, None] + states).ravel(), weights=gamma.ravel(), minlength=len(emits))
+        if lo == 0 and before is None:
+            start += gamma[:n].sum(0)
+        elif lo == 0:
+            moves += before.T @ ahead[:n]
+    return {"start": start, "move": moves * model.move, "emit": emits.reshape(-1, k)}
 
 
 def all_counts(seqs: list[np.ndarray], model: Model) -> dict:
@@ -224,18 +271,28 @@ def all_counts(seqs: list[np.ndarray], model: Model) -> dict:
         for key, x in expected_counts(*batch).items():
             sums[key] += x
 
-    short = sorted((s for s in seqs if len(s) <= DIRECT), key=len, reverse=True)
-    for lo, hi in _chunks([len(s) for s in short]):
-        add(short[lo:hi], model)
-    for seq in seqs:
-        if len(seq) > DIRECT:
-            pieces, first, ahead_of, behind, at_first = _edges(seq, model)
-            add([first], model, None, at_first)
-            for lo, hi in _chunks([len(p) for p in pieces]):
-                add(pieces[lo:hi], model, ahead_of[lo:hi], behind[lo:hi])
+    order, alone = _by_length([len(s) for s in seqs])
+    for lo, hi in _chunks([len(seqs[i]) for i in order]):
+        add([seqs[i] for i in order[lo:hi]], model)
+    for i in alone:
+        pieces, first, ahead_of, behind, at_first = _edges(seqs[i], model)
+        add([first], model, None, at_first)
+        for lo, hi in _chunks([len(p) for p in pieces]):
+            add(pieces[lo:hi], model, ahead_of[lo:hi], behind[lo:hi])
     return sums
 
 
+def _by_length(lengths: list[int]) -> tuple[list[int], list[int]]:
+    """Places of the sequences to run abreast, longest first, and of the long
+    ones with too few tokens beside them for that."""
+    order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
+    left, alone = sum(lengths), 0
+    while alone < len(order) and lengths[order[alone]] > max(DIRECT, left // ABREAST):
+        left -= lengths[order[alone]]
+        alone += 1
+    return order[alone:], order[:alone]
+
+
 def _edges(seq: np.ndarray, model: Model) -> tuple:
     """A long text as its first token and pieces of the rest, with the forward
     vector before and the backward vector at the end of each piece."""
@@ -277,24 +334,42 @@ def _transfer(pieces: list[np.ndarray], model: Model) -> tuple[np.ndarray, np.nd
 def log_likelihoods(seqs: list[np.ndarray], model: Model) -> np.ndarray:
     """log10 P(class sequence), by the scaled forward recursion."""
     out = np.zeros(len(seqs))
-    order = sorted((i for i, s in enumerate(seqs) if len(s) <= DIRECT), key=lambda i: -len(seqs[i]))
+    order, alone = _by_length([len(s) for s in seqs])
     for lo, hi in _chunks([len(seqs[i]) for i in order]):
-        obs, length = _padded([seqs[i] for i in order[lo:hi]])
-        total = np.zeros(hi - lo)
-        a = np.broadcast_to(model.start, (hi - lo, len(model.start)))
-        for t in range(len(obs)):
-            m = int((length > t).sum())
-            a = (a if t == 0 else a[:m] @ model.move) * model.emit[obs[t, :m]]
-            s = a.sum(1)
-            total[:m] += np.log10(s)
-            a = a / s[:, None]
-        out[order[lo:hi]] = total
-    for i, s in enumerate(seqs):
-        if len(s) > DIRECT:
-            out[i] = _by_transfer(s, model)
+        out[order[lo:hi]] = _abreast([seqs[i] for i in order[lo:hi]], model)
+    for i in alone:
+        out[i] = _by_transfer(seqs[i], model)
     return out
 
 
+def _abreast(seqs: list[np.ndarray], model: Model) -> np.ndarray:
+    """The same for sequences sorted by length, longest first. Vectors are
+    scaled every ``EVERY`` tokens, for which doubles have room."""
+    obs, length, live, off = _by_time(seqs)
+    spans, live, off = _spans(off), [*live.tolist(), 0], off.tolist()
+    n, k = len(length), len(model.start)
+    total, ones, a, b = np.zeros(n), np.ones(k), np.empty((n, k)), np.empty((n, k))
+    for lo, hi in spans:
+        base = off[lo]
+        e = np.take(model.emit, obs[base:off[hi]], axis=0, mode="clip")
+        for t in range(lo, hi):
+            m, end = live[t], live[t + 1]
+            x = b[:m]
+            if t:
+                np.matmul(a[:m], model.move, out=x)
+                x *= e[off[t] - base:off[t] - base + m]
+            else:
+                np.multiply(model.start, e[:m], out=x)
+            if t % EVERY == 0:
+                s = x @ ones
+                total[:m] += np.log10(s)
+                x /= s[:, None]
+            if end < m:
+                total[end:m] += np.log10(x[end:] @ ones)
+            a, b = b, a
+    return total
+
+
 def _by_transfer(seq: np.ndarray, model: Model) -> float:
     """The same for one long sequence: pieces advance all start states at
     once, then the row vector runs through their transfer matrices."""
@@ -315,12 +390,15 @@ def _by_transfer(seq: np.ndarray, model: Model) -> float:
 
 
 def _chunks(lengths: list[int]) -> Iterator[tuple[int, int]]:
-    """Ranges of about CHUNK_TOKENS padded tokens (lengths sorted downwards)."""
-    lo = 0
-    while lo < len(lengths):
-        hi = min(len(lengths), lo + max(1, CHUNK_TOKENS // max(1, lengths[lo])))
-        yield lo, hi
-        lo = hi
+    """Ranges of about CHUNK_TOKENS tokens."""
+    lo, size = 0, 0
+    for i, n in enumerate(lengths):
+        if i > lo and size + n > CHUNK_TOKENS:
+            yield lo, i
+            lo, size = i, 0
+        size += n
+    if lo < len(lengths):
+        yield lo, len(lengths)
 
 
 # ------------------------------------------------------------ Spark
@@ -436,9 +514,22 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
         F.sum(F.col("tf") * F.log10(F.col("c1") / F.element_at(below, F.col("cls") - OWN + 1))).alias("rare_words"))
 
     def forward(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+
+        def add() -> Iterator[pd.DataFrame]:
+            nonlocal held, size
+            path = log_likelihoods([np.frombuffer(s, "<u2").astype(np.int64) for pdf in held for s in pdf["seq"]], model)
+            for pdf in held:
+                yield pdf.drop(columns="seq").assign(path=path[:len(pdf)])
+                path = path[len(pdf):]
+            held, size = [], 0
+
         for pdf in it:
-            seqs = [np.frombuffer(s, "<u2").astype(np.int64) for s in pdf["seq"]]
-            yield pdf.drop(columns="seq").assign(path=log_likelihoods(seqs, model))
+            held.append(pdf)
+            size += int(pdf["n_tokens"].sum())
+            if size > 2 * CHUNK_TOKENS:
+                yield from add()
+        yield from add()
 
     scored = rows.drop("rare", "tf", "cls", "block").mapInPandas(forward, "doc_id long, held_out boolean, n_tokens long, known long, "
                                                     "base double, words double, rid long, path double")

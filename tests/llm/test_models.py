@@ -81,6 +81,79 @@ def test_counts_carry_over_piece_edges():
     assert got["move"].sum() == pytest.approx(sum(len(s) - 1 for s in seqs), rel=1e-4)
 
 
+def some_model(k, seed):
+    rnd = np.random.default_rng(seed)
+    emit = rnd.random((hmm.N_CLASSES, k)) ** 6  # some words all but rule a state out
+    return rnd, hmm.Model(rnd.dirichlet(np.ones(k)), rnd.dirichlet(np.ones(k), k), emit / emit.sum(0))
+
+
+def plain_counts(seqs, model):
+    """Baum-Welch, one text and one token at a time."""
+    k = len(model.start)
+    out = {"start": np.zeros(k), "move": np.zeros((k, k)), "emit": np.zeros((hmm.N_CLASSES, k))}
+    for seq in seqs:
+        alpha = []
+        for t, c in enumerate(seq):
+            a = (alpha[-1] @ model.move if t else model.start) * model.emit[c]
+            alpha.append(a / a.sum())
+        beta = np.ones(k)
+        for t in range(len(seq) - 1, -1, -1):
+            gamma = alpha[t] * beta
+            out["emit"][seq[t]] += gamma / gamma.sum()
+            if t:
+                both = alpha[t - 1][:, None] * model.move * model.emit[seq[t]] * beta
+                out["move"] += both / both.sum()
+                beta = model.move @ (model.emit[seq[t]] * beta)
+                beta /= beta.sum()
+            else:
+                out["start"] += gamma / gamma.sum()
+    return out
+
+
+def test_counts_equal_plain_baum_welch(monkeypatch):
+    """Ragged texts, chunks and spans of few tokens, long texts alone and not."""
+    rnd, model = some_model(3, 7)
+    monkeypatch.setattr(hmm, "SPAN", 64)
+    seqs = [rnd.integers(0, 40, n) for n in (1, 2, 2, 9, 31, 32, 33, 33, 250, 700)]
+    want = plain_counts(seqs, model)
+    for chunk, direct in ((10**6, 10**6), (300, 10**6), (300, 100)):
+        monkeypatch.setattr(hmm, "CHUNK_TOKENS", chunk)
+        monkeypatch.setattr(hmm, "DIRECT", direct)
+        got = hmm.all_counts(seqs, model)
+        for key in want:
+            assert got[key] == pytest.approx(want[key], rel=1e-9, abs=1e-9)
+
+
+def test_long_texts_run_abreast(monkeypatch):
+    """Transfer matrices, states times the work, are for a long text alone."""
+    rnd, model = some_model(3, 8)
+    monkeypatch.setattr(hmm, "DIRECT", 40)
+    monkeypatch.setattr(hmm, "PIECE", 16)
+    plain, seen = hmm._transfer, []
+    monkeypatch.setattr(hmm, "_transfer", lambda pieces, m: seen.append(sum(map(len, pieces))) or plain(pieces, m))
+    seqs = [rnd.integers(0, 40, 41 + i) for i in range(12)]
+    apart = np.array([hmm.log_likelihoods([s], model)[0] for s in seqs])
+    assert len(seen) == len(seqs)
+    seen.clear()
+    assert hmm.log_likelihoods(seqs, model) == pytest.approx(apart)
+    got, want = hmm.all_counts(seqs, model), plain_counts(seqs, model)
+    assert not seen and all(got[key] == pytest.approx(want[key], rel=1e-9, abs=1e-9) for key in want)
+    hmm.log_likelihoods([*seqs, rnd.integers(0, 40, 5000)], model)
+    assert seen == [4999 - 256 * 16, 256 * 16][::-1]
+
+
+def test_scores_keep_their_rows_over_batches(docs, monkeypatch):
+    monkeypatch.setattr(hmm, "CHUNK_TOKENS", 2000)
+    rows = [(i, " ".join(f"w{i % 7}" for _ in range(i % 7))) for i in range(2600)]
+    got = hmm.lm_scores(docs(rows).coalesce(1)).collect()
+    assert sorted(r.doc_id for r in got) == list(range(2600))
+    scores = collections.defaultdict(set)
+    for r in got:
+        assert r.n_tokens == r.doc_id % 7 + 1
+        scores[r.doc_id % 7].add(round(r.score, 6))
+    assert all(len(x) == 1 for x in scores.values()) and len(set.union(*scores.values())) == 7
+
+
 def test_every_pass_learns_from_all_training_texts(docs, monkeypatch):
     seen, plain = [], hmm._block_counts
     monkeypatch.setattr(hmm, "_block_counts", lambda train, *rest: seen.append(train.count()) or plain(train, *rest))
